@@ -27,6 +27,12 @@ def one_row(frame: DataFrame) -> Column:
     return frame.select(F.struct(*frame.columns)).scalar()
 
 
+def with_row(frame: DataFrame, other: DataFrame) -> DataFrame:
+    """Add the columns of the one-row frame `other` to every row of `frame`."""
+    row = frame.select("*", one_row(other).alias("_row"))
+    return row.select(*frame.columns, *[F.col("_row")[c].alias(c) for c in other.columns])
+
+
 def unpivot(frame: DataFrame, columns: list[str], name: str, value: str, as_type) -> DataFrame:
     """Long form (name, value) of `columns`, all cast to `as_type`; other columns go."""
     cast = [F.col(c).cast(as_type).alias(c) for c in columns]

@@ -5,11 +5,13 @@ with statistics of the remaining raw values, and only then are texts turned into
 types, so a text that is no number or date stays a gap.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from saleslens.functions.frames import one_row, unpivot
+from saleslens.functions.frames import unpivot, with_row
 from saleslens.functions.numbers import double, half_even, money
 from saleslens.functions.order_stats import quantiles
 from saleslens.functions.text import strip, title_case, zero_pad
@@ -91,20 +93,29 @@ def fill_values(raw: DataFrame) -> DataFrame:
     return medians(raw).unionByName(modes(raw))
 
 
-def _fills(statistics: DataFrame) -> Column:
+def _with_fills(raw: DataFrame, statistics: DataFrame) -> DataFrame:
+    """Add the map `_fills` (field -> fill), computed once, to every row."""
     pairs = F.collect_list(F.struct("field", "fill"))
-    return one_row(statistics.agg(F.map_from_entries(pairs).alias("fills")))["fills"]
+    return with_row(raw, statistics.agg(F.map_from_entries(pairs).alias("_fills")))
+
+
+def _fill(name: str) -> Column:
+    return F.col("_fills")[name]
 
 
 def _filled(raw: DataFrame, fills: dict[str, Column]) -> DataFrame:
+    columns = [c for c in raw.columns if c != "_fills"]
     return raw.select(
-        *[F.coalesce(F.col(c), fills[c]).alias(c) if c in fills else F.col(c) for c in raw.columns]
+        *[F.coalesce(F.col(c), fills[c]).alias(c) if c in fills else F.col(c) for c in columns]
     )
 
 
+def _mode_or_unknown(name: str) -> Column:
+    return F.coalesce(_fill(name), F.lit(UNKNOWN))
+
+
 def impute_median(raw: DataFrame) -> DataFrame:
-    fills = _fills(medians(raw))
-    return _filled(raw, {c: fills[c] for c in _present(raw, NUMERIC_COLUMNS)})
+    return _filled(_with_fills(raw, medians(raw)), {c: _fill(c) for c in NUMERIC_COLUMNS})
 
 
 def impute_postal(raw: DataFrame) -> DataFrame:
@@ -112,9 +123,8 @@ def impute_postal(raw: DataFrame) -> DataFrame:
 
 
 def impute_mode(raw: DataFrame) -> DataFrame:
-    fills = _fills(modes(raw))
     return _filled(
-        raw, {c: F.coalesce(fills[c], F.lit(UNKNOWN)) for c in _present(raw, CATEGORY_COLUMNS)}
+        _with_fills(raw, modes(raw)), {c: _mode_or_unknown(c) for c in CATEGORY_COLUMNS}
     )
 
 
@@ -126,64 +136,61 @@ def impute_unknown(raw: DataFrame) -> DataFrame:
 
 def impute(raw: DataFrame) -> DataFrame:
     """All four rules, with the statistics of all columns in one subquery."""
-    fills = _fills(fill_values(raw))
-    rules = {c: fills[c] for c in NUMERIC_COLUMNS}
-    rules |= {c: F.coalesce(fills[c], F.lit(UNKNOWN)) for c in CATEGORY_COLUMNS}
+    rules = {c: F.lit(UNKNOWN) for c in raw.columns}
+    rules |= {c: _fill(c) for c in NUMERIC_COLUMNS}
+    rules |= {c: _mode_or_unknown(c) for c in CATEGORY_COLUMNS}
     rules["postal_code"] = F.lit(UNKNOWN_POSTAL_CODE)
-    return _filled(raw, {c: rules.get(c, F.lit(UNKNOWN)) for c in raw.columns})
+    return _filled(_with_fills(raw, fill_values(raw)), rules)
 
 
 # Types
 
 
+def _date(name: str) -> Column:
+    return F.try_to_date(F.col(name), DATE_FORMAT)
+
+
+def _whole_number(name: str) -> Column:
+    kind = INTEGER_TYPES[name]
+    return F.coalesce(money(F.col(name)).try_cast(kind), F.lit(0).cast(kind))
+
+
+def _with(raw: DataFrame, expression: Callable[[str], Column], columns) -> DataFrame:
+    return raw.withColumns({c: expression(c) for c in _present(raw, columns)})
+
+
 def cast_dates(raw: DataFrame) -> DataFrame:
-    return raw.withColumns(
-        {c: F.try_to_date(F.col(c), DATE_FORMAT) for c in _present(raw, DATE_COLUMNS)}
-    )
+    return _with(raw, _date, DATE_COLUMNS)
 
 
 def cast_numerics(raw: DataFrame) -> DataFrame:
-    return raw.withColumns({c: money(F.col(c)) for c in _present(raw, NUMERIC_COLUMNS)})
+    return _with(raw, lambda c: money(F.col(c)), NUMERIC_COLUMNS)
 
 
 def normalize_postal(raw: DataFrame) -> DataFrame:
-    return raw.withColumns(
-        {c: zero_pad(F.col(c), POSTAL_CODE_WIDTH) for c in _present(raw, ["postal_code"])}
-    )
+    return _with(raw, lambda c: zero_pad(F.col(c), POSTAL_CODE_WIDTH), ["postal_code"])
 
 
 def cast_ints(raw: DataFrame) -> DataFrame:
     """Whole numbers, cut towards zero; zero where there is no number."""
-    return raw.withColumns(
-        {
-            c: F.coalesce(money(F.col(c)).try_cast(kind), F.lit(0)).cast(kind)
-            for c, kind in INTEGER_TYPES.items()
-            if c in raw.columns
-        }
-    )
-
-
-def cast_types(raw: DataFrame) -> DataFrame:
-    return raw.transform(cast_dates).transform(cast_numerics).transform(normalize_postal).transform(
-        cast_ints
-    )
+    return _with(raw, _whole_number, INTEGER_TYPES)
 
 
 # Texts
 
 
 def standardize_text(raw: DataFrame) -> DataFrame:
-    return raw.withColumns(
-        {c: title_case(strip(F.col(c))) for c in _present(raw, CATEGORY_COLUMNS)}
-    )
+    return _with(raw, lambda c: title_case(strip(F.col(c))), CATEGORY_COLUMNS)
+
+
+def _alias(name: Column, aliases: dict[str, str]) -> Column:
+    known = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])
+    return F.coalesce(known[name], name)
 
 
 def map_region_alias(raw: DataFrame, aliases: dict[str, str] = REGION_ALIASES) -> DataFrame:
     """Replace known region names; others pass through."""
-    if "region" not in raw.columns or not aliases:
-        return raw
-    known = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])
-    return raw.withColumn("region", F.coalesce(known[F.col("region")], F.col("region")))
+    return _with(raw, lambda c: _alias(F.col(c), aliases), ["region"] if aliases else [])
 
 
 # Derived columns
@@ -238,13 +245,33 @@ def date_parts(typed: DataFrame) -> DataFrame:
     return derive(typed, ["order_year", "order_month", "order_quarter"])
 
 
-def clean(raw: DataFrame) -> DataFrame:
-    """The whole chain, lazily."""
+def typed_and_tidied(filled: DataFrame) -> DataFrame:
+    """Types, text rules and region names of all columns."""
     return (
-        raw.transform(remove_duplicates)
-        .transform(impute)
-        .transform(cast_types)
+        filled.transform(cast_dates)
+        .transform(cast_numerics)
+        .transform(normalize_postal)
+        .transform(cast_ints)
         .transform(standardize_text)
         .transform(map_region_alias)
-        .transform(derive)
     )
+
+
+def deduplicated(raw: DataFrame, staging: str | None = None) -> DataFrame:
+    """Rows without duplicates, written to `staging` and read back if it is given."""
+    kept = remove_duplicates(raw)
+    if staging is None:
+        return kept
+    kept.write.mode("overwrite").parquet(staging)
+    return raw.sparkSession.read.schema(kept.schema).parquet(staging)
+
+
+def clean(raw: DataFrame, staging: str | None = None) -> DataFrame:
+    """The whole chain, lazily.
+
+    The fill statistics and the rows both need the deduplicated rows. With `staging`, a
+    folder all executors share, these are written there once; the statistics then read
+    only their own columns, and nothing is deduplicated again if an executor is lost.
+    """
+    kept = deduplicated(raw, staging)
+    return impute(kept).transform(typed_and_tidied).transform(derive)

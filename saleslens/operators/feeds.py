@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from saleslens.functions.frames import inputs, one_row
+from saleslens.functions.frames import inputs, with_row
 from saleslens.functions.numbers import half_even
 from saleslens.functions.text import shorten
 from saleslens.operators.profitability import (
@@ -28,8 +28,7 @@ def feed_kpi_card(lines: DataFrame) -> DataFrame:
     kpis = kpi_summary(lines)
     summary = executive_summary(lines)
     more = [c for c in summary.columns if c not in kpis.columns]
-    row = one_row(summary.select(*more))
-    return kpis.select(*kpis.columns, *[row[c].alias(c) for c in more])
+    return with_row(kpis, summary.select(*more))
 
 
 @inputs(*subcategory_performance.inputs)

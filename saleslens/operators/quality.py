@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleslens.errors import QualityGateError, SchemaValidationError
-from saleslens.functions.frames import inputs, one_row
+from saleslens.functions.frames import inputs, one_row, with_row
 from saleslens.functions.numbers import count_where, double, half_even, money, total_double
-from saleslens.operators.cleaning import fill_values, remove_duplicates
+from saleslens.operators.cleaning import fill_values
 from saleslens.schema import (
     CRITICAL_COLUMNS,
     DATE_COLUMNS,
@@ -119,16 +119,18 @@ def null_pct_by_column(frame: DataFrame) -> DataFrame:
 # Cleaning
 
 
-def cleaning_report(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """Per raw column: rows before and after, gaps filled and with what, gaps left."""
-    kept = remove_duplicates(raw)
+def cleaning_report(raw: DataFrame, kept: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """Per raw column: rows before and after, gaps filled and with what, gaps left.
+
+    `kept` holds the rows of `raw` that are left when duplicates are gone.
+    """
     filled = kept.agg(*[_null_count(c) for c in raw.columns]).unpivot(
         [], raw.columns, "column", "nulls_filled"
     )
     left = cleaned.agg(
         F.count("*").alias("rows_after"), *[_null_count(c) for c in raw.columns]
     ).unpivot(["rows_after"], raw.columns, "column", "nulls_left")
-    before = one_row(raw.agg(F.count("*").alias("n")))["n"]
+    before = raw.agg(F.count("*").alias("rows_before"))
     fixed = (
         F.when(F.col("column") == "postal_code", UNKNOWN_POSTAL_CODE)
         .when(F.col("column").isin(NUMERIC_COLUMNS), F.lit(None))
@@ -136,13 +138,12 @@ def cleaning_report(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     )
     fills = fill_values(kept).withColumnRenamed("field", "column")
     return (
-        filled.join(left, "column")
-        .join(fills, "column", "left")
+        with_row(filled.join(left, "column").join(fills, "column", "left"), before)
         .select(
             "column",
-            before.alias("rows_before"),
+            "rows_before",
             "rows_after",
-            (before - F.col("rows_after")).alias("rows_removed"),
+            (F.col("rows_before") - F.col("rows_after")).alias("rows_removed"),
             "nulls_filled",
             F.when(F.col("nulls_filled") > 0, F.coalesce("fill", fixed)).alias("fill_value"),
             "nulls_left",

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.functions.frames import inputs, one_row, without_null_keys
+from saleslens.functions.frames import inputs, with_row, without_null_keys
 from saleslens.functions.numbers import double, half_even, half_up, mean_margin, total_double
 from saleslens.operators.profitability import (
     RISK_KEY,
@@ -89,13 +89,9 @@ SUMMARY_FIELDS = ["best_performing_category", "worst_performing_category", "best
 @inputs(*sorted({*kpi_summary.inputs, *executive_summary.inputs, *RISK_KEY}))
 def insights_report(lines: DataFrame) -> DataFrame:
     """One row: key figures, extremes, losses and the number of risky products."""
-    summary = one_row(executive_summary(lines).select(*SUMMARY_FIELDS))
-    risky = high_discount_low_profit_risk(lines)
-    return kpi_summary(lines).select(
-        *KPI_FIELDS,
-        *[summary[c].alias(c) for c in SUMMARY_FIELDS],
-        one_row(risky.agg(F.count("*").alias("n")))["n"].alias("risk_products"),
-    )
+    summary = executive_summary(lines).select(*SUMMARY_FIELDS)
+    risky = high_discount_low_profit_risk(lines).agg(F.count("*").alias("risk_products"))
+    return with_row(with_row(kpi_summary(lines).select(*KPI_FIELDS), summary), risky)
 
 
 def top_preview(ordered: DataFrame, n: int = 10) -> DataFrame:

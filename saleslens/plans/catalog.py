@@ -177,12 +177,21 @@ def _gate_status(spark, sf_dir):
     return quality.gate_status(quality.quality_gate_full(lines), lines)
 
 
-def _raw_and_clean(report) -> Query:
-    def query(spark, sf_dir):
-        raw = dirty_raw(spark, sf_dir)
-        return report(raw, cleaning.clean(raw))
+def _stored_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = sinks.save_results(dirty_raw(spark, sf_dir), scratch_folder(spark, "bronze"))
+    return files.read_table(spark, path, "parquet")
 
-    return query
+
+def _run_summary(spark, sf_dir):
+    raw = _stored_raw(spark, sf_dir)
+    return quality.run_summary(raw, cleaning.clean(raw, scratch_folder(spark, "kept")))
+
+
+def _cleaning_report(spark, sf_dir):
+    raw = _stored_raw(spark, sf_dir)
+    staging = scratch_folder(spark, "kept")
+    cleaned = cleaning.clean(raw, staging)
+    return quality.cleaning_report(raw, spark.read.parquet(staging), cleaned)
 
 
 # Cleaning queries
@@ -225,7 +234,7 @@ def _cast_numerics(spark, sf_dir):
 
 
 def _clean(spark, sf_dir):
-    return _shown(cleaning.clean(dirty_raw(spark, sf_dir)))
+    return _shown(cleaning.clean(dirty_raw(spark, sf_dir), scratch_folder(spark, "kept")))
 
 
 def _first(operator, n: int) -> Query:
@@ -269,8 +278,8 @@ def queries() -> dict[str, Query]:
         "quality_gate_basic": _on_lines(quality.quality_gate_basic),
         "quality_gate_full": _on_lines(quality.quality_gate_full),
         "gate_status": _gate_status,
-        "run_summary": _raw_and_clean(quality.run_summary),
-        "cleaning_report": _raw_and_clean(quality.cleaning_report),
+        "run_summary": _run_summary,
+        "cleaning_report": _cleaning_report,
         # Cleaning and enrichment
         "drop_exact_duplicates": _on_raw(cleaning.drop_exact_duplicates),
         "drop_key_duplicates": _on_raw(cleaning.drop_key_duplicates),

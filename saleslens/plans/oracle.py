@@ -9,7 +9,13 @@ from saleslens.schema import (
     RAW_COLUMNS,
     SILVER_COLUMNS,
 )
-from saleslens.sources.dirt import FOURTEEN_PERCENT, HALF_PERCENT, ONE_PERCENT
+from saleslens.sources.dirt import (
+    DIGEST_OF,
+    FIRST_DIGIT,
+    FOURTEEN_PERCENT,
+    HALF_PERCENT,
+    ONE_PERCENT,
+)
 
 # Expressions
 
@@ -116,8 +122,8 @@ SILVER = f"{WIDE}, silver AS (SELECT *, {DERIVE} FROM wide)"
 
 
 def _hit(rule: str, below: str) -> str:
-    key = f"concat_ws('|', '{rule}', order_id, product_id, CAST(row_id AS VARCHAR), CAST(quantity AS VARCHAR))"
-    return f"substring(md5({key}), 1, 8) < '{below}'"
+    key = ", ".join(f"CAST({c} AS VARCHAR)" for c in DIGEST_OF)
+    return f"substring(md5(concat_ws('|', {key})), {FIRST_DIGIT[rule]}, 4) < '{below}'"
 
 
 _FAULTS = {

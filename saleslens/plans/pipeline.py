@@ -6,18 +6,13 @@ duplicates are written once as the bronze table; the fill statistics and the cle
 then read that table instead of repeating the deduplication.
 """
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslens.operators import profitability, rollups, sales
-from saleslens.operators.cleaning import (
-    cast_types,
-    derive,
-    impute,
-    map_region_alias,
-    remove_duplicates,
-    standardize_text,
-)
+from saleslens.operators.cleaning import clean
 from saleslens.operators.quality import (
     date_parse_report,
     enforce,
@@ -31,6 +26,9 @@ from saleslens.sources.files import read_raw, read_silver
 from saleslens.sources.layers import layer_paths
 from saleslens.sources.sinks import write_gold, write_silver
 
+# Gold tables are small and independent; some of their jobs are submitted side by side.
+PARALLEL_WRITES = 4
+
 # Analytics published as gold tables, under the names dashboards look for.
 GOLD = {
     "monthly_trend": sales.monthly_sales_trend,
@@ -73,17 +71,18 @@ def run_pipeline(
     """Build all layers below `base`; returns the run log, one row per run."""
     layers = layer_paths(base)
     raw, _ = load_validated(spark, raw_path)
-    kept_path = write_silver(remove_duplicates(raw), f"{layers['bronze']}/lines")
-
-    kept = spark.read.parquet(kept_path)
-    cleaned = impute(kept).transform(cast_types).transform(standardize_text)
-    cleaned = cleaned.transform(map_region_alias).transform(derive)
+    cleaned = clean(raw, staging=f"{layers['bronze']}/lines")
     lines = read_silver(spark, write_silver(cleaned, f"{layers['silver']}/lines"))
 
     if enforce_gate:
         enforce(quality_gate_basic(lines))
-    for name, analytic in gold.items():
-        write_gold(name, analytic(lines.select(*analytic.inputs)), layers["gold"])
+    with ThreadPool(PARALLEL_WRITES) as pool:
+        pool.starmap(
+            lambda name, analytic: write_gold(
+                name, analytic(lines.select(*analytic.inputs)), layers["gold"]
+            ),
+            gold.items(),
+        )
 
     log = f"{layers['gold']}/run_log"
     summary = run_summary(raw, lines).withColumn("finished_at", F.current_timestamp())

@@ -1,7 +1,8 @@
 """Raw text rows with known faults, to give the cleaning steps something to find.
 
-Which rows are hit is decided by a digest of the row and the rule's name: the same
-rows every time, on any engine, and the given share of them at any scale.
+Which rows are hit is decided by a digest of the row, of which every rule looks at its
+own four digits: the same rows every time, on any engine, and the given share of them at
+any scale.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,16 +11,25 @@ from pyspark.sql import functions as F
 from saleslens.schema import RAW_COLUMNS
 from saleslens.sources.star import sales_wide
 
-# A row is hit where its 8-digit hexadecimal digest is below the bound
-# (share of rows: 1 in 100, 14 in 100, 1 in 200).
-ONE_PERCENT = "028f5c28"
-FOURTEEN_PERCENT = "23d70a3d"
-HALF_PERCENT = "0147ae14"
+# The columns the digest is taken of, the first digit each rule looks at, and
+# the hexadecimal bounds below which a row is hit (1, 14 and 0.5 rows in 100).
+DIGEST_OF = ["order_id", "product_id", "row_id", "quantity"]
+FIRST_DIGIT = {
+    "postal": 1,
+    "sales": 5,
+    "sales text": 9,
+    "region": 13,
+    "region text": 17,
+    "date": 21,
+    "repeat": 25,
+}
+ONE_PERCENT = "028f"
+FOURTEEN_PERCENT = "23d7"
+HALF_PERCENT = "0148"
 
 
 def _hit(rule: str, below: str) -> Column:
-    digest = F.md5(F.concat_ws("|", F.lit(rule), "order_id", "product_id", "row_id", "quantity"))
-    return F.substring(digest, 1, 8) < below
+    return F.substring("_digest", FIRST_DIGIT[rule], 4) < below
 
 
 def as_raw(typed: DataFrame) -> DataFrame:
@@ -34,17 +44,21 @@ def inject_dirt(raw: DataFrame) -> DataFrame:
         "sales": F.when(_hit("sales text", ONE_PERCENT), F.lit("n.a.")).when(
             ~_hit("sales", ONE_PERCENT), F.col("sales")
         ),
-        "region": F.when(_hit("region text", FOURTEEN_PERCENT), F.concat(F.lit("  "), F.lower("region"), F.lit(" "))).when(
-            ~_hit("region", ONE_PERCENT), F.col("region")
-        ),
+        "region": F.when(
+            _hit("region text", FOURTEEN_PERCENT),
+            F.concat(F.lit("  "), F.lower("region"), F.lit(" ")),
+        ).when(~_hit("region", ONE_PERCENT), F.col("region")),
         "order_date": F.when(_hit("date", ONE_PERCENT), F.lit("not-a-date")).otherwise(
             F.col("order_date")
         ),
     }
     repeats = F.when(_hit("repeat", HALF_PERCENT), 2).otherwise(1)
     return (
-        raw.withColumns(faults)
-        .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), repeats)))
+        raw.withColumn("_digest", F.md5(F.concat_ws("|", *DIGEST_OF)))
+        .select(
+            *[faults.get(c, F.col(c)).alias(c) for c in raw.columns],
+            F.explode(F.array_repeat(F.lit(0), repeats)).alias("_copy"),
+        )
         .drop("_copy")
     )
 

@@ -8,9 +8,15 @@ from saleslens.errors import SourceError
 from saleslens.schema import ENGINE_TO_SOURCE, MISSING_TEXTS, engine_name
 
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".pq": "parquet"}
-# Quotes inside quoted fields are doubled. Fields may not hold line breaks unless the
+# Quotes inside quoted fields are doubled and blanks around a text are part of it. Fields may not hold line breaks unless the
 # caller asks for it, as such a file can only be read by one task.
-CSV_OPTIONS = {"header": True, "escape": '"', "encoding": "utf-8"}
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "encoding": "utf-8",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def sanitize_columns(frame: DataFrame) -> DataFrame:

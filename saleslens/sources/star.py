@@ -14,6 +14,17 @@ from saleslens.functions.text import zero_pad
 from saleslens.operators.cleaning import derive
 from saleslens.schema import MONEY, RAW_COLUMNS, SILVER_COLUMNS, raw_inputs
 
+# The columns read from each table. Stating them saves Spark the pass over
+# all file footers it needs to find them out.
+TABLES = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_retailprice double",
+}
 # How the tables map to the wide model.
 COUNTRY = "Synthetic"
 DISCOUNT_SCALE = 8
@@ -27,7 +38,7 @@ _FROM_PART = {"product_name", "category", "sub_category", "profit"}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _orders(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
@@ -35,13 +46,14 @@ def _orders(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
     if not wanted & _FROM_CUSTOMER:
         return orders
     customer = _table(spark, sf_dir, "customer")
-    if wanted & _FROM_NATION:
-        nation = _table(spark, sf_dir, "nation")
-        if wanted & _FROM_REGION:
-            region = _table(spark, sf_dir, "region")
-            nation = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
-        customer = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
-    return orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+    orders = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+    if not wanted & _FROM_NATION:
+        return orders
+    nation = _table(spark, sf_dir, "nation")
+    if wanted & _FROM_REGION:
+        region = _table(spark, sf_dir, "region")
+        nation = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
+    return orders.join(nation, orders.c_nationkey == nation.n_nationkey, "left")
 
 
 def sales_wide(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
@@ -56,12 +68,12 @@ def sales_wide(spark: SparkSession, sf_dir: str, columns: list[str] | None = Non
         part = _table(spark, sf_dir, "part")
         lines = lines.join(part, lines.l_partkey == part.p_partkey, "left")
 
-    cents = "decimal(15,2)"
-    price = F.col("l_extendedprice").cast(cents)
-    rate = F.col("l_discount").cast("decimal(5,2)")
-    sales = price * (1 - rate)
+    # The tables hold prices and rates with two places as doubles. A line's amount has four
+    # places, far above the error of a few double operations, so it is exact once rounded.
+    amount = "decimal(18,4)"
+    sales = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     quantity = F.col("l_quantity").cast("int")
-    cost = quantity * F.col("p_retailprice").cast(cents) * COST_SHARE
+    cost = quantity * F.col("p_retailprice") * COST_SHARE
     mapping = {
         "row_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
         "order_id": F.concat(F.lit("ORD-"), zero_pad(F.col("l_orderkey"), 8)),
@@ -80,10 +92,10 @@ def sales_wide(spark: SparkSession, sf_dir: str, columns: list[str] | None = Non
         "category": F.col("p_type"),
         "sub_category": F.col("p_brand"),
         "product_name": F.col("p_name"),
-        "sales": sales.cast(MONEY),
+        "sales": sales.cast(amount).cast(MONEY),
         "quantity": quantity,
-        "discount": (rate * DISCOUNT_SCALE).cast(MONEY),
-        "profit": (sales - cost).cast(MONEY),
+        "discount": (F.col("l_discount") * DISCOUNT_SCALE).cast(amount).cast(MONEY),
+        "profit": (sales - cost).cast(amount).cast(MONEY),
     }
     return lines.select(*[mapping[c].alias(c) for c in columns])
 
