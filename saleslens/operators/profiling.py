@@ -47,8 +47,9 @@ def _exact_bin(value: Column, low: Column, high: Column, bins: int) -> Column:
     Whole-number division of exact values puts a value that lies on an edge into the
     bin it opens. Without any spread the range is widened by half a unit either way.
     """
-    steps = F.call_function("div", (value - low) * bins, F.nullif(high - low, F.lit(0).cast("decimal(1,0)")))
-    return F.coalesce(F.least(steps, F.lit(bins - 1)), F.lit(bins // 2)).cast("int")
+    span = F.nullif(high - low, F.lit(0).cast("decimal(1,0)"))
+    step = F.least(F.call_function("div", (value - low) * bins, span), F.lit(bins - 1))
+    return F.when(span.isNull(), bins // 2).otherwise(step).cast("int")
 
 
 def histogram(frame: DataFrame, columns: list[str] = NUMERIC_COLUMNS, bins: int = 40) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from saleslens.functions.frames import inputs
 from saleslens.functions.numbers import double, half_up, mean
-from saleslens.functions.order_stats import dense_rank_desc
+from saleslens.functions.order_stats import dense_rank_desc, top_dense_rank_desc
 from saleslens.operators.sales import year_month
 from saleslens.schema import PRODUCT_KEY
 
@@ -156,14 +156,9 @@ def product_sales_rank_by_category(lines: DataFrame) -> DataFrame:
 
 @inputs("category", "product_name", "sales")
 def top_products_per_category(lines: DataFrame, k: int = 3) -> DataFrame:
-    """Products of the first `k` ranks; each task drops all others before the shuffle."""
-    rank = F.dense_rank().over(W.partitionBy("category").orderBy(F.desc("sales")))
-    return (
-        _product_sales(lines)
-        .withColumn("rank_in_category", rank)
-        .where(F.col("rank_in_category") <= k)
-        .orderBy("category", "rank_in_category", "product_name")
-    )
+    """Products of the first `k` ranks by sales in their category."""
+    best = top_dense_rank_desc(_product_sales(lines), "category", "sales", "rank_in_category", k)
+    return best.orderBy("category", "rank_in_category", "product_name")
 
 
 @inputs(*PRODUCT_KEY, "sales", "profit", "discount")

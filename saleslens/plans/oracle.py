@@ -357,7 +357,10 @@ def _histogram(columns, bins: int, value="{}") -> str:
     def one(c):
         v = f"CAST({value.format(c)} AS DECIMAL(18, 6))"
         steps = "CAST((v - low) * 1000000 AS HUGEINT) * {b} // nullif(CAST((high - low) * 1000000 AS HUGEINT), 0)"
-        place = f"CAST(COALESCE(least({steps.format(b=bins)}, {bins - 1}), {bins // 2}) AS INTEGER)"
+        place = (
+            f"CAST(CASE WHEN high = low THEN {bins // 2} "
+            f"ELSE least({steps.format(b=bins)}, {bins - 1}) END AS INTEGER)"
+        )
         return (
             f"SELECT '{c}' AS field, {place} AS bin, low, high, count(*) AS count FROM "
             f"(SELECT {v} AS v, min({v}) OVER () AS low, max({v}) OVER () AS high FROM silver WHERE {c} IS NOT NULL) "

@@ -87,23 +87,30 @@ def verify_roundtrip(frame: DataFrame, path: str) -> DataFrame:
     )
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below `path`, from the file listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
+
+
 def compact(
     spark: SparkSession,
     path: str,
     target: str,
     cluster_by: list[str] = CLUSTER_COLUMNS,
     spread_by: list[str] = ("order_id", "product_id"),
-    files: int | None = None,
+    file_bytes: int = 512 * 2**20,
 ) -> str:
-    """Rewrite a Parquet table as fewer files, clustered for range filters on `cluster_by`.
+    """Rewrite a Parquet table as files of about `file_bytes`, clustered by `cluster_by`.
 
-    `spread_by` follows in the range key, so one combination of cluster values may
-    stretch over many files. Without `files`, Spark sizes the files by the data.
+    Range filters on these columns then skip most files. `spread_by` follows in the
+    range key, so one combination of cluster values may stretch over many files.
     """
     table = spark.read.parquet(path)
     keys = [*cluster_by, *[c for c in spread_by if c in table.columns]]
-    ranged = table.repartitionByRange(files, *keys) if files else table.repartitionByRange(*keys)
-    ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(target)
+    files = max(1, -(-stored_bytes(spark, path) // file_bytes))
+    ranged = table.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+    ranged.write.mode("overwrite").parquet(target)
     return target
 
 
