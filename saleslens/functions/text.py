@@ -4,15 +4,35 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# All characters that count as white space.
+WHITE_SPACE = [
+    *" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000",
+    *[chr(code) for code in range(0x2000, 0x200B)],
+]
+_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+_MARK = "\u0001 "
+
+
 def strip(value: Column) -> Column:
-    """Remove white space of any kind from both ends (SQL `trim` takes blanks only)."""
-    return F.regexp_replace(value, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    """Remove white space of any kind from both ends (SQL `trim` takes blanks only).
+
+    The pattern only runs on texts that begin or end with white space.
+    """
+    ends = [F.substring(value, 1, 1), F.substring(value, -1, 1)]
+    padded = ends[0].isin(WHITE_SPACE) | ends[1].isin(WHITE_SPACE)
+    stripped = F.regexp_replace(value, f"^{_SPACE}+|{_SPACE}+$", "")
+    return F.when(padded, stripped).otherwise(value)
 
 
 def title_case(value: Column) -> Column:
-    """Capital after every non-letter: `home-office o'neil` -> `Home-Office O'Neil`."""
-    runs = F.regexp_extract_all(F.lower(value), F.lit(r"(\p{Ll}+|[^\p{Ll}]+)"), 1)
-    return F.array_join(F.transform(runs, F.initcap), "")
+    """Capital after every non-letter: `home-office o'neil` -> `Home-Office O'Neil`.
+
+    Spark's `initcap` begins words after blanks only. Where there are other
+    non-letters, each gets a mark with a blank behind it, taken out again afterwards.
+    """
+    marked = F.regexp_replace(value, r"([^\p{L} ])", f"$1{_MARK}")
+    every_word = F.replace(F.initcap(marked), F.lit(_MARK), F.lit(""))
+    return F.when(value.rlike(r"[^\p{L} ]"), every_word).otherwise(F.initcap(value))
 
 
 def zero_pad(value: Column, width: int) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from saleslens.functions.dates import iso_date
 from saleslens.functions.frames import unpivot, with_row
 from saleslens.functions.numbers import double, half_even, money
 from saleslens.functions.order_stats import quantiles
@@ -18,7 +19,6 @@ from saleslens.functions.text import strip, title_case, zero_pad
 from saleslens.schema import (
     CATEGORY_COLUMNS,
     DATE_COLUMNS,
-    DATE_FORMAT,
     DERIVED_FROM,
     LINE_KEY,
     LOSS_THRESHOLD,
@@ -147,7 +147,7 @@ def impute(raw: DataFrame) -> DataFrame:
 
 
 def _date(name: str) -> Column:
-    return F.try_to_date(F.col(name), DATE_FORMAT)
+    return iso_date(F.col(name))
 
 
 def _whole_number(name: str) -> Column:

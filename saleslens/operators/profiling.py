@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from saleslens.functions.distinct import with_distinct_counts
 from saleslens.functions.frames import inputs, unpivot
 from saleslens.functions.numbers import count_where, double, half_even
 from saleslens.functions.order_stats import quantiles
@@ -19,16 +20,25 @@ DERIVED_NUMERIC = [
 QUARTILES = [0.25, 0.5, 0.75]
 
 
+def _moments(name: str) -> Column:
+    return F.struct(
+        F.count(name).alias("count"),
+        half_even(F.avg(name), 2).alias("mean"),
+        half_even(F.stddev_samp(name), 2).alias("std"),
+        half_even(F.min(name), 2).alias("min"),
+        half_even(F.max(name), 2).alias("max"),
+    )
+
+
 def describe_numeric(frame: DataFrame, columns: list[str] = NUMERIC_COLUMNS) -> DataFrame:
     """(field, count, mean, std, min, p25, p50, p75, max), exact, two places."""
-    values = unpivot(frame, columns, "field", "value", "double")
-    moments = values.groupBy("field").agg(
-        F.count("value").alias("count"),
-        half_even(F.avg("value"), 2).alias("mean"),
-        half_even(F.stddev_samp("value"), 2).alias("std"),
-        half_even(F.min("value"), 2).alias("min"),
-        half_even(F.max("value"), 2).alias("max"),
+    numbers = frame.select(*[double(F.col(c)).alias(c) for c in columns])
+    moments = numbers.agg(*[_moments(c).alias(c) for c in columns])
+    moments = moments.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("m")) for c in columns]))
     )
+    moments = moments.select("field", "m.*")
+    values = unpivot(numbers, columns, "field", "value", "double")
     points = quantiles(values, "field", "value", QUARTILES)
     return moments.join(points, "field", "left").select(
         "field",
@@ -131,14 +141,16 @@ def correlation_matrix(frame: DataFrame, columns: list[str] = NUMERIC_COLUMNS) -
 @inputs("order_date", "order_id", "customer_id", "product_id")
 def extent_and_cardinality(frame: DataFrame) -> DataFrame:
     """One row: first and last order date; distinct dates, orders, customers, products."""
-    return frame.agg(
-        F.min("order_date").alias("first_order"),
-        F.max("order_date").alias("last_order"),
-        F.count_distinct("order_date").alias("order_dates"),
-        F.count_distinct("order_id").alias("orders"),
-        F.count_distinct("customer_id").alias("customers"),
-        F.count_distinct("product_id").alias("products"),
+    span = frame.agg(
+        F.min("order_date").alias("first_order"), F.max("order_date").alias("last_order")
     )
+    counted = {
+        "order_dates": "order_date",
+        "orders": "order_id",
+        "customers": "customer_id",
+        "products": "product_id",
+    }
+    return with_distinct_counts(span, frame, [], counted)
 
 
 @inputs("row_id", "product_name", "category", "sales", "profit", "discount", "profit_margin", "is_loss")

@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleslens.errors import QualityGateError, SchemaValidationError
+from saleslens.functions.dates import iso_date
 from saleslens.functions.frames import inputs, one_row, with_row
 from saleslens.functions.numbers import count_where, double, half_even, money, total_double
 from saleslens.operators.cleaning import fill_values
 from saleslens.schema import (
     CRITICAL_COLUMNS,
     DATE_COLUMNS,
-    DATE_FORMAT,
     MIN_ROWS,
     NUMERIC_COLUMNS,
     RAW_COLUMNS,
@@ -50,7 +50,7 @@ def date_parse_report(raw: DataFrame) -> DataFrame:
     """(column, invalid): values that are no date in the expected format."""
     columns = _present(raw, DATE_COLUMNS)
     invalid = [
-        count_where(F.col(c).isNotNull() & F.try_to_date(F.col(c), DATE_FORMAT).isNull()).alias(c)
+        count_where(F.col(c).isNotNull() & iso_date(F.col(c)).isNull()).alias(c)
         for c in columns
     ]
     return raw.agg(*invalid).unpivot([], columns, "column", "invalid")

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from saleslens.functions.distinct import with_distinct_counts
 from saleslens.functions.frames import inputs
 from saleslens.functions.numbers import double, half_up, mean
 from saleslens.functions.order_stats import dense_rank_desc, top_dense_rank_desc
@@ -20,43 +21,40 @@ def discount_pct() -> Column:
     return half_up(mean(F.col("discount")) * 100, 2).alias("avg_discount_pct")
 
 
+ORDERS = {"orders": "order_id"}
+CUSTOMERS = {"customers": "customer_id"}
+
+
 @inputs("order_id", "customer_id", "sales", "profit", "discount")
 def kpis(lines: DataFrame) -> DataFrame:
-    return lines.agg(
-        amount("sales").alias("total_sales"),
-        amount("profit").alias("total_profit"),
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_id").alias("total_customers"),
-        discount_pct(),
+    sums = lines.agg(
+        amount("sales").alias("total_sales"), amount("profit").alias("total_profit"), discount_pct()
+    )
+    counted = {"total_orders": "order_id", "total_customers": "customer_id"}
+    return with_distinct_counts(sums, lines, [], counted).select(
+        "total_sales", "total_profit", "total_orders", "total_customers", "avg_discount_pct"
     )
 
 
 @inputs("order_date", "order_id", "sales", "profit")
 def monthly_trend(lines: DataFrame) -> DataFrame:
-    return (
-        lines.groupBy(year_month().alias("year_month"))
-        .agg(
-            amount("sales").alias("sales"),
-            amount("profit").alias("profit"),
-            F.count_distinct("order_id").alias("orders"),
-        )
-        .orderBy("year_month")
+    months = lines.withColumn("year_month", year_month())
+    sums = months.groupBy("year_month").agg(
+        amount("sales").alias("sales"), amount("profit").alias("profit")
     )
+    return with_distinct_counts(sums, months, ["year_month"], ORDERS).orderBy("year_month")
 
 
 @inputs("category", "order_id", "sales", "profit", "quantity", "discount")
 def category_rollup(lines: DataFrame) -> DataFrame:
-    return (
-        lines.groupBy("category")
-        .agg(
-            amount("sales").alias("sales"),
-            amount("profit").alias("profit"),
-            F.sum("quantity").alias("quantity"),
-            discount_pct(),
-            F.count_distinct("order_id").alias("orders"),
-        )
-        .orderBy(F.desc("sales"), "category")
+    sums = lines.groupBy("category").agg(
+        amount("sales").alias("sales"),
+        amount("profit").alias("profit"),
+        F.sum("quantity").alias("quantity"),
+        discount_pct(),
     )
+    result = with_distinct_counts(sums, lines, ["category"], ORDERS)
+    return result.orderBy(F.desc("sales"), "category")
 
 
 @inputs("category", "sub_category", "sales", "profit", "quantity")
@@ -74,57 +72,45 @@ def subcategory_rollup(lines: DataFrame) -> DataFrame:
 
 @inputs("region", "order_id", "customer_id", "sales", "profit")
 def regional_rollup(lines: DataFrame) -> DataFrame:
-    return (
-        lines.groupBy("region")
-        .agg(
-            amount("sales").alias("sales"),
-            amount("profit").alias("profit"),
-            F.count_distinct("order_id").alias("orders"),
-            F.count_distinct("customer_id").alias("customers"),
-        )
-        .orderBy(F.desc("sales"), "region")
+    sums = lines.groupBy("region").agg(
+        amount("sales").alias("sales"), amount("profit").alias("profit")
     )
+    result = with_distinct_counts(sums, lines, ["region"], ORDERS | CUSTOMERS)
+    return result.orderBy(F.desc("sales"), "region")
 
 
 @inputs("row_id", "order_id", "customer_id", "region", "product_id", "sales", "profit", "quantity")
 def order_product_summary(lines: DataFrame) -> DataFrame:
     """Totals, customer, region, distinct products and quantity per order.
 
-    Defined as order totals left-joined with product counts on the order; as both
-    sides group the same lines by the join key, one grouping gives the same rows. A
-    null order finds no partner in that join and therefore has no counts. Customer and
-    region are those of the order's first line: lowest row number, then smallest
-    product, quantity and amounts.
-
-    Lines are first reduced to one row per order and product, so an order that holds a
-    large part of the lines is spread over the cluster.
+    Order totals, left-joined with the order's distinct products. Both sides are one
+    row per order and are brought together by it already when they meet; each reduces an
+    order within every task, or spreads it by product, so a large one is no burden. A
+    null order finds no partner and has no counts. Customer and region are those of the
+    order's first line: lowest row number, then smallest product, quantity and amounts.
     """
     place = F.struct("row_id", "product_id", "quantity", "sales", "profit", "customer_id", "region")
-    per_product = lines.groupBy("order_id", "product_id").agg(
-        F.sum("sales").alias("sales"),
-        F.sum("profit").alias("profit"),
-        F.sum("quantity").alias("quantity"),
+    totals = lines.groupBy("order_id").agg(
+        amount("sales").alias("order_total_sales"),
+        amount("profit").alias("order_total_profit"),
         F.min(place).alias("first"),
+        F.sum("quantity").alias("quantity"),
     )
-    known = F.col("order_id").isNotNull()
-    return (
-        per_product.groupBy("order_id")
-        .agg(
-            amount("sales").alias("order_total_sales"),
-            amount("profit").alias("order_total_profit"),
-            F.min("first").alias("first"),
-            F.count("product_id").alias("distinct_products"),
-            F.sum("quantity").alias("total_quantity"),
-        )
-        .select(
-            "order_id",
-            "order_total_sales",
-            "order_total_profit",
-            F.col("first.customer_id").alias("customer_id"),
-            F.col("first.region").alias("region"),
-            F.when(known, F.col("distinct_products")).alias("distinct_products"),
-            F.when(known, F.col("total_quantity")).alias("total_quantity"),
-        )
+    products = (
+        lines.select("order_id", "product_id")
+        .where(F.col("order_id").isNotNull())
+        .distinct()
+        .groupBy("order_id")
+        .agg(F.count("product_id").alias("distinct_products"))
+    )
+    return totals.join(products, "order_id", "left").select(
+        "order_id",
+        "order_total_sales",
+        "order_total_profit",
+        F.col("first.customer_id").alias("customer_id"),
+        F.col("first.region").alias("region"),
+        "distinct_products",
+        F.when(F.col("order_id").isNotNull(), F.col("quantity")).alias("total_quantity"),
     )
 
 

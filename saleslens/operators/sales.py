@@ -1,15 +1,14 @@
 """Sales analytics over cleaned order lines.
 
 Rows whose group key is null are left out, an unordered tie is settled by the group
-keys, and a ratio with a zero divisor is null. Distinct orders and customers are
-counted exactly; Spark reduces them by (group, value) before it gathers the groups,
-so a group that holds a large part of the lines is spread over the cluster.
+keys, and a ratio with a zero divisor is null.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from saleslens.functions.distinct import with_distinct_counts
 from saleslens.functions.frames import inputs, without_null_keys
 from saleslens.functions.numbers import (
     count_where,
@@ -27,20 +26,19 @@ MEASURES = {
     "sales": lambda: total("sales"),
     "profit": lambda: total("profit"),
     "quantity": lambda: F.coalesce(F.sum("quantity"), F.lit(0)),
-    "orders": lambda: F.count_distinct("order_id"),
-    "customers": lambda: F.count_distinct("customer_id"),
     "avg_discount": lambda: mean(F.col("discount")),
 }
+COUNTED = {"orders": "order_id", "customers": "customer_id"}
 AMOUNTS = ("sales", "profit")
 
 
 def grouped(lines: DataFrame, keys: list[str], *measures: str) -> DataFrame:
     """Keys and measures; amounts stay exact until `presented`."""
-    return (
-        without_null_keys(lines, keys)
-        .groupBy(*keys)
-        .agg(*[MEASURES[m]().alias(m) for m in measures])
-    )
+    lines = without_null_keys(lines, keys)
+    added = [MEASURES[m]().alias(m) for m in measures if m in MEASURES]
+    result = lines.groupBy(*keys).agg(*added)
+    counted = {m: COUNTED[m] for m in measures if m in COUNTED}
+    return with_distinct_counts(result, lines, keys, counted) if counted else result
 
 
 def presented(result: DataFrame) -> DataFrame:
@@ -78,20 +76,26 @@ def kpi_summary(lines: DataFrame) -> DataFrame:
     The mean order value is the sales of lines with an order over the number of orders,
     which equals the mean of the order totals without building them.
     """
-    ordered = F.sum(F.when(F.col("order_id").isNotNull(), F.col("sales")))
-    orders = F.count_distinct("order_id")
-    rows = F.count("*")
-    return lines.agg(
+    share = F.try_divide(double(count_where(F.col("is_loss"))), double(F.count("*")))
+    sums = lines.agg(
         half_even(total_double("sales"), 2).alias("total_sales"),
         half_even(total_double("profit"), 2).alias("total_profit"),
-        orders.alias("total_orders"),
-        F.count_distinct("customer_id").alias("total_customers"),
-        half_even(F.try_divide(double(ordered), double(orders)), 2).alias("avg_order_value"),
+        double(F.sum(F.when(F.col("order_id").isNotNull(), F.col("sales")))).alias("ordered"),
         half_even(mean_margin(), 2).alias("avg_profit_margin_pct"),
         half_even(mean(F.col("discount")) * 100, 2).alias("overall_discount_rate_pct"),
-        half_even(
-            F.try_divide(double(count_where(F.col("is_loss"))), double(rows)) * 100, 2
-        ).alias("loss_line_items_pct"),
+        half_even(share * 100, 2).alias("loss_line_items_pct"),
+    )
+    counted = {"total_orders": "order_id", "total_customers": "customer_id"}
+    per_order = F.try_divide(F.col("ordered"), double(F.col("total_orders")))
+    return with_distinct_counts(sums, lines, [], counted).select(
+        "total_sales",
+        "total_profit",
+        "total_orders",
+        "total_customers",
+        half_even(per_order, 2).alias("avg_order_value"),
+        "avg_profit_margin_pct",
+        "overall_discount_rate_pct",
+        "loss_line_items_pct",
     )
 
 
@@ -205,8 +209,15 @@ CUSTOMER_KEY = ["customer_id", "customer_name", "segment"]
 
 @inputs(*CUSTOMER_KEY, "order_id", "sales", "profit")
 def top_customers_by_sales(lines: DataFrame, n: int | None = None) -> DataFrame:
-    result = grouped(lines, CUSTOMER_KEY, "sales", "profit", "orders")
-    return presented(result.orderBy(F.desc("sales"), *CUSTOMER_KEY).limit(top(n)))
+    """The `n` customers with the highest sales; orders are counted for these only."""
+    best = grouped(lines, CUSTOMER_KEY, "sales", "profit")
+    best = best.orderBy(F.desc("sales"), *CUSTOMER_KEY).limit(top(n))
+    # Broadcast: `n` rows.
+    theirs = lines.select(*CUSTOMER_KEY, "order_id").join(F.broadcast(best), CUSTOMER_KEY)
+    counted = theirs.distinct().groupBy(*CUSTOMER_KEY, *AMOUNTS).agg(
+        F.count("order_id").alias("orders")
+    )
+    return presented(counted).orderBy(F.desc("sales"), *CUSTOMER_KEY)
 
 
 # Discounts and shipping
@@ -252,11 +263,12 @@ def shipping_analysis(lines: DataFrame) -> DataFrame:
 
     The window over all rows runs on one row per ship mode.
     """
-    result = without_null_keys(lines, ["ship_mode"]).groupBy("ship_mode").agg(
-        F.count_distinct("order_id").alias("orders"),
+    lines = without_null_keys(lines, ["ship_mode"])
+    result = lines.groupBy("ship_mode").agg(
         half_even(mean(F.col("shipping_days")), 1).alias("avg_shipping_days"),
         total_double("sales").alias("sales"),
     )
+    result = with_distinct_counts(result, lines, ["ship_mode"], {"orders": "order_id"})
     all_orders = F.sum("orders").over(W.partitionBy())
     return result.withColumn("order_share_pct", percent_of(F.col("orders"), all_orders)).orderBy(
         F.desc("orders"), "ship_mode"

@@ -66,7 +66,6 @@ DERIVED_FROM = {
 SILVER_COLUMNS = RAW_COLUMNS + list(DERIVED_FROM)
 
 # Settings the results depend on.
-DATE_FORMAT = "yyyy-M-d"
 UNKNOWN = "Unknown"
 UNKNOWN_POSTAL_CODE = "00000"
 POSTAL_CODE_WIDTH = 5
