@@ -5,7 +5,12 @@ from pyspark.sql import functions as F
 
 
 # All characters that count as white space.
-WHITE_SPACE = [
+WHITE_SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+_SPACE = [
     *" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000",
     *[chr(code) for code in range(0x2000, 0x200B)],
 ]
@@ -18,8 +23,8 @@ def strip(value: Column) -> Column:
 
     The pattern only runs on texts that begin or end with white space.
     """
-    ends = [F.substring(value, 1, 1), F.substring(value, -1, 1)]
-    padded = ends[0].isin(WHITE_SPACE) | ends[1].isin(WHITE_SPACE)
+    white = F.lit(WHITE_SPACE)
+    padded = F.contains(white, F.substring(value, 1, 1)) | F.contains(white, F.substring(value, -1, 1))
     stripped = F.regexp_replace(value, f"^{_SPACE}+|{_SPACE}+$", "")
     return F.when(padded, stripped).otherwise(value)
 

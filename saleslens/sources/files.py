@@ -51,9 +51,10 @@ def read_raw(spark: SparkSession, path: str, encoding: str = "utf-8", multi_line
     fmt = None if path.rstrip("/").lower().endswith(tuple(FORMATS)) else "csv"
     frame = sanitize_columns(read_table(spark, path, fmt, encoding=encoding, multiLine=multi_line))
     texts = [F.col(c).cast("string") for c in frame.columns]
+    missing = [F.lit(text) for text in MISSING_TEXTS]
     return frame.select(
         *[
-            F.when(~text.isin(MISSING_TEXTS), text).alias(c)
+            F.when(~text.isin(missing), text).alias(c)
             for c, text in zip(frame.columns, texts, strict=True)
         ]
     )

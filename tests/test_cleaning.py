@@ -84,7 +84,7 @@ def test_integers_are_cut_and_default_to_zero(spark):
 
 @pytest.mark.parametrize(
     ("text", "wanted"),
-    [("  home-office o'neil\t", "Home-Office O'Neil"), ("STANDARD class", "Standard Class"), (" east ", "East"), ("éclair 2nd", "Éclair 2Nd")],
+    [("  home-office o'neil\t", "Home-Office O'Neil"), ("STANDARD class", "Standard Class"), (" east ", "East"), ("éclair 2nd", "Éclair 2Nd"), ("\u00a0a\u2003", "A"), ("x\u0001 y", "X\u0001 Y"), ("a  b_c", "A  B_C"), ("", "")],
 )
 def test_texts(spark, text, wanted):
     assert values(c.standardize_text(make_raw(spark, {"region": text})), "region") == [(wanted,)]
