@@ -154,6 +154,10 @@ def _read_version(spark, sf_dir):
     return _by_year_and_category(sinks.read_version(spark, _snapshots(spark, sf_dir), 0))
 
 
+def _write_snapshot(spark, sf_dir):
+    return _by_year_and_category(sinks.read_version(spark, _snapshots(spark, sf_dir), 1))
+
+
 def _history(spark, sf_dir):
     return sinks.history(spark, _snapshots(spark, sf_dir)).drop("written_at")
 
@@ -264,6 +268,7 @@ def queries() -> dict[str, Query]:
         "layer_inventory": _layer_inventory,
         "verify_roundtrip": _verify_roundtrip,
         "compact": _compact,
+        "write_snapshot": _write_snapshot,
         "read_version": _read_version,
         "history": _history,
         "run_pipeline": _run_pipeline,

@@ -411,6 +411,7 @@ def oracle_sql() -> dict[str, str]:
         WIDE, "SELECT row_id, sub_category, CAST(sales AS DOUBLE) AS sales, quantity FROM wide"
     )
     sql["write_partitioned"] = sql["compact"] = sql["read_version"] = by_category
+    sql["write_snapshot"] = by_category.replace("FROM silver", "FROM silver WHERE NOT is_loss")
     sql["history"] = over(
         WIDE,
         "SELECT CAST(0 AS BIGINT) AS snapshot_id, count(*) AS rows FROM wide UNION ALL "

@@ -35,14 +35,14 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, **options
     suffix = "." + name.rsplit(".", 1)[-1] if "." in name else ""
     fmt = fmt or FORMATS.get(suffix)
     if fmt not in FORMATS.values():
-        raise SourceError(f"unsupported file format {fmt or suffix!r}: {path}")
+        raise SourceError(f"no reader for {fmt or suffix!r}: {path}")
     if fmt == "csv":
         options = {**CSV_OPTIONS, **options}
     try:
         return spark.read.format(fmt).options(**options).load(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise SourceError(f"data file not found: {path}") from error
+            raise SourceError(f"nothing to read at {path}") from error
         raise
 
 
@@ -71,5 +71,5 @@ def read_gold(spark: SparkSession, path: str, schema) -> DataFrame:
         return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise SourceError(f"gold table not found: {path}") from error
+            raise SourceError(f"no gold table at {path}") from error
         raise

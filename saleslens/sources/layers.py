@@ -42,11 +42,21 @@ def layer_inventory(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder every executor can reach, below the checkpoint folder of the session."""
+def _scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.gettempdir()
-    return f"{shared.rstrip('/')}/saleslens/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{shared.rstrip('/')}/saleslens/{spark.sparkContext.applicationId}"
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder every executor can reach, below the checkpoint folder of the session."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch folders of this application, once its results are no longer read."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)

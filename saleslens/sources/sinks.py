@@ -16,7 +16,7 @@ SNAPSHOT = "snapshot_id"
 def save_results(frame: DataFrame, path: str, format: str = "parquet") -> str:
     """Replace `path` by `frame`. Delta needs its library on the class path."""
     if format not in SINK_FORMATS:
-        raise SinkError(f"unsupported output format {format!r}, use one of {SINK_FORMATS}")
+        raise SinkError(f"no writer for {format!r}, use one of {SINK_FORMATS}")
     options = CSV_OPTIONS if format == "csv" else {}
     try:
         frame.write.format(format).mode("overwrite").options(**options).save(path)

@@ -41,7 +41,7 @@ def plan_of(frame) -> str:
 
 
 STORED = {"read_raw", "load_validated", "layer_inventory", "run_pipeline", "write_partitioned", "compact",
-          "read_version", "history", "verify_roundtrip", "read_silver", "write_silver", "read_gold",
+          "write_snapshot", "read_version", "history", "verify_roundtrip", "read_silver", "write_silver", "read_gold",
           "write_gold", "save_results", "read_table", "run_summary", "cleaning_report", "clean"}
 
 

@@ -30,9 +30,9 @@ def test_raw_texts_survive_quotes_blanks_and_column_order(spark, tmp_path):
 
 
 def test_source_errors(spark, tmp_path):
-    with pytest.raises(SourceError, match="not found"):
+    with pytest.raises(SourceError, match="nothing to read"):
         files.read_table(spark, str(tmp_path / "none.parquet"))
-    with pytest.raises(SourceError, match="unsupported"):
+    with pytest.raises(SourceError, match="no reader"):
         files.read_table(spark, str(tmp_path / "data.xlsx"))
 
 
@@ -118,6 +118,14 @@ def test_scratch_is_fresh_and_below_the_shared_folder(spark):
     assert shared is None or first.startswith(shared)
 
 
+def test_scratch_can_be_cleared(spark, lines):
+    path = sinks.write_silver(lines, layers.scratch_folder(spark, "x"))
+    layers.clear_scratch(spark)
+    with pytest.raises(SourceError):
+        files.read_silver(spark, path)
+    layers.clear_scratch(spark)
+
+
 def test_pipeline(spark, raw_csv, tmp_path):
     base = str(tmp_path / "lake")
     with pytest.raises(QualityGateError, match="at least 1000 rows"):
