@@ -39,6 +39,11 @@ def unpivot(frame: DataFrame, columns: list[str], name: str, value: str, as_type
     return frame.select(*cast).unpivot([], columns, name, value)
 
 
+def rising(*columns: str) -> list[Column]:
+    """Sort order with nulls last, as data-frame libraries have it."""
+    return [F.asc_nulls_last(c) for c in columns]
+
+
 def without_null_keys(frame: DataFrame, keys: list[str]) -> DataFrame:
     """Drop rows whose group key is null, as data-frame libraries do when grouping."""
     return frame.dropna(subset=keys)

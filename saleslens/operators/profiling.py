@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleslens.functions.distinct import with_distinct_counts
-from saleslens.functions.frames import inputs, unpivot
+from saleslens.functions.frames import inputs, rising, unpivot
 from saleslens.functions.numbers import count_where, double, half_even
 from saleslens.functions.order_stats import quantiles
 from saleslens.schema import NUMERIC_COLUMNS
@@ -158,7 +158,7 @@ def loss_items(frame: DataFrame, n: int = 10) -> DataFrame:
     """The first `n` loss lines in row order."""
     return (
         frame.where("is_loss")
-        .orderBy("row_id", "product_name", "category", "sales", "profit", "discount")
+        .orderBy(*rising("row_id", "product_name", "category", "sales", "profit", "discount"))
         .limit(n)
         .select(
             "row_id",
@@ -181,4 +181,4 @@ def loss_share(frame: DataFrame) -> DataFrame:
 def preview(frame: DataFrame, n: int = 5, order: list[str] = ("row_id",)) -> DataFrame:
     """The first `n` rows in a stated order; a plain limit would return any rows."""
     rest = [c for c in frame.columns if c not in order]
-    return frame.orderBy(*order, *rest).limit(n)
+    return frame.orderBy(*rising(*order, *rest)).limit(n)

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.functions.frames import inputs, with_row, without_null_keys
+from saleslens.functions.frames import inputs, rising, with_row, without_null_keys
 from saleslens.functions.numbers import double, half_even, half_up, mean_margin, total_double
 from saleslens.operators.profitability import (
     RISK_KEY,
@@ -61,7 +61,7 @@ def top_loss_line_items(lines: DataFrame, n: int = 20) -> DataFrame:
     columns = ["product_name", "category", "sub_category", "sales", "profit", "discount"]
     return (
         lines.where(F.col("profit") < 0)
-        .orderBy("profit", "row_id", *columns[:4])
+        .orderBy(*rising("profit", "row_id", *columns[:4]))
         .limit(n)
         .select(
             "product_name",

@@ -413,9 +413,9 @@ def oracle_sql() -> dict[str, str]:
     sql["write_partitioned"] = sql["compact"] = sql["read_version"] = by_category
     sql["write_snapshot"] = by_category.replace("FROM silver", "FROM silver WHERE NOT is_loss")
     sql["history"] = over(
-        WIDE,
-        "SELECT CAST(0 AS BIGINT) AS snapshot_id, count(*) AS rows FROM wide UNION ALL "
-        "SELECT CAST(1 AS BIGINT), count(*) FROM wide WHERE profit >= 0",
+        SILVER,
+        "SELECT CAST(0 AS BIGINT) AS snapshot_id, count(*) AS rows FROM silver UNION ALL "
+        "SELECT CAST(1 AS BIGINT), count(*) FROM silver WHERE NOT is_loss",
     )
     sql["verify_roundtrip"] = over(
         WIDE,
@@ -500,7 +500,7 @@ def oracle_sql() -> dict[str, str]:
     sql["drop_key_duplicates"] = over(KEPT, f"SELECT {', '.join(RAW_COLUMNS)} FROM kept")
 
     def step(columns: dict[str, str], table: str = "raw") -> str:
-        fields = ", ".join([*LINE[:1], *LINE[1:], *[f"{x} AS {c}" for c, x in columns.items()]])
+        fields = ", ".join([*LINE, *[f"{x} AS {c}" for c, x in columns.items()]])
         return over(RAW, f"SELECT {fields} FROM {table}")
 
     sql["impute_median"] = step(
@@ -512,7 +512,7 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["impute_unknown"] = over(
         RAW,
-        "SELECT row_id, order_id, product_id, COALESCE(city, 'Unknown') AS city "
+        f"SELECT {', '.join(f'COALESCE({c}, {chr(39)}Unknown{chr(39)}) AS {c}' for c in [*LINE, 'city'])} "
         "FROM (SELECT * REPLACE (CASE WHEN postal_code IS NOT NULL THEN city END AS city) FROM raw)",
     )
     sql["cast_dates"] = step({c: day(c) for c in ("order_date", "ship_date")})
