@@ -224,31 +224,29 @@ def top_customers_by_sales(lines: DataFrame, n: int | None = None) -> DataFrame:
 
 
 def discount_band() -> Column:
-    """(ordinal, label) of the band, closed on the right; null outside all bands."""
+    """Number of the band, from 1, closed on the right; null outside all bands."""
     discount = F.col("discount")
-    band = F.lit(None)
-    for ordinal, (low, high, label) in reversed(list(enumerate(DISCOUNT_BANDS))):
-        edges = [F.lit(edge).cast("decimal(4,2)") for edge in (low, high)]
-        inside = (discount > edges[0]) & (discount <= edges[1])
-        band = F.when(inside, F.struct(F.lit(ordinal).alias("ordinal"), F.lit(label).alias("label"))).otherwise(band)
+    band = F.when(discount <= F.lit(DISCOUNT_BANDS[0][0]).cast("decimal(4,2)"), F.lit(None))
+    for number, (_, high, _) in enumerate(DISCOUNT_BANDS, start=1):
+        band = band.when(discount <= F.lit(high).cast("decimal(4,2)"), number)
     return band
 
 
 @inputs("discount", "order_id", "sales", "profit", "profit_margin")
 def discount_impact_analysis(lines: DataFrame) -> DataFrame:
     """Mean line margin, totals and lines per discount band that occurs, in band order."""
-    banded = lines.withColumn("band", discount_band()).where(F.col("band").isNotNull())
+    labels = F.array(*[F.lit(label) for _, _, label in DISCOUNT_BANDS])
+    bands = lines.groupBy(discount_band().alias("band")).agg(
+        half_even(mean_margin(), 2).alias("avg_profit_margin"),
+        total_double("sales").alias("total_sales"),
+        total_double("profit").alias("total_profit"),
+        F.count("order_id").alias("n_transactions"),
+    )
     return (
-        banded.groupBy("band")
-        .agg(
-            half_even(mean_margin(), 2).alias("avg_profit_margin"),
-            total_double("sales").alias("total_sales"),
-            total_double("profit").alias("total_profit"),
-            F.count("order_id").alias("n_transactions"),
-        )
-        .orderBy("band.ordinal")
+        bands.where(F.col("band").isNotNull())
+        .orderBy("band")
         .select(
-            F.col("band.label").alias("discount_bucket"),
+            F.element_at(labels, F.col("band")).alias("discount_bucket"),
             "avg_profit_margin",
             "total_sales",
             "total_profit",

@@ -79,6 +79,13 @@ def test_discount_bands(lines):
     ]
 
 
+def test_discount_band_edges(spark):
+    edges = ["-0.02", "-0.01", "-0.005", "0", "0.1", "0.100001", "0.8", "1.01", "1.02"]
+    frame = spark.createDataFrame([(e,) for e in edges], "d string")
+    bands = frame.select(F.col("d").cast("decimal(18,6)").alias("discount")).select(sales.discount_band().alias("b"))
+    assert [b for (b,) in values(bands, "b")] == [None, None, 1, 1, 2, 3, 9, 10, None]
+
+
 def test_shipping(lines):
     assert values(sales.shipping_analysis(lines), "ship_mode", "orders", "order_share_pct") == [
         ("First Class", 7, 35.0), ("Standard Class", 7, 35.0), ("Same Day", 6, 30.0)
