@@ -7,13 +7,14 @@ import pytest
 import __spark_entry__ as contract
 from saleslens.functions.numbers import total_double
 from saleslens.operators import cleaning, rollups, sales
+from saleslens.plans import catalog, oracle
 from saleslens.sources.star import silver
 from tests.conftest import TESTDATA
 from tests.oracle_check import TABLES, difference, duck
 
 SMALL = f"{TESTDATA}/sf0.001"
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = oracle.oracle_sql()
 # Queries that write tables and read them back.
 STORED = {"read_raw", "load_validated", "layer_inventory", "run_pipeline", "write_partitioned", "compact",
           "write_snapshot", "read_version", "history", "verify_roundtrip", "read_silver", "write_silver", "read_gold",
