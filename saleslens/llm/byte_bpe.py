@@ -28,9 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.llm.shared import chunks
+from saleslens.llm.shared import parts_of
 
-KNOWN_PIECES = 600_000
+KNOWN_PIECES = 250_000
 LONG_PIECE = 64  # bytes from which merges are queued instead of searched
 
 # White space as the split pattern understands it.
@@ -232,6 +232,9 @@ class Ranks:
         shift = np.repeat(self.begins[ids] - at[:-1], self.sizes[ids])
         return self.pool[shift + np.arange(at[-1])].tobytes()
 
+    def decode_all(self, encoded: list[bytes]) -> list[bytes]:
+        return [self.decode(np.frombuffer(ids, "<u4").astype(np.int64)) for ids in encoded]
+
 
 @lru_cache(maxsize=2)
 def ranks_of(path: str) -> Ranks:
@@ -242,34 +245,46 @@ def encode_documents(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_c
     """doc_id and ids (binary, little-endian unsigned 32-bit) of whole texts, without a shuffle."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = ranks_of(ranks)
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for start, stop in chunks([len(t) for t in texts]):
-                ids = pa.array(vocabulary.encode(texts[start:stop]), pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, stop - start), ids], ["doc_id", "ids"])
+        for doc_ids, ids in _encoded(batches, ranks):
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(encode, "doc_id long, ids binary")
+    return _rows(docs, id_col, text_col).mapInArrow(encode, "doc_id long, ids binary")
 
 
 def decode_documents(encoded: DataFrame, ranks: str) -> DataFrame:
     """doc_id, ids and the decoded bytes."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = ranks_of(ranks)
-        for batch in batches:
-            ids = batch.column("ids").to_pylist()
-            for start, stop in chunks([len(x) for x in ids]):
-                texts = [vocabulary.decode(np.frombuffer(x, "<u4").astype(np.int64)) for x in ids[start:stop]]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(start, stop - start) for c in ("doc_id", "ids")), pa.array(texts, pa.binary())],
-                    ["doc_id", "ids", "decoded"],
-                )
+        for part in (part for batch in batches for part in parts_of(batch, "ids")):
+            texts = ranks_of(ranks).decode_all(part.column("ids").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("ids"), pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"]
+            )
 
     return encoded.mapInArrow(decode, "doc_id long, ids binary, decoded binary")
 
 
+def round_trip(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, ids and the bytes decoded from these ids, in one pass over the texts."""
+
+    def encode_decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc_ids, ids in _encoded(batches, ranks):
+            columns = [doc_ids, pa.array(ids, pa.binary()), pa.array(ranks_of(ranks).decode_all(ids), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
+
+    return _rows(docs, id_col, text_col).mapInArrow(encode_decode, "doc_id long, ids binary, decoded binary")
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    vocabulary = ranks_of(ranks)
+    for part in (part for batch in batches for part in parts_of(batch)):
+        yield part.column("doc_id"), vocabulary.encode([t or "" for t in part.column("text").to_pylist()])
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     return decoded.select(
         "doc_id",
@@ -281,4 +296,4 @@ def digests(decoded: DataFrame) -> DataFrame:
 
 def query(docs: DataFrame, ranks: str) -> DataFrame:
     """Contract of op4."""
-    return digests(decode_documents(encode_documents(docs, ranks), ranks))
+    return digests(round_trip(docs, ranks))

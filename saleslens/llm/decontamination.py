@@ -24,7 +24,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.llm.shared import byte_texts, chunks, run_hashes, words_of
+from saleslens.llm.shared import byte_texts, parts_of, run_hashes, words_of
 
 WINDOW = 10
 BLOCK_ITEMS = 20_000
@@ -123,24 +123,21 @@ def _scan(rows: DataFrame, block: list[tuple[str, bytes]], size: int) -> DataFra
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = _windows(token, shared, size)
-        for batch in batches:
-            texts = byte_texts(batch.column("text"))
-            for start, stop in chunks([len(t) for t in texts]):
-                part = batch.slice(start, stop - start)
-                n_words, spans, names = windows.scan(texts[start:stop])
-                before = part.column("spans").to_pylist(), part.column("items").to_pylist()
-                spans = [merged([*new, *((s["first"], s["last"]) for s in old)]) for new, old in zip(spans, before[0], strict=True)]
-                names = [sorted({*new, *old}) for new, old in zip(names, before[1], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        part.column("text"),
-                        pa.array(n_words, pa.int64()),
-                        pa.array([[{"first": a, "last": b} for a, b in s] for s in spans], _SPAN),
-                        pa.array(names, pa.list_(pa.string())),
-                    ],
-                    ["doc_id", "text", "n_words", "spans", "items"],
-                )
+        for part in (part for batch in batches for part in parts_of(batch)):
+            n_words, spans, names = windows.scan(byte_texts(part.column("text")))
+            before = part.column("spans").to_pylist(), part.column("items").to_pylist()
+            spans = [merged([*new, *((s["first"], s["last"]) for s in old)]) for new, old in zip(spans, before[0], strict=True)]
+            names = [sorted({*new, *old}) for new, old in zip(names, before[1], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
+                    part.column("text"),
+                    pa.array(n_words, pa.int64()),
+                    pa.array([[{"first": a, "last": b} for a, b in s] for s in spans], _SPAN),
+                    pa.array(names, pa.list_(pa.string())),
+                ],
+                ["doc_id", "text", "n_words", "spans", "items"],
+            )
 
     return rows.mapInArrow(scan, HITS)
 
@@ -197,11 +194,9 @@ def _clean_rows(docs: DataFrame, block: list[tuple[str, bytes]], size: int) -> D
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = _windows(token, shared, size)
-        for batch in batches:
-            texts = byte_texts(batch.column("text"))
-            for start, stop in chunks([len(t) for t in texts]):
-                _, spans, _ = windows.scan(texts[start:stop])
-                yield batch.slice(start, stop - start).filter(pa.array([not s for s in spans]))
+        for part in (part for batch in batches for part in parts_of(batch)):
+            _, spans, _ = windows.scan(byte_texts(part.column("text")))
+            yield part.filter(pa.array([not s for s in spans]))
 
     return docs.mapInArrow(clean, docs.schema)
 

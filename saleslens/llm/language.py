@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from saleslens.llm.byte_bpe import LETTER, code_point_classes
-from saleslens.llm.shared import chunks
+from saleslens.llm.shared import parts_of
 
 SAMPLE = 600  # labelled documents a language to learn from, at most
 BUCKETS = 1 << 16
@@ -152,19 +152,17 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     schema = "doc_id long, lang_pred string, score double, shares array<double>"
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = _texts(batch.column("text"))
-            for start, stop in chunks([len(t) for t in texts]):
-                names, scores, shares = shared.value.predict(texts[start:stop])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(start, stop - start),
-                        pa.array(names, pa.string()),
-                        pa.array(scores, pa.float64()),
-                        pa.array(shares.tolist(), pa.list_(pa.float64())),
-                    ],
-                    ["doc_id", "lang_pred", "score", "shares"],
-                )
+        for part in (part for batch in batches for part in parts_of(batch)):
+            names, scores, shares = shared.value.predict(_texts(part.column("text")))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
+                    pa.array(names, pa.string()),
+                    pa.array(scores, pa.float64()),
+                    pa.array(shares.tolist(), pa.list_(pa.float64())),
+                ],
+                ["doc_id", "lang_pred", "score", "shares"],
+            )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(predict, schema)
@@ -189,10 +187,8 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(train(docs))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = _texts(batch.column("text"))
-            for start, stop in chunks([len(t) for t in texts]):
-                names, _, _ = shared.value.predict(texts[start:stop])
-                yield batch.slice(start, stop - start).filter(pa.array([n != UNKNOWN for n in names]))
+        for part in (part for batch in batches for part in parts_of(batch)):
+            names, _, _ = shared.value.predict(_texts(part.column("text")))
+            yield part.filter(pa.array([n != UNKNOWN for n in names]))
 
     return docs.mapInArrow(keep, docs.schema)

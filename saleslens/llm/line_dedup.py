@@ -25,14 +25,25 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslens.llm.shared import NO_ID, documents_of, join_hot, mixed, partitions, shown_id, stored
+from saleslens.llm.shared import (
+    NO_ID,
+    byte_texts,
+    documents_of,
+    join_hot,
+    mixed,
+    partitions,
+    parts_of,
+    shown_id,
+    stored,
+)
 
 MIN_CHARS = 10
-SPACE = " \t\n\x0b\x0c\r"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SPACE = b" \t\n\x0b\x0c\r"
+LOWERED = bytes(range(256)).lower()  # A-Z alone; bytes of other characters stay
 KEYS = ["k1", "k2"]
 
 
@@ -120,26 +131,32 @@ def built(hashes: np.ndarray) -> CuckooFilter:
 # Keys
 
 
-def line_key(line):
-    return F.translate(F.btrim(line, F.lit(SPACE)), UPPER, LOWER)
-
-
-def _key_struct(line, min_chars: int):
-    """The two hashes of a line's key, or null for a short one."""
-    key = line_key(line)
-    return F.when(F.char_length(key) >= min_chars, F.struct(F.xxhash64(key).alias("k1"), F.xxhash64(F.lit(1), key).alias("k2")))
+def line_keys(text: bytes, min_chars: int) -> list[tuple[int, int] | None]:
+    """The two hashes of each line's key, or None for a short key."""
+    keys = [line.strip(SPACE) for line in text.translate(LOWERED).split(b"\n")]
+    return [
+        (xxhash.xxh64_intdigest(key, 1) - 2**63, xxhash.xxh64_intdigest(key, 2) - 2**63)
+        if len(key) >= min_chars and (len(key) >= 4 * min_chars or len(key.decode()) >= min_chars)
+        else None
+        for key in keys
+    ]
 
 
-def with_lines(docs: DataFrame, min_chars: int, *more: str) -> DataFrame:
-    """doc_id, other columns and the keys of the lines in order."""
-    keys = F.transform(F.split("text", "\n", -1), lambda line: _key_struct(line, min_chars))
-    return docs.select("doc_id", *more, keys.alias("keys"))
+def postings_of(docs: DataFrame, min_chars: int) -> DataFrame:
+    """(k1, k2, doc_id), once per row of `docs`; repeats within a text go before any shuffle."""
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (part for batch in batches for part in parts_of(batch)):
+            ids = part.column("doc_id").to_pylist()
+            found = [
+                (*key, doc_id)
+                for doc_id, text in zip(ids, byte_texts(part.column("text")), strict=True)
+                for key in set(line_keys(text, min_chars)) - {None}
+            ]
+            columns = np.array(found, np.int64).reshape(-1, 3).T
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["k1", "k2", "doc_id"])
 
-def postings_of(docs: DataFrame, min_chars: int) -> DataFrame:
-    """Distinct (k1, k2, doc_id); repeats within a text go before any shuffle."""
-    keys = F.explode(F.array_distinct(F.filter("keys", lambda k: k.isNotNull()))).alias("key")
-    return with_lines(docs, min_chars).select("doc_id", keys).select("key.k1", "key.k2", "doc_id")
+    return docs.select("doc_id", "text").mapInArrow(work, "k1 long, k2 long, doc_id long")
 
 
 def counted(postings: DataFrame, shards: int) -> DataFrame:
@@ -276,49 +293,44 @@ def _once_per_document(postings: DataFrame) -> DataFrame:
 
 
 def drop_lines(docs: DataFrame, index: LineIndex, *more: str) -> DataFrame:
-    """doc_id, text, n_lines (before), n_dropped and further columns of `docs`, after shared lines outside
-    their first document went.
+    """doc_id, text, n_lines (before), n_dropped and further columns of `docs`, whose documents are in the
+    index, after shared lines outside their first document went.
 
     Which keys a document loses is worked out on hashes alone; the texts are shuffled once, by document.
     """
     shared = stored(index.shared(), "shared")
-    total = index.postings.count()
     lost = (
-        join_hot(postings_of(docs, index.min_chars), shared, KEYS, "n", total)
+        join_hot(index.postings, shared, KEYS, "n", index.postings.count())
         .where(F.col("doc_id") != F.col("first"))
         .groupBy("doc_id")
-        .agg(F.collect_set(F.struct(*KEYS)).alias("lost"))
+        .agg(F.collect_list(F.struct(*KEYS)).alias("lost"))
     )
-    found = with_lines(docs, index.min_chars, "text", *more).join(lost.hint("shuffle_hash"), "doc_id", "left")
-    schema = found.select("doc_id", "text", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"), *more).schema
-    return found.mapInArrow(_kept, schema)
-
-
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts, n_lines, n_dropped = [], [], []
-        for text, keys, lost in zip(*(batch.column(c) for c in ("text", "keys", "lost")), strict=True):
-            text, lines = text.as_py(), len(keys)
-            kept = lines
-            if lost.is_valid:
-                gone = {(k["k1"], k["k2"]) for k in lost.as_py()}
-                rest = [
-                    line
-                    for line, key in zip(text.split("\n"), keys.as_py(), strict=True)
-                    if key is None or (key["k1"], key["k2"]) not in gone
-                ]
-                text, kept = "\n".join(rest), len(rest)
-            texts.append(text)
-            n_lines.append(lines)
-            n_dropped.append(lines - kept)
-        made = {
-            "doc_id": batch.column("doc_id"),
-            "text": pa.array(texts, pa.string()),
-            "n_lines": pa.array(n_lines, pa.int64()),
-            "n_dropped": pa.array(n_dropped, pa.int64()),
-        }
-        made |= {c: batch.column(c) for c in batch.schema.names if c not in (*made, "keys", "lost")}
-        yield pa.RecordBatch.from_arrays(list(made.values()), list(made))
+    found = docs.select("doc_id", "text", *more).join(lost.hint("shuffle_hash"), "doc_id", "left")
+    min_chars = index.min_chars
+
+    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (part for batch in batches for part in parts_of(batch)):
+            texts, n_lines, n_dropped = [], [], []
+            for text, lost in zip(byte_texts(part.column("text")), part.column("lost").to_pylist(), strict=True):
+                n_lines.append(text.count(b"\n") + 1)
+                kept = n_lines[-1]
+                if lost:
+                    gone = {(k["k1"], k["k2"]) for k in lost}
+                    keys = line_keys(text, min_chars)
+                    rest = [line for line, key in zip(text.split(b"\n"), keys, strict=True) if key not in gone]
+                    text, kept = b"\n".join(rest), len(rest)
+                texts.append(text)
+                n_dropped.append(n_lines[-1] - kept)
+            made = {
+                "doc_id": part.column("doc_id"),
+                "text": pa.array(texts, pa.binary()).cast(pa.string()),
+                "n_lines": pa.array(n_lines, pa.int64()),
+                "n_dropped": pa.array(n_dropped, pa.int64()),
+            } | {c: part.column(c) for c in more}
+            yield pa.RecordBatch.from_arrays(list(made.values()), list(made))
+
+    counts = [F.lit(0).cast("long").alias(c) for c in ("n_lines", "n_dropped")]
+    return found.mapInArrow(drop, found.select("doc_id", "text", *counts, *more).schema)
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:

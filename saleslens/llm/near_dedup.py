@@ -43,6 +43,7 @@ from saleslens.llm.shared import (
     documents_of,
     join_hot,
     mixed,
+    parts_of,
     prefix_hashes,
     run_hashes,
     shown_id,
@@ -200,25 +201,16 @@ def sign(docs: DataFrame, weighted: bool = False) -> DataFrame:
     """doc_id, two hashes of the words, and the band keys (empty without words), where the texts are read."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = byte_texts(batch.column("text"))
-            for start, stop in chunks([len(t) for t in texts]):
-                shingles, owner, begins, whole = shingle_hashes(texts[start:stop])
-                names = signatures(shingles, _weights(shingles, owner, weighted), owner, stop - start, BANDS * ROWS)
-                some = np.diff(begins) > 0
-                keys = band_keys(names).view(np.int64)[some]
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum(some * BANDS)]), pa.int32()), pa.array(keys.ravel())
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(start, stop - start),
-                        pa.array(whole[:, 0].view(np.int64)),
-                        pa.array(whole[:, 1].view(np.int64)),
-                        lists,
-                    ],
-                    ["doc_id", "w1", "w2", "keys"],
-                )
+        for part in (part for batch in batches for part in parts_of(batch)):
+            shingles, owner, begins, whole = shingle_hashes(byte_texts(part.column("text")))
+            names = signatures(shingles, _weights(shingles, owner, weighted), owner, part.num_rows, BANDS * ROWS)
+            some = np.diff(begins) > 0
+            keys = band_keys(names).view(np.int64)[some]
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], np.cumsum(some * BANDS)]), pa.int32()), pa.array(keys.ravel())
+            )
+            words = [pa.array(whole[:, i].view(np.int64)) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *words, lists], ["doc_id", "w1", "w2", "keys"])
 
     return docs.mapInArrow(work, "doc_id long, w1 long, w2 long, keys array<long>")
 

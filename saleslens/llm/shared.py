@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslens.sources.layers import scratch_folder
 
 NO_ID = -(2**63)  # stands for a null id inside the operators, so a null id is the smallest
-CHUNK_BYTES = 4 << 20  # texts worked on at a time in numpy
+CHUNK_BYTES = 1 << 20  # texts worked on at a time in numpy
+BATCH_ROWS = 1000
 HOT_SHARE = 1000  # a key with more than 1/1000 of all rows is hot, so there are under 1000
 
 
 def ready(spark: SparkSession) -> None:
-    """Let Python workers import this package also where only the driver has it on its path."""
+    """Let Python workers import this package also where only the driver has it on its path, and hand
+    them texts in small batches, as documents may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(":"):
@@ -75,31 +79,24 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
 
 
-def chunks(sizes: list[int], most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Slices of a batch with about `most` bytes each; a longer text is alone."""
-    start = held = 0
+def chunks(sizes: Iterable[int], most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Slices of a sequence with about `most` bytes each; a longer item is alone."""
+    start = held = stop = 0
     for i, size in enumerate(sizes):
         if held and held + size > most:
             yield start, i
             start, held = i, 0
         held += size
-    if start < len(sizes):
-        yield start, len(sizes)
+        stop = i + 1
+    if start < stop:
+        yield start, stop
 
 
-def per_chunk(work: Callable[..., pa.RecordBatch | None], *columns: str, text: str = "text"):
-    """A mapInArrow function that hands `work` the texts as bytes and other columns, in bounded chunks."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = byte_texts(batch.column(text))
-            others = [batch.column(name) for name in columns]
-            for start, stop in chunks([len(t) for t in texts]):
-                made = work(texts[start:stop], *(c.slice(start, stop - start) for c in others))
-                if made is not None and made.num_rows:
-                    yield made
-
-    return run
+def parts_of(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
+    """A batch in slices of a bounded number of text bytes."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0)
+    for start, stop in chunks(sizes.to_pylist()):
+        yield batch.slice(start, stop - start)
 
 
 # Words

@@ -38,9 +38,9 @@ from saleslens.llm.shared import (
     BYTE_CODES,
     Powers,
     byte_texts,
-    chunks,
     documents_of,
     mixed,
+    parts_of,
     prefix_hashes,
     shown_id,
     slice_hashes,
@@ -142,15 +142,13 @@ def merged(owner: np.ndarray, start: np.ndarray, stop: np.ndarray):
 
 
 def _each_chunk(batches: Iterator[pa.RecordBatch], avoided: _Avoided, size: int):
-    for batch in batches:
-        texts = byte_texts(batch.column("text"))
-        ids, digests = (batch.column(c).to_numpy() for c in ("doc_id", "digest"))
-        for a, b in chunks([len(t) for t in texts]):
-            order = np.empty(b - a, np.int64)
-            order[np.lexsort((digests[a:b], ids[a:b]))] = np.arange(b - a)
-            found = segments(texts[a:b], avoided, size)
-            if len(found[0]):
-                yield ids[a:b], digests[a:b], found, _once(order, *found)
+    for part in (part for batch in batches for part in parts_of(batch)):
+        ids, digests = (part.column(c).to_numpy() for c in ("doc_id", "digest"))
+        order = np.empty(len(ids), np.int64)
+        order[np.lexsort((digests, ids))] = np.arange(len(ids))
+        found = segments(byte_texts(part.column("text")), avoided, size)
+        if len(found[0]):
+            yield ids, digests, found, _once(order, *found)
 
 
 def _crowded(docs: DataFrame, size: int) -> np.ndarray:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from saleslens.llm.shared import byte_texts, chunks, documents_of, partitions, shown_id
+from saleslens.llm.shared import documents_of, partitions, parts_of, shown_id
 from saleslens.sources.layers import scratch_folder
 
 BLOCK_IDS = 1 << 16
@@ -169,12 +169,11 @@ def write_token_files(
         words = encoder(tokenizer)
         shard = _Shard(TaskContext.get().partitionId(), id_bits(max(words.vocabulary, end_id + 1)), block_ids)
         end = np.array([end_id], np.uint32)
-        for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for start, stop in chunks([len(t) for t in texts]):
-                for doc_id, found in zip(ids[start:stop], words.encode(texts[start:stop]), strict=True):
-                    for row in shard.add(doc_id, np.concatenate([found, end])):
-                        yield _rows([row])
+        for part in (part for batch in batches for part in parts_of(batch)):
+            ids, texts = part.column("doc_id").to_pylist(), part.column("text").to_pylist()
+            for doc_id, found in zip(ids, words.encode(texts), strict=True):
+                for row in shard.add(doc_id, np.concatenate([found, end])):
+                    yield _rows([row])
         if shard.size:
             yield _rows([shard.flush()])
 

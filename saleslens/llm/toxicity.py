@@ -29,6 +29,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from saleslens.llm.shared import parts_of
+
 SAMPLE = 4000
 LONGEST = 1 << 17
 WORDS = 4
@@ -223,9 +225,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = [shared.value.score(t or "") for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
+        for part in (part for batch in batches for part in parts_of(batch)):
+            scores = [shared.value.score(t or "") for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(work, "doc_id long, score double")
