@@ -19,7 +19,9 @@ doc_id are separate documents, ordered by a hash of the text; an empty table giv
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,7 +37,7 @@ from saleslens.llm.shared import documents_of, partitions, parts_of, shown_id
 from saleslens.sources.layers import scratch_folder
 
 BLOCK_IDS = 1 << 16
-CACHE_WORDS = 300_000  # words whose ids a worker keeps; then it starts anew
+CACHE_WORDS = 1_500_000  # words whose ids a worker keeps, about 300 MB; then it starts anew
 END_ID = 1
 BLOCKS = (
     "shard int, block int, first long, n_ids int, bits int, payload binary, open_from long, "
@@ -53,7 +55,9 @@ def id_bits(vocabulary: int) -> int:
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
-    """Ids as a stream of `bits` bits each."""
+    """Ids as a stream of `bits` bits each; whole bytes need no spreading to single bits."""
+    if bits % 8 == 0:
+        return ids.astype(">u4").view(np.uint8).reshape(-1, 4)[:, 4 - bits // 8 :].tobytes()
     spread = np.unpackbits(ids.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)
     return np.packbits(spread[:, 32 - bits :]).tobytes()
 
@@ -61,6 +65,10 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
 def unpack(payload: bytes, bits: int, start: int, stop: int) -> np.ndarray:
     """Ids `start` to `stop` of a block."""
     first = start * bits // 8
+    if bits % 8 == 0:
+        wide = np.zeros((stop - start, 4), np.uint8)
+        wide[:, 4 - bits // 8 :] = np.frombuffer(payload, np.uint8)[first : stop * bits // 8].reshape(stop - start, bits // 8)
+        return wide.view(">u4").ravel().astype(np.uint32)
     raw = np.frombuffer(payload, np.uint8)[first : -(-stop * bits // 8)]
     skip = start * bits - first * 8
     flat = np.unpackbits(raw)[skip : skip + (stop - start) * bits].reshape(-1, bits)
@@ -72,38 +80,51 @@ def unpack(payload: bytes, bits: int, start: int, stop: int) -> np.ndarray:
 # Encoding
 
 
+# What could be composed, or lower-cased by context: all but letters whose lower case stands alone.
+_NOT_PLAIN = re.compile("[^\x00-\u02ff]|\u0130")
+
+
 class WordEncoder:
     """A tokenizer of the tokenizers library that splits at white space, with the ids of known words kept.
 
     Normalising, splitting and merging never reach across white space in such a tokenizer, so the ids
     of a text are those of its words in order. Texts with control characters that Python, but not the
-    tokenizer, takes as white space are encoded whole.
-    """
+    tokenizer, takes as white space are encoded whole. If the tokenizer lower-cases, so are ASCII texts
+    beforehand, unless they may hold a special token: fewer words are then different.
+        """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        normalizer = self.tokenizer.normalizer
+        self.lowers = normalizer is not None and normalizer.normalize_str("A") == "a"
         self.known: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32).tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _learn(self, words: list[str]) -> None:
+        for i in range(0, len(words), 4096):
+            self.known.update(zip(words[i : i + 4096], self._encode(words[i : i + 4096]), strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [None if _odd_space(t) else t.split() for t in texts]
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        missing = list({w for words in split if words for w in words if w not in known})
-        for i in range(0, len(missing), 4096):
-            known.update(zip(missing[i : i + 4096], self._encode(missing[i : i + 4096]), strict=True))
+        whole = {i for i, t in enumerate(texts) if _odd_space(t)}
+        words = [[] if i in whole else self._plain(t).split() for i, t in enumerate(texts)]
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        self._learn(list(set().union(*words).difference(self.known)))
+        known = self.known.__getitem__
         return [
-            np.frombuffer(b"".join(map(known.__getitem__, words)) if words is not None else self._encode([text])[0], np.uint32)
-            for words, text in zip(split, texts, strict=True)
+            np.frombuffer(self._encode([text])[0] if i in whole else b"".join(map(known, own)), np.uint32)
+            for i, (text, own) in enumerate(zip(texts, words, strict=True))
         ]
 
+    def _plain(self, text: str) -> str:
+        return text if not self.lowers or "<|" in text or _NOT_PLAIN.search(text) else text.lower()
+
 
 def _odd_space(text: str) -> bool:
     return any(c in text for c in "\x1c\x1d\x1e\x1f")
