@@ -13,8 +13,9 @@ is missed with a probability of 3e-6). Every link is verified on the shingle set
 1. texts with the same shingles are one class; its smallest id goes on alone;
 2. in each bucket of a band, every member is compared with the smallest one. Linked documents
    form components, found by passing the smallest id along and by pointer jumping;
-3. members of one bucket that are still in different components are compared too, unless the distances
-   to the bucket's smallest member already rule a link out (Jaccard distance is a metric).
+3. members of one bucket that are still in different components are compared too, unless a link is ruled
+   out: by the distances to the bucket's smallest member (Jaccard distance is a metric), or by the
+   number of shingles that only one of all these documents has, or by counts of shingles in groups.
 
 So no link between documents that share a band is lost, and buckets of copies cost one comparison a
 member. Buckets with very many members are met by broadcast of their smallest member, not gathered.
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saleslens.llm.shared import (
@@ -57,6 +58,8 @@ SIMILAR = 0.8
 BANDS, ROWS = 24, 4
 LOWEST_RANK = -8  # darts below rank 2^LOWEST_RANK are thrown together
 CELL_AREA = 8.0
+BROADCAST_IDS = 1_000_000
+OUTLINE = 256
 _CELL = 0x9E3779B97F4A7C15
 
 
@@ -229,10 +232,18 @@ def similarity(one, two, weighted: bool) -> float:
     return (one & two).total() / most if most else 0.0
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Texts of some documents; up to BROADCAST_IDS ids are counted and broadcast, so that no other text is
+    shuffled, and more meet the texts by a shuffle."""
+    ids = stored(ids, "ids")
+    few = ids.count() <= BROADCAST_IDS
+    return docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, weighted: bool = False) -> DataFrame:
     """(a, b) with their similarity. Texts meet the pairs by a shuffle; a document in very many pairs is
     split by adaptive execution, as each pair needs one row of it."""
-    texts = docs.select("doc_id", "text")
+    texts = _texts_of(docs, pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().toDF("doc_id"))
     met = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(
         texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"
     )
@@ -315,30 +326,91 @@ def _members(heads: DataFrame) -> DataFrame:
     return join_hot(rows, buckets, ["key"], "n", heads.count() * BANDS).where("doc_id <> first").select("key", "first", "doc_id")
 
 
-def _left_open(members: DataFrame, compared: DataFrame, links: DataFrame, similar: float) -> DataFrame:
-    """Pairs (a, b) of one bucket, in different components, that may still be links."""
-    roots = stored(components(links), "roots")
+def _own_shingles(docs: DataFrame, weighted: bool) -> DataFrame:
+    """(doc_id, size, own): the weight of a document's shingles, and of those no other document here has."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (part for batch in batches for part in parts_of(batch)):
+            shingles, owner, _, _ = shingle_hashes(byte_texts(part.column("text")))
+            weight = _weights(shingles, owner, weighted)
+            order = np.lexsort((shingles, owner))
+            new = np.ones(len(order), bool)
+            new[1:] = (shingles[order][1:] != shingles[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+            kept = order[new]
+            ids = part.column("doc_id").to_numpy()[owner[kept]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(shingles[kept].view(np.int64)), pa.array(weight[kept])], ["doc_id", "shingle", "weight"]
+            )
+
+    rows = docs.select("doc_id", "text").mapInArrow(work, "doc_id long, shingle long, weight double")
+    # One row a shingle and task before the shuffle; the weights of shingles held twice go to no owner.
+    held = rows.groupBy("shingle").agg(F.min("doc_id").alias("one"), F.max("doc_id").alias("other"), F.max("weight").alias("weight"))
+    own = held.where("one = other").groupBy(F.col("one").alias("doc_id")).agg(F.sum("weight").alias("own"))
+    sizes = rows.groupBy("doc_id").agg(F.sum("weight").alias("size"))
+    return sizes.join(own, "doc_id", "left").select("doc_id", "size", F.coalesce("own", F.lit(0.0)).alias("own"))
+
+
+def _outlines(docs: DataFrame, weighted: bool) -> DataFrame:
+    """(doc_id, outline): the weight of a document's shingles in each of OUTLINE groups of hashes."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (part for batch in batches for part in parts_of(batch)):
+            shingles, _, begins, _ = shingle_hashes(byte_texts(part.column("text")))
+            outlines = []
+            for a, b in zip(begins[:-1], begins[1:], strict=True):
+                known, count = np.unique(shingles[a:b], return_counts=True)
+                group = (known % np.uint64(OUTLINE)).astype(np.int64)
+                outlines.append(np.bincount(group, count if weighted else None, minlength=OUTLINE).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array([x.tolist() for x in outlines], pa.list_(pa.int32()))], ["doc_id", "outline"]
+            )
 
-    def root_of(column: str) -> Column:
-        return F.coalesce(F.col(f"{column}_root"), F.col(column)).alias(f"{column}_root")
+    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, outline array<int>")
+
+
+def _left_open(
+    members: DataFrame, compared: DataFrame, links: DataFrame, docs: DataFrame, similar: float, weighted: bool
+) -> DataFrame:
+    """Pairs (a, b) of one bucket, in different components, that may still be links.
+
+    A pair is ruled out by the distances of both to the bucket's smallest member; by the shingles that only
+    one document of all these buckets has, which are outside the intersection and inside the union; or by
+    the outlines: the intersection is at most the sum over groups of the smaller weight.
+    """
+    roots = stored(components(links), "roots")
 
     def with_root(frame: DataFrame, column: str) -> DataFrame:
         found = roots.select(F.col("doc_id").alias(column), F.col("root").alias(f"{column}_root"))
-        return frame.join(found, column, "left").withColumn(f"{column}_root", root_of(column))
-
-    pairs = stored(with_root(with_root(compared, "a"), "b").withColumn("far", 1 - F.col("similar")), "pairs")
-    astray = pairs.where("a_root <> b_root").select("a", F.col("b").alias("s"), F.col("b_root").alias("s_root"), F.col("far").alias("s_far"))
-    others = pairs.select("a", "b", "b_root", "far")
-    sides = members.select("key", F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    lost = sides.withColumnRenamed("b", "s").join(astray, ["a", "s"])
-    rest = sides.join(others, ["a", "b"])
-    reach = 1 - similar + 1e-9
-    return (
-        lost.join(rest, ["key", "a"])
-        .where((F.col("s_root") != F.col("b_root")) & (F.abs(F.col("s_far") - F.col("far")) <= reach))
-        .select(F.least("s", "b").alias("a"), F.greatest("s", "b").alias("b"))
-        .distinct()
+        return frame.join(found, column, "left").withColumn(f"{column}_root", F.coalesce(f"{column}_root", column))
+
+    pairs = with_root(with_root(compared, "a"), "b").select("a", "b", "a_root", "b_root", (1 - F.col("similar")).alias("far"))
+    pairs = stored(pairs, "pairs")
+    sides = members.select("key", F.col("first").alias("a"), F.col("doc_id").alias("b")).join(
+        pairs.select("a", "b", "b_root", "far", (F.col("a_root") != F.col("b_root")).alias("astray")), ["a", "b"]
+    )
+    keys = sides.where("astray").select("key").distinct()
+    sides = stored(sides.join(keys, "key", "left_semi"), "sides")
+    asked = sides.select(F.col("b").alias("doc_id")).distinct()
+    texts = _texts_of(docs, asked)
+    own = _own_shingles(texts, weighted).where(F.col("size") - F.col("own") >= similar * F.col("size") - 1e-6)
+    own = sides.groupBy(F.col("b").alias("doc_id")).agg(F.collect_set("key").alias("keys")).join(own, "doc_id")
+    own = own.join(_outlines(texts, weighted).dropDuplicates(["doc_id"]), "doc_id")
+    sides = stored(sides.join(stored(own, "own").withColumnRenamed("doc_id", "b"), "b"), "sides")
+    rest = sides.select("key", *(F.col(c).alias(f"r_{c}") for c in ("b", "b_root", "far", "size", "own", "keys", "outline")))
+    common = F.aggregate(F.zip_with("outline", "r_outline", lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x)
+    shared = F.least(F.col("size") - F.col("own"), F.col("r_size") - F.col("r_own"))
+    union = F.greatest(F.col("size") + F.col("r_own"), F.col("r_size") + F.col("own"))
+    lost = sides.where("astray")
+    possible = (
+        (F.col("b_root") != F.col("r_b_root"))
+        & (F.abs(F.col("far") - F.col("r_far")) <= 1 - similar + 1e-9)
+        & (shared >= similar * union - 1e-6)
+        & (F.array_min(F.array_intersect("keys", "r_keys")) == lost["key"])  # a pair comes up in one bucket only
+        & (common >= similar * (F.col("size") + F.col("r_size") - common) - 1e-6)
     )
+    return lost.join(rest, (lost["key"] == rest["key"]) & possible).select(
+        F.least("b", "r_b").alias("a"), F.greatest("b", "r_b").alias("b")
+    ).distinct()
 
 
 def classes(
@@ -353,7 +425,7 @@ def classes(
     firsts = members.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
     compared = stored(verified(firsts, docs, weighted).groupBy("a", "b").agg(F.max("similar").alias("similar")), "compared")
     linked = compared.where(F.col("similar") >= similar).select("a", "b")
-    open_ = stored(_left_open(members, compared, linked, similar), "open")
+    open_ = stored(_left_open(members, compared, linked, docs, similar, weighted), "open")
     more = stored(verified(open_, docs, weighted).where(F.col("similar") >= similar).select("a", "b"), "more")
     found = stored(components(copies.unionByName(linked).unionByName(more)), "classes")
     ids = signed.select("doc_id").distinct()
