@@ -1,40 +1,16 @@
-"""Exact distinct counts next to other measures.
+"""Exact distinct counts next to other measures, in one pass over the rows.
 
-Asked for in one aggregation, Spark carries every sum of a group along with each of its
-distinct values through the shuffle. Here the sums are added up on their own, in one row
-per group and task, and only bare (group, field, value) rows are shuffled to be counted.
-A group that holds a large part of the rows is spread by its values.
+Spark removes repeats of (group, value) in every task before the shuffle and spreads the rest by
+group and value, so a group that holds a large part of the rows is not gathered.
 """
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.functions.frames import with_row
-
-
-def distinct_counts(frame: DataFrame, keys: list[str], counted: dict[str, str]) -> DataFrame:
-    """Keys and, for every `name: column` of `counted`, the number of its non-null values."""
-    texts = [F.col(c).cast("string").alias(c) for c in counted.values()]
-    seen = (
-        frame.select(*keys, *texts)
-        .unpivot(keys, list(counted.values()), "_field", "_value")
-        .where(F.col("_value").isNotNull())
-        .distinct()
-    )
-    counts = [F.count_if(F.col("_field") == c).alias(name) for name, c in counted.items()]
-    return seen.groupBy(*keys).agg(*counts)
-
 
 def with_distinct_counts(
-    measures: DataFrame, frame: DataFrame, keys: list[str], counted: dict[str, str]
+    frame: DataFrame, keys: list[str], measures: list[Column], counted: dict[str, str]
 ) -> DataFrame:
-    """`measures` (one row per key) and the distinct counts of `frame`; null keys are equal."""
-    counts = distinct_counts(frame, keys, counted)
-    if not keys:
-        return with_row(measures, counts)
-    counts = counts.withColumnsRenamed({k: f"_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    joined = measures.join(counts, reduce(lambda a, b: a & b, same), "left")
-    return joined.drop(*[f"_{k}" for k in keys]).na.fill(0, list(counted))
+    """Keys, `measures` and, for every `name: column` of `counted`, the number of non-null values."""
+    counts = [F.count_distinct(F.col(c)).alias(name) for name, c in counted.items()]
+    return frame.groupBy(*keys).agg(*measures, *counts)

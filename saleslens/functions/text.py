@@ -10,10 +10,6 @@ WHITE_SPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-_SPACE = [
-    *" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000",
-    *[chr(code) for code in range(0x2000, 0x200B)],
-]
 _SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 _MARK = "\u0001 "
 

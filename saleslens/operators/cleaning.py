@@ -29,7 +29,7 @@ from saleslens.schema import (
     UNKNOWN_POSTAL_CODE,
 )
 
-INTEGER_TYPES = {"quantity": "int", "row_id": "bigint"}
+INTEGER_TYPES = {"quantity": "bigint", "row_id": "bigint"}
 
 
 def _present(raw: DataFrame, columns) -> list[str]:
@@ -152,7 +152,7 @@ def _date(name: str) -> Column:
 
 def _whole_number(name: str) -> Column:
     kind = INTEGER_TYPES[name]
-    return F.coalesce(money(F.col(name)).try_cast(kind), F.lit(0).cast(kind))
+    return F.coalesce(F.col(name).try_cast("decimal(38,6)").try_cast(kind), F.lit(0).cast(kind))
 
 
 def _with(raw: DataFrame, expression: Callable[[str], Column], columns) -> DataFrame:

@@ -7,7 +7,7 @@ from saleslens.functions.distinct import with_distinct_counts
 from saleslens.functions.frames import inputs, rising, unpivot
 from saleslens.functions.numbers import count_where, double, half_even
 from saleslens.functions.order_stats import quantiles
-from saleslens.schema import NUMERIC_COLUMNS
+from saleslens.schema import MONEY, NUMERIC_COLUMNS
 
 DERIVED_NUMERIC = [
     "profit_margin",
@@ -64,7 +64,7 @@ def _exact_bin(value: Column, low: Column, high: Column, bins: int) -> Column:
 
 def histogram(frame: DataFrame, columns: list[str] = NUMERIC_COLUMNS, bins: int = 40) -> DataFrame:
     """(field, bin, bin_start, bin_end, count) of the bins that hold a value."""
-    values = unpivot(frame, columns, "field", "value", "decimal(18,6)").dropna()
+    values = unpivot(frame, columns, "field", "value", MONEY.simpleString()).dropna()
     # Broadcast: exactly one row per column of the call.
     spans = values.groupBy("field").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     low, high = F.col("low"), F.col("high")
@@ -141,16 +141,14 @@ def correlation_matrix(frame: DataFrame, columns: list[str] = NUMERIC_COLUMNS) -
 @inputs("order_date", "order_id", "customer_id", "product_id")
 def extent_and_cardinality(frame: DataFrame) -> DataFrame:
     """One row: first and last order date; distinct dates, orders, customers, products."""
-    span = frame.agg(
-        F.min("order_date").alias("first_order"), F.max("order_date").alias("last_order")
-    )
+    span = [F.min("order_date").alias("first_order"), F.max("order_date").alias("last_order")]
     counted = {
         "order_dates": "order_date",
         "orders": "order_id",
         "customers": "customer_id",
         "products": "product_id",
     }
-    return with_distinct_counts(span, frame, [], counted)
+    return with_distinct_counts(frame, [], span, counted)
 
 
 @inputs("row_id", "product_name", "category", "sales", "profit", "discount", "profit_margin", "is_loss")

@@ -27,11 +27,9 @@ CUSTOMERS = {"customers": "customer_id"}
 
 @inputs("order_id", "customer_id", "sales", "profit", "discount")
 def kpis(lines: DataFrame) -> DataFrame:
-    sums = lines.agg(
-        amount("sales").alias("total_sales"), amount("profit").alias("total_profit"), discount_pct()
-    )
+    sums = [amount("sales").alias("total_sales"), amount("profit").alias("total_profit"), discount_pct()]
     counted = {"total_orders": "order_id", "total_customers": "customer_id"}
-    return with_distinct_counts(sums, lines, [], counted).select(
+    return with_distinct_counts(lines, [], sums, counted).select(
         "total_sales", "total_profit", "total_orders", "total_customers", "avg_discount_pct"
     )
 
@@ -39,21 +37,19 @@ def kpis(lines: DataFrame) -> DataFrame:
 @inputs("order_date", "order_id", "sales", "profit")
 def monthly_trend(lines: DataFrame) -> DataFrame:
     months = lines.withColumn("year_month", year_month())
-    sums = months.groupBy("year_month").agg(
-        amount("sales").alias("sales"), amount("profit").alias("profit")
-    )
-    return with_distinct_counts(sums, months, ["year_month"], ORDERS).orderBy("year_month")
+    sums = [amount("sales").alias("sales"), amount("profit").alias("profit")]
+    return with_distinct_counts(months, ["year_month"], sums, ORDERS).orderBy("year_month")
 
 
 @inputs("category", "order_id", "sales", "profit", "quantity", "discount")
 def category_rollup(lines: DataFrame) -> DataFrame:
-    sums = lines.groupBy("category").agg(
+    sums = [
         amount("sales").alias("sales"),
         amount("profit").alias("profit"),
         F.sum("quantity").alias("quantity"),
         discount_pct(),
-    )
-    result = with_distinct_counts(sums, lines, ["category"], ORDERS)
+    ]
+    result = with_distinct_counts(lines, ["category"], sums, ORDERS)
     return result.orderBy(F.desc("sales"), "category")
 
 
@@ -72,10 +68,8 @@ def subcategory_rollup(lines: DataFrame) -> DataFrame:
 
 @inputs("region", "order_id", "customer_id", "sales", "profit")
 def regional_rollup(lines: DataFrame) -> DataFrame:
-    sums = lines.groupBy("region").agg(
-        amount("sales").alias("sales"), amount("profit").alias("profit")
-    )
-    result = with_distinct_counts(sums, lines, ["region"], ORDERS | CUSTOMERS)
+    sums = [amount("sales").alias("sales"), amount("profit").alias("profit")]
+    result = with_distinct_counts(lines, ["region"], sums, ORDERS | CUSTOMERS)
     return result.orderBy(F.desc("sales"), "region")
 
 

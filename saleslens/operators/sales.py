@@ -36,9 +36,7 @@ def grouped(lines: DataFrame, keys: list[str], *measures: str) -> DataFrame:
     """Keys and measures; amounts stay exact until `presented`."""
     lines = without_null_keys(lines, keys)
     added = [MEASURES[m]().alias(m) for m in measures if m in MEASURES]
-    result = lines.groupBy(*keys).agg(*added)
-    counted = {m: COUNTED[m] for m in measures if m in COUNTED}
-    return with_distinct_counts(result, lines, keys, counted) if counted else result
+    return with_distinct_counts(lines, keys, added, {m: COUNTED[m] for m in measures if m in COUNTED})
 
 
 def presented(result: DataFrame) -> DataFrame:
@@ -77,17 +75,17 @@ def kpi_summary(lines: DataFrame) -> DataFrame:
     which equals the mean of the order totals without building them.
     """
     share = F.try_divide(double(count_where(F.col("is_loss"))), double(F.count("*")))
-    sums = lines.agg(
+    sums = [
         half_even(total_double("sales"), 2).alias("total_sales"),
         half_even(total_double("profit"), 2).alias("total_profit"),
         double(F.sum(F.when(F.col("order_id").isNotNull(), F.col("sales")))).alias("ordered"),
         half_even(mean_margin(), 2).alias("avg_profit_margin_pct"),
         half_even(mean(F.col("discount")) * 100, 2).alias("overall_discount_rate_pct"),
         half_even(share * 100, 2).alias("loss_line_items_pct"),
-    )
+    ]
     counted = {"total_orders": "order_id", "total_customers": "customer_id"}
     per_order = F.try_divide(F.col("ordered"), double(F.col("total_orders")))
-    return with_distinct_counts(sums, lines, [], counted).select(
+    return with_distinct_counts(lines, [], sums, counted).select(
         "total_sales",
         "total_profit",
         "total_orders",
@@ -262,11 +260,11 @@ def shipping_analysis(lines: DataFrame) -> DataFrame:
     The window over all rows runs on one row per ship mode.
     """
     lines = without_null_keys(lines, ["ship_mode"])
-    result = lines.groupBy("ship_mode").agg(
+    measures = [
         half_even(mean(F.col("shipping_days")), 1).alias("avg_shipping_days"),
         total_double("sales").alias("sales"),
-    )
-    result = with_distinct_counts(result, lines, ["ship_mode"], {"orders": "order_id"})
+    ]
+    result = with_distinct_counts(lines, ["ship_mode"], measures, {"orders": "order_id"})
     all_orders = F.sum("orders").over(W.partitionBy())
     return result.withColumn("order_share_pct", percent_of(F.col("orders"), all_orders)).orderBy(
         F.desc("orders"), "ship_mode"

@@ -92,7 +92,7 @@ wide AS (
          p_brand AS sub_category,
          p_name AS product_name,
          CAST(sold AS DECIMAL(18, 6)) AS sales,
-         CAST(l_quantity AS INTEGER) AS quantity,
+         CAST(l_quantity AS BIGINT) AS quantity,
          CAST(8 * rate AS DECIMAL(18, 6)) AS discount,
          CAST(sold - 2 * CAST(l_quantity AS INTEGER) * CAST(p_retailprice AS DECIMAL(15, 2))
               AS DECIMAL(18, 6)) AS profit
@@ -157,7 +157,7 @@ kept AS (
 
 
 def number(c: str) -> str:
-    return f"TRY_CAST({c} AS DECIMAL(18, 6))"
+    return f"TRY_CAST({c} AS DECIMAL(38, 6))"
 
 
 def median_of(c: str, table: str) -> str:
@@ -194,7 +194,7 @@ def _typed(c: str) -> str:
     if c in ("order_date", "ship_date"):
         return day(c)
     if c == "quantity":
-        return whole(c, "INTEGER")
+        return whole(c, "BIGINT")
     if c == "row_id":
         return whole(c, "BIGINT")
     if c in NUMERIC_COLUMNS:
@@ -504,7 +504,7 @@ def oracle_sql() -> dict[str, str]:
         return over(RAW, f"SELECT {fields} FROM {table}")
 
     sql["impute_median"] = step(
-        {c: dbl(f"TRY_CAST(COALESCE({c}, {median_of(c, 'raw')}) AS DECIMAL(18, 6))") for c in NUMERIC_COLUMNS}
+        {c: dbl(f"TRY_CAST(COALESCE({c}, {median_of(c, 'raw')}) AS DECIMAL(38, 6))") for c in NUMERIC_COLUMNS}
     )
     sql["impute_postal"] = step({"postal_code": "COALESCE(postal_code, '00000')"})
     sql["impute_mode"] = step(
@@ -521,7 +521,7 @@ def oracle_sql() -> dict[str, str]:
     sql["cast_ints"] = over(
         RAW,
         f"SELECT order_id, product_id, {whole('row_id', 'BIGINT')} AS row_id, "
-        f"{whole('quantity', 'INTEGER')} AS quantity FROM raw",
+        f"{whole('quantity', 'BIGINT')} AS quantity FROM raw",
     )
     sql["standardize_text"] = step({c: title(c) for c in CATEGORY_COLUMNS})
     sql["map_region_alias"] = over(

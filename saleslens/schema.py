@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 # Amounts are exact decimals, so that totals do not depend on the order in which
 # partitions are added up; six places hold the mean of any two four-place amounts.
-MONEY = T.DecimalType(18, 6)
+MONEY = T.DecimalType(28, 6)
 
 # The column contract of a raw file, in file order.
 SOURCE_COLUMNS = [
@@ -97,7 +97,7 @@ _CLEAN_TYPES = {
     "order_date": T.DateType(),
     "ship_date": T.DateType(),
     "sales": MONEY,
-    "quantity": T.IntegerType(),
+    "quantity": T.LongType(),
     "discount": MONEY,
     "profit": MONEY,
     "profit_margin": T.DoubleType(),

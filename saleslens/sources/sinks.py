@@ -4,7 +4,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslens.errors import SinkError
+from saleslens.errors import SinkError, SourceError
 from saleslens.sources.files import CSV_OPTIONS
 
 SINK_FORMATS = ["parquet", "csv", "delta"]
@@ -131,8 +131,10 @@ def write_snapshot(frame: DataFrame, path: str, version: int) -> str:
 
 
 def read_version(spark: SparkSession, path: str, version: int) -> DataFrame:
-    """One version; the folders of the others are not read."""
+    """One version; the folders of the others are not read. A version that was never written is an error."""
     stored = spark.read.parquet(path)
+    if stored.where(F.col(SNAPSHOT) == version).isEmpty():
+        raise SourceError(f"{path} has no version {version}")
     return stored.where(F.col(SNAPSHOT) == version).drop(SNAPSHOT, "written_at")
 
 

@@ -93,7 +93,7 @@ def sales_wide(spark: SparkSession, sf_dir: str, columns: list[str] | None = Non
         "sub_category": F.col("p_brand"),
         "product_name": F.col("p_name"),
         "sales": sales.cast(amount).cast(MONEY),
-        "quantity": quantity,
+        "quantity": quantity.cast("bigint"),
         "discount": (F.col("l_discount") * DISCOUNT_SCALE).cast(amount).cast(MONEY),
         "profit": (sales - cost).cast(amount).cast(MONEY),
     }
