@@ -1,4 +1,4 @@
-"""Session and the 20-line sample with one repeated line and two missing postal codes."""
+"""Session and a sample of ten order lines, with one repeated and two postal codes missing."""
 
 import pytest
 
@@ -8,54 +8,29 @@ from saleslens.session import local_session
 
 TESTDATA = "/root/testdata"
 
-# Sales, quantity, discount, profit of lines 1 to 20.
-AMOUNTS = """
-100 2 0.0 30 | 250 5 0.1 45 | 50 1 0.2 -10 | 800 8 0.0 200 | 120 3 0.3 -25
-300 6 0.0 80 | 75 1 0.5 -30 | 450 4 0.1 110 | 90 2 0.0 20 | 1200 10 0.2 350
-60 1 0.4 -15 | 180 3 0.0 50 | 320 5 0.1 95 | 85 2 0.6 -50 | 500 7 0.0 130
-220 4 0.2 60 | 640 6 0.0 200 | 110 2 0.3 -8 | 380 5 0.1 90 | 950 9 0.0 280
-"""
-# Place of lines 1-5, 6-10, 11-15, 16-20.
-PLACES = [
-    ("New York", "New York", "East"),
-    ("Los Angeles", "California", "West"),
-    ("Chicago", "Illinois", "Central"),
-    ("Houston", "Texas", "South"),
+# Order lines of an invented stationery and camping shop.
+# row, order, ordered, shipped, mode, customer, segment, city, state, postal code, region, product,
+# category, sub-category, sales, quantity, discount, profit
+LINES = [
+    ("1", "B-01", "2021-03-04", "2021-03-06", "Courier", "K1", "School", "Alba", "Nordia", "01001", "North", "P1", "Paper", "Pads", "40", "4", "0", "10"),
+    ("2", "B-02", "2021-03-09", "2021-03-13", "Courier", "K2", "School", "Alba", "Nordia", "01001", "North", "P2", "Paper", "Pads", "60", "3", "0.1", "12"),
+    ("3", "B-03", "2021-03-20", "2021-03-21", "Van", "K3", "Office", "Brix", "Nordia", "01002", "North", "P3", "Tents", "Domes", "500", "1", "0.3", "-50"),
+    ("4", "B-04", "2021-07-02", "2021-07-07", "Van", "K4", "Office", "Corra", "Meridia", "02001", "South", "P4", "Tents", "Domes", "300", "2", "0", "90"),
+    ("5", "B-05", "2021-07-11", "2021-07-12", "Bike", "K5", "Home", "Corra", "Meridia", None, "South", "P5", "Ink", "Pens", "20", "5", "0.5", "-8"),
+    ("6", "B-06", "2021-07-15", "2021-07-18", "Bike", "K6", "Home", "Dorn", "Meridia", None, "South", "P6", "Ink", "Pens", "80", "8", "0", "24"),
+    ("7", "B-07", "2022-03-01", "2022-03-04", "Courier", "K7", "School", "Dorn", "Meridia", "02002", "South", "P7", "Paper", "Rolls", "100", "10", "0.2", "5"),
+    ("8", "B-08", "2022-03-15", "2022-03-19", "Van", "K8", "Office", "Elm", "Occida", "03001", "West", "P8", "Tents", "Domes", "400", "1", "0.1", "100"),
+    ("9", "B-09", "2022-03-30", "2022-04-01", "Courier", "K9", "Home", "Elm", "Occida", "03001", "West", "P9", "Ink", "Bottles", "50", "2", "0.4", "1"),
+    ("10", "B-10", "2022-07-07", "2022-07-09", "Courier", "K10", "School", "Fenn", "Occida", "03002", "West", "P10", "Paper", "Rolls", "200", "20", "0", "66"),
 ]
 
 
 def sample_rows() -> list[tuple]:
-    amounts = [cell.split() for line in AMOUNTS.strip().splitlines() for cell in line.split("|")]
     rows = []
-    for i, (sales, quantity, discount, profit) in enumerate(amounts, start=1):
-        city, state, region = PLACES[(i - 1) // 5]
-        kind = "Furniture,Chairs" if i <= 7 else "Office Supplies,Binders" if i <= 14 else "Technology,Phones"
-        category, sub_category = kind.split(",")
-        rows.append(
-            (
-                str(i),
-                f"CA-2023-{1000 + i}",
-                "2023-01-15" if i <= 10 else "2023-06-20",
-                "2023-01-18" if i <= 10 else "2023-06-24",
-                "Standard Class" if i <= 7 else "First Class" if i <= 14 else "Same Day",
-                f"CUS-{100 + i}",
-                f"Customer {i}",
-                "Consumer" if i <= 8 else "Corporate" if i <= 15 else "Home Office",
-                "United States",
-                city,
-                state,
-                "10001" if i <= 9 else None if i <= 11 else "90001",
-                region,
-                f"PROD-{i:03d}",
-                category,
-                sub_category,
-                f"Product {i}",
-                sales,
-                quantity,
-                discount,
-                profit,
-            )
-        )
+    for line in LINES:
+        row, order, ordered, shipped, mode, customer, segment, city, state, postal, region, product, kind, sub, *amounts = line
+        name, product_name = f"Name {customer}", f"Item {product}"
+        rows.append((row, order, ordered, shipped, mode, customer, name, segment, "Ruritania", city, state, postal, region, product, kind, sub, product_name, *amounts))
     return [*rows, rows[0]]
 
 

@@ -38,7 +38,7 @@ def test_source_errors(spark, tmp_path):
 
 def test_load_validated(spark, raw, raw_csv, tmp_path):
     frame, reports = load_validated(spark, raw_csv)
-    assert frame.count() == 21 and reports["dates"].count() == 2
+    assert frame.count() == 11 and reports["dates"].count() == 2
     bad = sinks.save_results(files.source_columns(raw.drop("sales")), str(tmp_path / "bad.csv"), "csv")
     with pytest.raises(SchemaValidationError):
         load_validated(spark, bad)
@@ -72,9 +72,9 @@ def test_round_trip_check_finds_changes(lines, tmp_path):
 def test_partitioned_table_prunes(spark, lines, tmp_path):
     table = sinks.write_partitioned(lines, "lines_test", str(tmp_path / "table"))
     assert "lines_test" in sinks.list_tables(spark)
-    furniture = spark.table("lines_test").where("category = 'Furniture'")
-    assert table.count() == 20 and furniture.count() == 7
-    plan = furniture._jdf.queryExecution().executedPlan().toString()
+    paper = spark.table("lines_test").where("category = 'Paper'")
+    assert table.count() == 10 and paper.count() == 4
+    plan = paper._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(category" in plan
     spark.sql("DROP TABLE lines_test")
 
@@ -97,7 +97,9 @@ def test_snapshots(spark, lines, tmp_path):
     sinks.write_snapshot(lines.where("is_loss"), path, 1)
     sinks.write_snapshot(lines.where("not is_loss"), path, 1)
     assert sinks.read_version(spark, path, 0).exceptAll(lines).count() == 0
-    assert values(sinks.history(spark, path), "snapshot_id", "rows") == [(1, 14), (0, 20)]
+    assert values(sinks.history(spark, path), "snapshot_id", "rows") == [(1, 8), (0, 10)]
+    with pytest.raises(SourceError):
+        sinks.read_version(spark, path, 7)
 
 
 def test_layers(spark, lines, tmp_path):
@@ -132,7 +134,7 @@ def test_pipeline(spark, raw_csv, tmp_path):
         run_pipeline(spark, raw_csv, base)
     gold = {name: GOLD[name] for name in ("category_performance", "kpi_summary")}
     log = run_pipeline(spark, raw_csv, base, gold, enforce_gate=False)
-    assert values(log, "raw_rows", "clean_rows", "total_sales") == [(21, 20, 6880.0)]
+    assert values(log, "raw_rows", "clean_rows", "total_sales") == [(11, 10, 1750.0)]
     stored = spark.read.option("header", True).csv(f"{base}/gold/category_performance")
     assert stored.count() == 3
 
