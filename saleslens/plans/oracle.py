@@ -412,6 +412,10 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["write_partitioned"] = sql["compact"] = sql["read_version"] = by_category
     sql["write_snapshot"] = by_category.replace("FROM silver", "FROM silver WHERE NOT is_loss")
+    sql["layer_inventory"] = (
+        "SELECT layer, written AS has_files, written AS has_bytes FROM (VALUES ('bronze', true), ('silver', true), "
+        "('gold', true), ('dashboard', false)) AS layers(layer, written)"
+    )
     sql["history"] = over(
         SILVER,
         "SELECT CAST(0 AS BIGINT) AS snapshot_id, count(*) AS rows FROM silver UNION ALL "

@@ -1,9 +1,10 @@
 """Batch pipeline: raw file -> bronze -> silver -> gold -> gate -> run log.
 
 Every stage reads the table the stage before it wrote, so a lost executor or a rerun
-costs at most one stage, and every write replaces its target. Raw rows without
-duplicates are written once as the bronze table; the fill statistics and the cleaning
-then read that table instead of repeating the deduplication.
+costs at most one stage, and every write replaces its target. Raw rows are kept as they
+came in the bronze table, which the validation reports and all later counts read. Rows
+without duplicates are written once beside the silver table; the fill statistics and the
+cleaning then read them instead of repeating the deduplication.
 """
 
 from multiprocessing.pool import ThreadPool
@@ -18,13 +19,14 @@ from saleslens.operators.quality import (
     enforce,
     numeric_parse_report,
     quality_gate_basic,
+    quality_gate_full,
     quality_summary,
     require_columns,
     run_summary,
 )
-from saleslens.sources.files import read_raw, read_silver
+from saleslens.sources.files import read_gold, read_raw, read_silver
 from saleslens.sources.layers import layer_paths
-from saleslens.sources.sinks import write_gold, write_silver
+from saleslens.sources.sinks import save_results, write_gold, write_silver
 
 # Gold tables are small and independent; some of their jobs are submitted side by side.
 PARALLEL_WRITES = 4
@@ -39,6 +41,7 @@ GOLD = {
     "loss_products": sales.loss_making_products,
     "segment_performance": sales.segment_performance,
     "discount_impact": sales.discount_impact_analysis,
+    "state_profitability": profitability.profitability_by_state,
     "yoy_growth": profitability.yoy_profit_growth,
     "return_on_sales": profitability.subcategory_return_on_sales,
     "high_risk_products": profitability.high_discount_low_profit_risk,
@@ -46,19 +49,24 @@ GOLD = {
     "executive_summary": profitability.executive_summary,
     "spark_monthly_trend": rollups.monthly_trend,
     "spark_category_performance": rollups.category_rollup,
+    "spark_regional": rollups.regional_rollup,
     "spark_loss_products": rollups.loss_products_rollup,
 }
 
 
-def load_validated(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Raw rows with all required columns, and the reports on them (not yet run)."""
-    raw = require_columns(read_raw(spark, path))
-    reports = {
+def reports_on(raw: DataFrame) -> dict[str, DataFrame]:
+    """The validation reports on raw rows (not yet run)."""
+    return {
         "dates": date_parse_report(raw),
         "numbers": numeric_parse_report(raw),
         "quality": quality_summary(raw),
     }
-    return raw, reports
+
+
+def load_validated(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Raw rows with all required columns, and the reports on them (not yet run)."""
+    raw = require_columns(read_raw(spark, path))
+    return raw, reports_on(raw)
 
 
 def run_pipeline(
@@ -67,24 +75,36 @@ def run_pipeline(
     base: str,
     gold: dict = GOLD,
     enforce_gate: bool = True,
+    run_id: str = "latest",
 ) -> DataFrame:
-    """Build all layers below `base`; returns the run log, one row per run."""
+    """Build all layers below `base`; returns the run log, one row per run id.
+
+    Validation reports and the outcome of both gates are stored below the gold layer, also when a gate
+    then stops the run. A run replaces the log row of an earlier one with its id.
+    """
     layers = layer_paths(base)
-    raw, _ = load_validated(spark, raw_path)
-    cleaned = clean(raw, staging=f"{layers['bronze']}/lines")
+    read, _ = load_validated(spark, raw_path)
+    raw = read_silver(spark, save_results(read, f"{layers['bronze']}/lines"))
+    cleaned = clean(raw, staging=f"{layers['silver']}/kept")
     lines = read_silver(spark, write_silver(cleaned, f"{layers['silver']}/lines"))
 
+    checks = {f"validation/{name}": report for name, report in reports_on(raw).items()}
+    basic, full = quality_gate_basic(lines), quality_gate_full(lines)
+    checks |= {"gate/basic": basic, "gate/full": full}
+    _write_all(checks, layers["gold"])
     if enforce_gate:
-        enforce(quality_gate_basic(lines))
-    with ThreadPool(PARALLEL_WRITES) as pool:
-        pool.starmap(
-            lambda name, analytic: write_gold(
-                name, analytic(lines.select(*analytic.inputs)), layers["gold"]
-            ),
-            gold.items(),
-        )
+        enforce(read_gold(spark, f"{layers['gold']}/gate/basic", basic.schema))
+        enforce(read_gold(spark, f"{layers['gold']}/gate/full", full.schema))
+    _write_all({name: analytic(lines.select(*analytic.inputs)) for name, analytic in gold.items()}, layers["gold"])
 
     log = f"{layers['gold']}/run_log"
-    summary = run_summary(raw, lines).withColumn("finished_at", F.current_timestamp())
-    summary.write.mode("append").parquet(log)
+    summary = run_summary(raw, lines).withColumns(
+        {"finished_at": F.current_timestamp(), "run_id": F.lit(run_id)}
+    )
+    summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(log)
     return spark.read.parquet(log)
+
+
+def _write_all(tables: dict[str, DataFrame], folder: str) -> None:
+    with ThreadPool(PARALLEL_WRITES) as pool:
+        pool.starmap(lambda name, table: write_gold(name, table, folder), tables.items())

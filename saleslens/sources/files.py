@@ -8,8 +8,7 @@ from saleslens.errors import SourceError
 from saleslens.schema import ENGINE_TO_SOURCE, MISSING_TEXTS, engine_name
 
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".pq": "parquet"}
-# Quotes inside quoted fields are doubled and blanks around a text are part of it. Fields may not hold line breaks unless the
-# caller asks for it, as such a file can only be read by one task.
+# Quotes inside quoted fields are doubled and blanks around a text are part of it.
 CSV_OPTIONS = {
     "header": True,
     "escape": '"',
@@ -17,6 +16,9 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+# Every file's header must name the same columns in the same order, and a row with too many or too few fields stops the
+# read: nothing is swapped, cut or filled up unseen. Whole rows are parsed, as a pruned read would not see such faults.
+CSV_CHECKS = {"enforceSchema": False, "mode": "FAILFAST", "columnPruning": False}
 
 
 def sanitize_columns(frame: DataFrame) -> DataFrame:
@@ -37,7 +39,7 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, **options
     if fmt not in FORMATS.values():
         raise SourceError(f"no reader for {fmt or suffix!r}: {path}")
     if fmt == "csv":
-        options = {**CSV_OPTIONS, **options}
+        options = {**CSV_OPTIONS, **CSV_CHECKS, **options}
     try:
         return spark.read.format(fmt).options(**options).load(path)
     except AnalysisException as error:
@@ -46,8 +48,12 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, **options
         raise
 
 
-def read_raw(spark: SparkSession, path: str, encoding: str = "utf-8", multi_line: bool = False) -> DataFrame:
-    """Raw order lines as text, by header name, missing-value texts as null."""
+def read_raw(spark: SparkSession, path: str, encoding: str = "utf-8", multi_line: bool = True) -> DataFrame:
+    """Raw order lines as text, by header name, missing-value texts as null.
+
+    Values may hold line breaks, for which every file is read by one task. State `multi_line=False` to have large
+    files split among tasks; a value with a line break then stops the read.
+    """
     fmt = None if path.rstrip("/").lower().endswith(tuple(FORMATS)) else "csv"
     frame = sanitize_columns(read_table(spark, path, fmt, encoding=encoding, multiLine=multi_line))
     texts = [F.col(c).cast("string") for c in frame.columns]
@@ -66,9 +72,9 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_gold(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A gold CSV with the types of the analytic that wrote it."""
+    """A gold CSV with the types of the analytic that wrote it; values may hold line breaks."""
     try:
-        return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+        return spark.read.options(**CSV_OPTIONS, **CSV_CHECKS, multiLine=True).schema(schema).csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise SourceError(f"no gold table at {path}") from error

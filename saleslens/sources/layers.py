@@ -22,22 +22,29 @@ def azure_base(account: str, container: str) -> str:
     return f"abfss://{container}@{account}.dfs.core.windows.net"
 
 
-def layer_inventory(spark: SparkSession, base: str) -> DataFrame:
-    """Number of files and bytes per layer. File contents are not read."""
-    root = base.rstrip("/")
+def layer_inventory(
+    spark: SparkSession, base: str, layers: list[str] | dict[str, str] = LAYERS
+) -> DataFrame:
+    """(layer, files, bytes) of every layer below `base`, 0 where there is none. File contents are not read."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base.rstrip("/"))
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = layer_paths(system.makeQualified(root).toString(), layers)
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .load(root)
-        .select("path", "length")
+        .load(base.rstrip("/"))
+        .where(~F.element_at(F.split("path", "/"), -1).rlike(r"^[._]"))
+    )
+    layer = F.coalesce(
+        *[F.when(F.col("path").startswith(f"{folder}/"), F.lit(name)) for name, folder in folders.items()]
     )
-    folder = root.rsplit("/", 1)[-1]
-    layer = F.regexp_extract("path", rf"/\Q{folder}\E/([^/]+)/", 1)
-    data = ~F.element_at(F.split("path", "/"), -1).rlike(r"^[._]")
+    found = files.groupBy(layer.alias("layer")).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    names = F.explode(F.array(*[F.lit(name) for name in folders])).alias("layer")
     return (
-        files.where(data)
-        .groupBy(layer.alias("layer"))
-        .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+        spark.range(1)
+        .select(names)
+        .join(found, "layer", "left")
+        .fillna(0, ["files", "bytes"])
         .orderBy("layer")
     )
 

@@ -109,8 +109,46 @@ def test_layers(spark, lines, tmp_path):
     sinks.write_silver(lines.coalesce(1), f"{paths['silver']}/lines")
     sinks.write_gold("kpi", category_rollup(lines).coalesce(1), paths["gold"])
     inventory = layers.layer_inventory(spark, f"file:{tmp_path}/lake")
-    assert values(inventory, "layer", "files") == [("gold", 1), ("silver", 1)]
-    assert all(r.bytes > 0 for r in inventory.collect())
+    assert values(inventory, "layer", "files") == [("bronze", 0), ("dashboard", 0), ("gold", 1), ("silver", 1)]
+    assert all((r.bytes > 0) == (r.files > 0) for r in inventory.collect())
+
+
+def test_layers_below_a_folder_of_the_same_name(spark, lines, tmp_path):
+    base = f"{tmp_path}/lake/gold/lake"
+    sinks.write_silver(lines.coalesce(1), f"{base}/silver/lines")
+    sinks.write_silver(lines.coalesce(1), f"{base}/output/charts/lines")
+    inventory = layers.layer_inventory(spark, base)
+    assert values(inventory.where("files > 0"), "layer", "files") == [("silver", 1)]
+    blobs = layers.layer_inventory(spark, base, layers.BLOB_LAYERS)
+    assert values(blobs.where("files > 0"), "layer", "files") == [("charts", 1)]
+
+
+@pytest.mark.parametrize("text", ["Sales,Profit\n1,2,3\n", "Sales,Profit\n1\n"])
+def test_rows_with_too_many_or_few_fields_stop_the_read(spark, tmp_path, text):
+    (tmp_path / "odd.csv").write_text(text)
+    for multi_line in (True, False):
+        frame = files.read_raw(spark, str(tmp_path / "odd.csv"), multi_line=multi_line)
+        with pytest.raises(Exception, match="(?i)malformed"):
+            frame.select("sales").collect()
+
+
+def test_files_with_other_column_orders_stop_the_read(spark, tmp_path):
+    folder = tmp_path / "raw.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Row ID,Sales,Profit\n1,10,2\n")
+    (folder / "b.csv").write_text("Row ID,Profit,Sales\n2,3,20\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_raw(spark, str(folder)).select("sales").collect()
+
+
+def test_line_breaks_survive(spark, tmp_path):
+    frame = spark.createDataFrame([("a\nb", 1), ("c", 2)], "product_name string, quantity int")
+    gold = files.read_gold(spark, sinks.write_gold("x", frame, str(tmp_path)), frame.schema)
+    assert values(gold, *gold.columns) == [("a\nb", 1), ("c", 2)]
+    path = sinks.save_results(files.source_columns(frame), str(tmp_path / "raw.csv"), "csv")
+    assert values(files.read_raw(spark, path), "product_name", "quantity") == [("a\nb", "1"), ("c", "2")]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_raw(spark, path, multi_line=False).collect()
 
 
 def test_scratch_is_fresh_and_below_the_shared_folder(spark):
@@ -137,6 +175,12 @@ def test_pipeline(spark, raw_csv, tmp_path):
     assert values(log, "raw_rows", "clean_rows", "total_sales") == [(11, 10, 1750.0)]
     stored = spark.read.option("header", True).csv(f"{base}/gold/category_performance")
     assert stored.count() == 3
+    again = run_pipeline(spark, raw_csv, base, gold, enforce_gate=False)
+    assert again.count() == 1
+    assert run_pipeline(spark, raw_csv, base, gold, enforce_gate=False, run_id="second").count() == 2
+    assert spark.read.parquet(f"{base}/bronze/lines").count() == 11
+    for name, rows in {"validation/dates": 2, "validation/quality": 21, "gate/basic": 9}.items():
+        assert spark.read.option("header", True).csv(f"{base}/gold/{name}").count() == rows
 
 
 def test_dimension_keys_are_unique_so_no_line_is_lost_or_doubled(spark):
