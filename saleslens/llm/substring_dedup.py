@@ -7,13 +7,15 @@ A sort of all suffixes would shuffle a row per byte. Instead each string (window
 its anchor: the leftmost of the GRAM-byte grams in it with the lowest hash. Equal windows have equal
 anchors at equal places, and one anchor serves about 35 windows in a row, a segment:
 
-1. grams that anchor more than a thousandth of all segments are found and from then on avoided where a
-   window has any other, so that no anchor gathers a large share of the rows. They are under 1000;
+1. grams that anchor more than a thousandth of all segments are found. They are under 1000. Their segments
+   are split into windows, each of which is a segment of its own with a hash of the whole window for anchor.
+   So a passage's edges, which differ by document, go to as many tasks as there are different windows;
 2. every task cuts its texts into segments and, per chunk, hands on one of equal segments: the others
    are repeats already, whatever the rest holds. So a passage in a third of all rows costs one row a chunk;
 3. segments meet by anchor. All but the first of equal ones are repeats. Where an anchor has several
-   different segments, the windows of the first of each are compared;
-4. these windows are sorted as suffixes, by anchor and place of the anchor: a mergesort whose comparisons
+   different segments, the windows of the first of each are compared. Those of an anchor with over MOST
+   segments are split into windows too, and equal windows meet by hash; so no task holds more of an anchor;
+4. the other windows are sorted as suffixes, by anchor and place of the anchor: a mergesort whose comparisons
    find the common extension of two suffixes by binary search over prefix polynomial hashes, in
    log(size) steps. Neighbours that agree in `size` bytes by hash are checked byte by byte;
 5. spans meet their texts by document, and are cut out.
@@ -50,6 +52,7 @@ from saleslens.llm.shared import (
 SIZE = 100
 GRAM = 32
 HOT = 1000
+MOST = 2000
 GRAM_POWERS = Powers(0xA0761D6478BD642F)
 SEGMENT_POWERS = Powers(0xE7037ED1A0B428DB)
 START_BITS = 31  # a text has under 2 GB; the bits above are of its hash
@@ -74,22 +77,7 @@ def _lowest(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-class _Avoided:
-    """Grams to be ranked last; a table of their leading bits settles nearly all others."""
-
-    def __init__(self, grams: np.ndarray):
-        self.grams = np.sort(grams.astype(np.uint64))
-        self.leading = np.zeros(1 << 16, bool)
-        self.leading[(self.grams >> np.uint64(47)).astype(np.int64)] = True
-
-    def mark(self, hashes: np.ndarray) -> None:
-        if len(self.grams):
-            at = np.flatnonzero(self.leading[(hashes >> np.uint64(47)).astype(np.int64)])
-            found = self.grams[np.minimum(np.searchsorted(self.grams, hashes[at]), len(self.grams) - 1)] == hashes[at]
-            hashes[at[found]] |= np.uint64(1 << 63)
-
-
-def segments(texts: list[bytes], avoided: _Avoided, size: int):
+def segments(texts: list[bytes], size: int):
     """Segments of all texts in order: text, start in it, length, place of the anchor in the segment,
     hash of the anchor and of the segment (with length and place)."""
     data = np.frombuffer(b"".join(texts), np.uint8)
@@ -101,7 +89,6 @@ def segments(texts: list[bytes], avoided: _Avoided, size: int):
     sums = prefix_hashes(codes, GRAM_POWERS)
     at = np.arange(len(data) - GRAM + 1)
     grams = mixed(slice_hashes(sums, at, at + GRAM, GRAM_POWERS)) >> np.uint64(1)
-    avoided.mark(grams)
     anchors = _lowest(grams, size - GRAM + 1)
     left = np.repeat(begins[1:], np.diff(begins))[: len(anchors)] - np.arange(len(anchors))
     valid = left >= size
@@ -118,7 +105,20 @@ def segments(texts: list[bytes], avoided: _Avoided, size: int):
     text = np.searchsorted(begins, first, "right") - 1
     whole = slice_hashes(prefix_hashes(codes, SEGMENT_POWERS), first, first + length, SEGMENT_POWERS)
     seg = mixed(whole + (length * 256 + lead).astype(np.uint64))
-    return text, first - begins[text], length, lead, grams[anchors[first]] & np.uint64(2**63 - 1), seg
+    return text, first - begins[text], length, lead, grams[anchors[first]], seg
+
+
+def _split(data: np.ndarray, begins: np.ndarray, start, length, lead, key, size: int):
+    """Windows of segments that begin at `begins` in `data`, as segments of their own: number of the segment
+    they come from, and the columns start to hash of a segment. Equal windows have equal hashes."""
+    counts = length - size + 1
+    owner = np.repeat(np.arange(len(counts)), counts)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    depth = lead[owner] - place
+    codes, at = BYTE_CODES[data], begins[owner] + place
+    one, two = (slice_hashes(prefix_hashes(codes, p), at, at + size, p) for p in (GRAM_POWERS, SEGMENT_POWERS))
+    own = mixed(one + mixed(key[owner].astype(np.uint64) + depth.astype(np.uint64))) >> np.uint64(1)
+    return owner, start[owner] + place, np.full(len(owner), size), depth, own, mixed(two + depth.astype(np.uint64))
 
 
 def _once(order: np.ndarray, text, start, length, lead, key, seg):
@@ -141,14 +141,26 @@ def merged(owner: np.ndarray, start: np.ndarray, stop: np.ndarray):
     return owner[first], start[first], stop[np.append(first[1:], len(owner)) - 1]
 
 
-def _each_chunk(batches: Iterator[pa.RecordBatch], avoided: _Avoided, size: int):
+def _each_chunk(batches: Iterator[pa.RecordBatch], crowded: np.ndarray, size: int):
     for part in (part for batch in batches for part in parts_of(batch)):
         ids, digests = (part.column(c).to_numpy() for c in ("doc_id", "digest"))
         order = np.empty(len(ids), np.int64)
         order[np.lexsort((digests, ids))] = np.arange(len(ids))
-        found = segments(byte_texts(part.column("text")), avoided, size)
-        if len(found[0]):
-            yield ids, digests, found, _once(order, *found)
+        texts = byte_texts(part.column("text"))
+        found = segments(texts, size)
+        if not len(found[0]):
+            continue
+        kept = _once(order, *found)
+        hot = kept & np.isin(found[4], crowded)
+        if hot.any():
+            text, start, length, lead, key, _ = (column[hot] for column in found)
+            data = np.frombuffer(b"".join(texts), np.uint8)
+            begins = np.cumsum([0, *map(len, texts)])[text] + start
+            owner, *rest = _split(data, begins, start, length, lead, key, size)
+            windows = (text[owner], *rest)
+            found = tuple(np.concatenate([column[~hot], new]) for column, new in zip(found, windows, strict=True))
+            kept = np.concatenate([kept[~hot], _once(order, *windows)])
+        yield ids, digests, found, kept
 
 
 def _crowded(docs: DataFrame, size: int) -> np.ndarray:
@@ -156,7 +168,7 @@ def _crowded(docs: DataFrame, size: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = 0
-        for _, _, (_, _, _, _, key, _), kept in _each_chunk(batches, _Avoided(np.zeros(0)), size):
+        for _, _, (_, _, _, _, key, _), kept in _each_chunk(batches, np.zeros(0, np.uint64), size):
             grams, n = np.unique(key[kept], return_counts=True)
             total += int(n.sum())
             many = n >= max(8, int(n.sum()) // HOT)
@@ -173,9 +185,10 @@ def _cut(docs: DataFrame, crowded: np.ndarray, size: int) -> DataFrame:
     """Segments that are first in their chunk, and merged spans of the others."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, digests, (text, start, length, lead, key, seg), kept in _each_chunk(batches, _Avoided(crowded), size):
+        for ids, digests, (text, start, length, lead, key, seg), kept in _each_chunk(batches, crowded, size):
             high = digests << START_BITS
-            again = ~kept
+            again = np.flatnonzero(~kept)
+            again = again[np.lexsort((start[again], text[again]))]
             t, a, b = merged(text[again], start[again], (start + length)[again])
             spread = mixed((ids[t] ^ (high[t] + a)).astype(np.uint64)) >> np.uint64(1)
             text, start = np.concatenate([text[kept], t]), np.concatenate([start[kept], a])
@@ -195,17 +208,39 @@ def _cut(docs: DataFrame, crowded: np.ndarray, size: int) -> DataFrame:
 
 
 def _judged(cut: DataFrame) -> DataFrame:
-    """Spans that are repeats, and the segments whose windows are to be compared."""
+    """Spans that are repeats, and the segments whose windows are to be compared, with the rows of their anchor."""
     ordered = Window.partitionBy("key").orderBy("seg", "doc_id", "pos")
     alone = Window.partitionBy("key")
     before = F.lag("seg").over(ordered)
-    rows = cut.withColumns({"before": before, "most": F.max("seg").over(alone), "least": F.min("seg").over(alone)})
+    rows = cut.withColumns({"before": before, "most": F.max("seg").over(alone), "least": F.min("seg").over(alone), "n": F.count("*").over(alone)})
     again = F.col("covered") | F.coalesce(F.col("before") == F.col("seg"), F.lit(False))
     return rows.withColumn("covered", again).where(again | (F.col("most") != F.col("least"))).select(
-        "key", "doc_id", "pos", "size", "lead", "covered"
+        "key", "doc_id", "pos", "size", "lead", "covered", "n"
     )
 
 
+def _windows(parts: DataFrame, size: int) -> DataFrame:
+    """Segments (key, doc_id, pos, lead, part) split into windows, of equal ones the first of each batch;
+    and the others as spans that are repeats."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, pos, lead, key = (batch.column(c).to_numpy() for c in ("doc_id", "pos", "lead", "key"))
+            segs = byte_texts(batch.column("part"))
+            lengths = np.array([len(s) for s in segs], np.int64)
+            data = np.frombuffer(b"".join(segs), np.uint8)
+            owner, start, length, depth, own, seg = _split(data, np.cumsum(lengths) - lengths, pos, lengths, lead, key, size)
+            order = np.empty(len(ids), np.int64)
+            order[np.lexsort((pos, ids))] = np.arange(len(ids))
+            kept = _once(order, owner, start, length, depth, own, seg)
+            spread = mixed((ids[owner] ^ start).astype(np.uint64)) >> np.uint64(1)
+            columns = [np.where(kept, own, spread).astype(np.int64), seg.view(np.int64), ids[owner], start, length, depth, ~kept]
+            names = ["key", "seg", "doc_id", "pos", "size", "lead", "covered"]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    return parts.mapInArrow(split, SEGMENTS)
+
+
 # Suffix sort
 
 
@@ -389,8 +424,13 @@ def repeated_spans(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """doc_id, digest and spans (start, size) of repeated bytes, of documents that have any."""
     crowded = _crowded(docs, size)
     judged = stored(_judged(_cut(docs, crowded, size)), "judged")
-    open_ = _parts(judged.where("not covered"), docs).repartition("key").sortWithinPartitions("key", "doc_id", "pos")
-    spans = judged.where("covered").select("doc_id", "pos", "size").unionByName(_compare(open_, size))
+    open_ = judged.where("not covered")
+    few = _parts(open_.where(F.col("n") <= MOST), docs).repartition("key").sortWithinPartitions("key", "doc_id", "pos")
+    spans = judged.where("covered").select("doc_id", "pos", "size").unionByName(_compare(few, size))
+    many = open_.where(F.col("n") > MOST)
+    if not many.isEmpty():
+        windows = _judged(_windows(_parts(many, docs), size))
+        spans = spans.unionByName(windows.where("covered").select("doc_id", "pos", "size"))
     return spans.groupBy("doc_id", _digest("pos")).agg(F.collect_list(F.struct(_start("pos").alias("start"), "size")).alias("spans"))
 
 

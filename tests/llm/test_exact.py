@@ -1,5 +1,6 @@
 """Operators with exact results against brute force, on awkward and on given documents."""
 
+import random
 import zlib
 
 import numpy as np
@@ -158,6 +159,26 @@ def test_substrings_avoid_crowded_anchors(spark, monkeypatch):
     assert {r.doc_id: bytes(r.kept) for r in rows} == {i: w[3] for i, w in wanted.items()}
 
 
+@pytest.mark.parametrize("hot, most", [(1000, 2000), (20, 2000), (10**9, 30)])
+def test_hot_passage_is_not_gathered(spark, monkeypatch, hot, most):
+    """Edges of a passage that many documents hold differ; no comparison holds more than `most` segments of an anchor."""
+    draw = random.Random(5)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(160))
+    docs = [(i, "".join(draw.choice("klmnopqr") for _ in range(90)) + passage + str(i % 7) * 60) for i in range(60)]
+    monkeypatch.setattr(substring_dedup, "HOT", hot)
+    monkeypatch.setattr(substring_dedup, "MOST", most)
+    asked, parts = [], substring_dedup._compare
+
+    def compare(rows, size):
+        asked.append(rows.groupBy("key").count().agg({"count": "max"}).first()[0] or 0)
+        return parts(rows, size)
+
+    monkeypatch.setattr(substring_dedup, "_compare", compare)
+    rows = substring_dedup.remove_repeats(frame(spark, docs), 50).collect()
+    assert {r.doc_id: bytes(r.kept) for r in rows} == {i: w[3] for i, w in brute.substrings(docs, 50).items()}
+    assert asked and max(asked) <= (30 if (hot, most) != (1000, 2000) else 2000)
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.text("ab", min_size=12, max_size=30), min_size=1, max_size=12), st.integers(4, 12))
 def test_suffix_sort(texts, limit):
