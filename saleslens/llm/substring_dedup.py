@@ -23,8 +23,8 @@ anchors at equal places, and one anchor serves about 35 windows in a row, a segm
 Segments are compared by two 64-bit hashes (anchor and segment). Texts are shuffled once.
 
 Edge cases: null and empty texts have no bytes; texts shorter than `size` lose nothing; a null doc_id
-is the smallest; rows that share a doc_id are ordered by a hash of their text, and fully equal rows
-count as one and get the same result; an empty table gives an empty result.
+is the smallest; rows that share a doc_id are told apart and ordered by a 64-bit hash of their text, and
+fully equal rows count as one and get the same result; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -55,9 +55,8 @@ HOT = 1000
 MOST = 2000
 GRAM_POWERS = Powers(0xA0761D6478BD642F)
 SEGMENT_POWERS = Powers(0xE7037ED1A0B428DB)
-START_BITS = 31  # a text has under 2 GB; the bits above are of its hash
 SORT_BYTES = 1 << 20
-SEGMENTS = "key long, seg long, doc_id long, pos long, size long, lead long, covered boolean"
+SEGMENTS = "key long, seg long, doc_id long, digest long, pos long, size long, lead long, covered boolean"
 
 
 # Segments
@@ -186,22 +185,22 @@ def _cut(docs: DataFrame, crowded: np.ndarray, size: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, digests, (text, start, length, lead, key, seg), kept in _each_chunk(batches, crowded, size):
-            high = digests << START_BITS
             again = np.flatnonzero(~kept)
             again = again[np.lexsort((start[again], text[again]))]
             t, a, b = merged(text[again], start[again], (start + length)[again])
-            spread = mixed((ids[t] ^ (high[t] + a)).astype(np.uint64)) >> np.uint64(1)
+            spread = mixed((ids[t] ^ (digests[t] + a)).astype(np.uint64)) >> np.uint64(1)
             text, start = np.concatenate([text[kept], t]), np.concatenate([start[kept], a])
             columns = [
                 np.concatenate([key[kept], spread]).astype(np.int64),
                 np.concatenate([seg[kept].view(np.int64), np.zeros(len(t), np.int64)]),
                 ids[text],
-                high[text] + start,
+                digests[text],
+                start,
                 np.concatenate([length[kept], b - a]),
                 np.concatenate([lead[kept], np.zeros(len(t), np.int64)]).astype(np.int64),
                 np.concatenate([np.zeros(kept.sum(), bool), np.ones(len(t), bool)]),
             ]
-            names = ["key", "seg", "doc_id", "pos", "size", "lead", "covered"]
+            names = ["key", "seg", "doc_id", "digest", "pos", "size", "lead", "covered"]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     return docs.mapInArrow(cut, SEGMENTS)
@@ -209,33 +208,33 @@ def _cut(docs: DataFrame, crowded: np.ndarray, size: int) -> DataFrame:
 
 def _judged(cut: DataFrame) -> DataFrame:
     """Spans that are repeats, and the segments whose windows are to be compared, with the rows of their anchor."""
-    ordered = Window.partitionBy("key").orderBy("seg", "doc_id", "pos")
+    ordered = Window.partitionBy("key").orderBy("seg", "doc_id", "digest", "pos")
     alone = Window.partitionBy("key")
     before = F.lag("seg").over(ordered)
     rows = cut.withColumns({"before": before, "most": F.max("seg").over(alone), "least": F.min("seg").over(alone), "n": F.count("*").over(alone)})
     again = F.col("covered") | F.coalesce(F.col("before") == F.col("seg"), F.lit(False))
     return rows.withColumn("covered", again).where(again | (F.col("most") != F.col("least"))).select(
-        "key", "doc_id", "pos", "size", "lead", "covered", "n"
+        "key", "doc_id", "digest", "pos", "size", "lead", "covered", "n"
     )
 
 
 def _windows(parts: DataFrame, size: int) -> DataFrame:
-    """Segments (key, doc_id, pos, lead, part) split into windows, of equal ones the first of each batch;
+    """Segments (key, doc_id, digest, pos, lead, part) split into windows, of equal ones the first of each batch;
     and the others as spans that are repeats."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, pos, lead, key = (batch.column(c).to_numpy() for c in ("doc_id", "pos", "lead", "key"))
+            ids, digests, pos, lead, key = (batch.column(c).to_numpy() for c in ("doc_id", "digest", "pos", "lead", "key"))
             segs = byte_texts(batch.column("part"))
             lengths = np.array([len(s) for s in segs], np.int64)
             data = np.frombuffer(b"".join(segs), np.uint8)
             owner, start, length, depth, own, seg = _split(data, np.cumsum(lengths) - lengths, pos, lengths, lead, key, size)
             order = np.empty(len(ids), np.int64)
-            order[np.lexsort((pos, ids))] = np.arange(len(ids))
+            order[np.lexsort((pos, digests, ids))] = np.arange(len(ids))
             kept = _once(order, owner, start, length, depth, own, seg)
-            spread = mixed((ids[owner] ^ start).astype(np.uint64)) >> np.uint64(1)
-            columns = [np.where(kept, own, spread).astype(np.int64), seg.view(np.int64), ids[owner], start, length, depth, ~kept]
-            names = ["key", "seg", "doc_id", "pos", "size", "lead", "covered"]
+            spread = mixed((ids[owner] ^ (digests[owner] + start)).astype(np.uint64)) >> np.uint64(1)
+            columns = [np.where(kept, own, spread).astype(np.int64), seg.view(np.int64), ids[owner], digests[owner], start, length, depth, ~kept]
+            names = ["key", "seg", "doc_id", "digest", "pos", "size", "lead", "covered"]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     return parts.mapInArrow(split, SEGMENTS)
@@ -351,16 +350,18 @@ def _by_bytes(segs, key, owner, place, depth, size):
 
 
 def _compare(rows: DataFrame, size: int) -> DataFrame:
-    """(doc_id, pos, size) of repeated windows, merged; rows (key, doc_id, pos, lead, part) come sorted by anchor."""
+    """(doc_id, digest, pos, size) of repeated windows, merged; rows (key, doc_id, digest, pos, lead, part) come sorted
+    by anchor."""
 
     def spans(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held)
-        ids, pos = table.column("doc_id").to_numpy(), table.column("pos").to_numpy()
+        ids, digests, pos = (table.column(c).to_numpy() for c in ("doc_id", "digest", "pos"))
         key, lead = table.column("key").to_numpy(), table.column("lead").to_numpy()
         owner, place = repeated_windows(table.column("part").to_pylist(), key, lead, size)
         by = np.lexsort((place, owner))
         owner, start, stop = merged(owner[by], place[by], place[by] + size)
-        return pa.RecordBatch.from_arrays([pa.array(ids[owner]), pa.array(pos[owner] + start), pa.array(stop - start)], ["doc_id", "pos", "size"])
+        columns = [ids[owner], digests[owner], pos[owner] + start, stop - start]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "digest", "pos", "size"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, held_bytes = [], 0
@@ -382,7 +383,7 @@ def _compare(rows: DataFrame, size: int) -> DataFrame:
         if held:
             yield spans(held)
 
-    return rows.mapInArrow(compare, "doc_id long, pos long, size long")
+    return rows.mapInArrow(compare, "doc_id long, digest long, pos long, size long")
 
 
 # The whole
@@ -390,7 +391,7 @@ def _compare(rows: DataFrame, size: int) -> DataFrame:
 
 def _parts(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """Bytes of segments, from the texts they stand in."""
-    by_doc = rows.groupBy("doc_id", _digest("pos")).agg(F.collect_list(F.struct("key", _start("pos").alias("start"), "size", "lead")).alias("asked"))
+    by_doc = rows.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("key", F.col("pos").alias("start"), "size", "lead")).alias("asked"))
     met = docs.join(by_doc.hint("shuffle_hash"), ["doc_id", "digest"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,22 +403,15 @@ def _parts(rows: DataFrame, docs: DataFrame) -> DataFrame:
                     [
                         pa.array([x["key"] for x in asked], pa.int64()),
                         pa.array([doc_id] * len(asked), pa.int64()),
-                        pa.array([(digest << START_BITS) + x["start"] for x in asked], pa.int64()),
+                        pa.array([digest] * len(asked), pa.int64()),
+                        pa.array([x["start"] for x in asked], pa.int64()),
                         pa.array([x["lead"] for x in asked], pa.int64()),
                         pa.array([text[x["start"] : x["start"] + x["size"]] for x in asked], pa.binary()),
                     ],
-                    ["key", "doc_id", "pos", "lead", "part"],
+                    ["key", "doc_id", "digest", "pos", "lead", "part"],
                 )
 
-    return met.select("doc_id", "digest", "text", "asked").mapInArrow(cut, "key long, doc_id long, pos long, lead long, part binary")
-
-
-def _digest(pos: str):
-    return F.shiftright(pos, START_BITS).alias("digest")
-
-
-def _start(pos: str):
-    return F.col(pos).bitwiseAND(F.lit(2**START_BITS - 1))
+    return met.select("doc_id", "digest", "text", "asked").mapInArrow(cut, "key long, doc_id long, digest long, pos long, lead long, part binary")
 
 
 def repeated_spans(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -425,17 +419,17 @@ def repeated_spans(docs: DataFrame, size: int = SIZE) -> DataFrame:
     crowded = _crowded(docs, size)
     judged = stored(_judged(_cut(docs, crowded, size)), "judged")
     open_ = judged.where("not covered")
-    few = _parts(open_.where(F.col("n") <= MOST), docs).repartition("key").sortWithinPartitions("key", "doc_id", "pos")
-    spans = judged.where("covered").select("doc_id", "pos", "size").unionByName(_compare(few, size))
+    few = _parts(open_.where(F.col("n") <= MOST), docs).repartition("key").sortWithinPartitions("key", "doc_id", "digest", "pos")
+    spans = judged.where("covered").select("doc_id", "digest", "pos", "size").unionByName(_compare(few, size))
     many = open_.where(F.col("n") > MOST)
     if not many.isEmpty():
         windows = _judged(_windows(_parts(many, docs), size))
-        spans = spans.unionByName(windows.where("covered").select("doc_id", "pos", "size"))
-    return spans.groupBy("doc_id", _digest("pos")).agg(F.collect_list(F.struct(_start("pos").alias("start"), "size")).alias("spans"))
+        spans = spans.unionByName(windows.where("covered").select("doc_id", "digest", "pos", "size"))
+    return spans.groupBy("doc_id", "digest").agg(F.collect_list(F.struct(F.col("pos").alias("start"), "size")).alias("spans"))
 
 
 def with_digest(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("digest", F.shiftright(F.xxhash64("text"), 64 - 20))
+    return docs.withColumn("digest", F.xxhash64("text"))
 
 
 def remove_repeats(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -206,6 +206,18 @@ def test_substrings_of_equal_rows_and_null_ids(spark):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_removed) for r in rows) == [(False, 3, 150), (False, 3, 150), (False, 4, 150), (True, 0, 0)]
 
 
+def test_substrings_of_many_texts_with_null_ids(spark):
+    """Texts under one id are told apart, and ordered by their 64-bit hash."""
+    draw = random.Random(8)
+    shared = "".join(draw.choice("abcdefgh ") for _ in range(120))
+    texts = [f"{i:05d}" + "".join(draw.choice("klmnopqr") for _ in range(draw.randint(0, 200))) + shared * (i % 2) for i in range(4000)]
+    rows = substring_dedup.remove_repeats(frame(spark, [(None, t) for t in texts])).collect()
+    by_hash = sorted(texts, key=lambda t: np.uint64(xxhash.xxh64_intdigest(t, seed=42)).astype(np.int64))
+    wanted = brute.substrings(list(enumerate(by_hash)), 100)
+    assert sorted(bytes(r.kept) for r in rows) == sorted(w[3] for w in wanted.values())
+
+
+
 # 4
 
 
