@@ -20,7 +20,8 @@ anchors at equal places, and one anchor serves about 35 windows in a row, a segm
    log(size) steps. Neighbours that agree in `size` bytes by hash are checked byte by byte;
 5. spans meet their texts by document, and are cut out.
 
-Segments are compared by two 64-bit hashes (anchor and segment). Texts are shuffled once.
+Equal segments have equal anchors (a 64-bit hash of 32 bytes) and two equal independent 64-bit hashes of all
+their bytes; these are not checked byte by byte. Texts are shuffled once.
 
 Edge cases: null and empty texts have no bytes; texts shorter than `size` lose nothing; a null doc_id
 is the smallest; rows that share a doc_id are told apart and ordered by a 64-bit hash of their text, and
@@ -42,6 +43,7 @@ from saleslens.llm.shared import (
     byte_texts,
     documents_of,
     mixed,
+    odd_numbers,
     parts_of,
     prefix_hashes,
     shown_id,
@@ -55,8 +57,9 @@ HOT = 1000
 MOST = 2000
 GRAM_POWERS = Powers(0xA0761D6478BD642F)
 SEGMENT_POWERS = Powers(0xE7037ED1A0B428DB)
+CHECK_POWERS, CHECK_CODES = Powers(0x8EBC6AF09C88C6E3), odd_numbers(256, 13)
 SORT_BYTES = 1 << 20
-SEGMENTS = "key long, seg long, doc_id long, digest long, pos long, size long, lead long, covered boolean"
+SEGMENTS = "key long, seg long, check long, doc_id long, digest long, pos long, size long, lead long, covered boolean"
 
 
 # Segments
@@ -78,11 +81,11 @@ def _lowest(values: np.ndarray, width: int) -> np.ndarray:
 
 def segments(texts: list[bytes], size: int):
     """Segments of all texts in order: text, start in it, length, place of the anchor in the segment,
-    hash of the anchor and of the segment (with length and place)."""
+    hash of the anchor and two of the segment (with length and place)."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     none = np.zeros(0, np.int64)
     if len(data) < size:
-        return (none,) * 6
+        return (none,) * 7
     codes = BYTE_CODES[data]
     begins = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     sums = prefix_hashes(codes, GRAM_POWERS)
@@ -95,16 +98,21 @@ def segments(texts: list[bytes], size: int):
     new[1:] &= (anchors[1:] != anchors[:-1]) | ~valid[:-1]
     first = np.flatnonzero(new)
     if not len(first):
-        return (none,) * 6
+        return (none,) * 7
     breaks = np.flatnonzero(new | ~valid)
     following = np.searchsorted(breaks, first, "right")
     last = np.append(breaks, len(valid))[following] - 1
     length = last - first + size
     lead = anchors[first] - first
     text = np.searchsorted(begins, first, "right") - 1
-    whole = slice_hashes(prefix_hashes(codes, SEGMENT_POWERS), first, first + length, SEGMENT_POWERS)
-    seg = mixed(whole + (length * 256 + lead).astype(np.uint64))
-    return text, first - begins[text], length, lead, grams[anchors[first]], seg
+    seg, check = _two_hashes(data, first, first + length, (length * 256 + lead).astype(np.uint64))
+    return text, first - begins[text], length, lead, grams[anchors[first]], seg, check
+
+
+def _two_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    one = slice_hashes(prefix_hashes(BYTE_CODES[data], SEGMENT_POWERS), starts, stops, SEGMENT_POWERS)
+    two = slice_hashes(prefix_hashes(CHECK_CODES[data], CHECK_POWERS), starts, stops, CHECK_POWERS)
+    return mixed(one + salt), mixed(two + salt)
 
 
 def _split(data: np.ndarray, begins: np.ndarray, start, length, lead, key, size: int):
@@ -114,17 +122,17 @@ def _split(data: np.ndarray, begins: np.ndarray, start, length, lead, key, size:
     owner = np.repeat(np.arange(len(counts)), counts)
     place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     depth = lead[owner] - place
-    codes, at = BYTE_CODES[data], begins[owner] + place
-    one, two = (slice_hashes(prefix_hashes(codes, p), at, at + size, p) for p in (GRAM_POWERS, SEGMENT_POWERS))
-    own = mixed(one + mixed(key[owner].astype(np.uint64) + depth.astype(np.uint64))) >> np.uint64(1)
-    return owner, start[owner] + place, np.full(len(owner), size), depth, own, mixed(two + depth.astype(np.uint64))
+    at = begins[owner] + place
+    whole = slice_hashes(prefix_hashes(BYTE_CODES[data], GRAM_POWERS), at, at + size, GRAM_POWERS)
+    own = mixed(whole + mixed(key[owner].astype(np.uint64) + depth.astype(np.uint64))) >> np.uint64(1)
+    return owner, start[owner] + place, np.full(len(owner), size), depth, own, *_two_hashes(data, at, at + size, depth.astype(np.uint64))
 
 
-def _once(order: np.ndarray, text, start, length, lead, key, seg):
+def _once(order: np.ndarray, text, start, length, lead, key, seg, check):
     """Per chunk: which segments are the first of their kind, in document order."""
-    by = np.lexsort((start, order[text], seg, key))
+    by = np.lexsort((start, order[text], check, seg, key))
     first = np.ones(len(by), bool)
-    first[1:] = (key[by][1:] != key[by][:-1]) | (seg[by][1:] != seg[by][:-1])
+    first[1:] = np.logical_or.reduce([x[by][1:] != x[by][:-1] for x in (key, seg, check)])
     kept = np.empty(len(by), bool)
     kept[by] = first
     return kept
@@ -152,7 +160,7 @@ def _each_chunk(batches: Iterator[pa.RecordBatch], crowded: np.ndarray, size: in
         kept = _once(order, *found)
         hot = kept & np.isin(found[4], crowded)
         if hot.any():
-            text, start, length, lead, key, _ = (column[hot] for column in found)
+            text, start, length, lead, key, *_ = (column[hot] for column in found)
             data = np.frombuffer(b"".join(texts), np.uint8)
             begins = np.cumsum([0, *map(len, texts)])[text] + start
             owner, *rest = _split(data, begins, start, length, lead, key, size)
@@ -167,7 +175,7 @@ def _crowded(docs: DataFrame, size: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = 0
-        for _, _, (_, _, _, _, key, _), kept in _each_chunk(batches, np.zeros(0, np.uint64), size):
+        for _, _, (_, _, _, _, key, *_), kept in _each_chunk(batches, np.zeros(0, np.uint64), size):
             grams, n = np.unique(key[kept], return_counts=True)
             total += int(n.sum())
             many = n >= max(8, int(n.sum()) // HOT)
@@ -184,7 +192,7 @@ def _cut(docs: DataFrame, crowded: np.ndarray, size: int) -> DataFrame:
     """Segments that are first in their chunk, and merged spans of the others."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, digests, (text, start, length, lead, key, seg), kept in _each_chunk(batches, crowded, size):
+        for ids, digests, (text, start, length, lead, key, seg, check), kept in _each_chunk(batches, crowded, size):
             again = np.flatnonzero(~kept)
             again = again[np.lexsort((start[again], text[again]))]
             t, a, b = merged(text[again], start[again], (start + length)[again])
@@ -193,6 +201,7 @@ def _cut(docs: DataFrame, crowded: np.ndarray, size: int) -> DataFrame:
             columns = [
                 np.concatenate([key[kept], spread]).astype(np.int64),
                 np.concatenate([seg[kept].view(np.int64), np.zeros(len(t), np.int64)]),
+                np.concatenate([check[kept].view(np.int64), np.zeros(len(t), np.int64)]),
                 ids[text],
                 digests[text],
                 start,
@@ -200,7 +209,7 @@ def _cut(docs: DataFrame, crowded: np.ndarray, size: int) -> DataFrame:
                 np.concatenate([lead[kept], np.zeros(len(t), np.int64)]).astype(np.int64),
                 np.concatenate([np.zeros(kept.sum(), bool), np.ones(len(t), bool)]),
             ]
-            names = ["key", "seg", "doc_id", "digest", "pos", "size", "lead", "covered"]
+            names = ["key", "seg", "check", "doc_id", "digest", "pos", "size", "lead", "covered"]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     return docs.mapInArrow(cut, SEGMENTS)
@@ -208,12 +217,13 @@ def _cut(docs: DataFrame, crowded: np.ndarray, size: int) -> DataFrame:
 
 def _judged(cut: DataFrame) -> DataFrame:
     """Spans that are repeats, and the segments whose windows are to be compared, with the rows of their anchor."""
-    ordered = Window.partitionBy("key").orderBy("seg", "doc_id", "digest", "pos")
+    ordered = Window.partitionBy("key").orderBy("seg", "check", "doc_id", "digest", "pos")
     alone = Window.partitionBy("key")
-    before = F.lag("seg").over(ordered)
-    rows = cut.withColumns({"before": before, "most": F.max("seg").over(alone), "least": F.min("seg").over(alone), "n": F.count("*").over(alone)})
-    again = F.col("covered") | F.coalesce(F.col("before") == F.col("seg"), F.lit(False))
-    return rows.withColumn("covered", again).where(again | (F.col("most") != F.col("least"))).select(
+    same = (F.lag("seg").over(ordered) == F.col("seg")) & (F.lag("check").over(ordered) == F.col("check"))
+    differ = (F.max("seg").over(alone) != F.min("seg").over(alone)) | (F.max("check").over(alone) != F.min("check").over(alone))
+    rows = cut.withColumns({"same": same, "differ": differ, "n": F.count("*").over(alone)})
+    again = F.col("covered") | F.coalesce("same", F.lit(False))
+    return rows.withColumn("covered", again).where(again | F.col("differ")).select(
         "key", "doc_id", "digest", "pos", "size", "lead", "covered", "n"
     )
 
@@ -228,13 +238,13 @@ def _windows(parts: DataFrame, size: int) -> DataFrame:
             segs = byte_texts(batch.column("part"))
             lengths = np.array([len(s) for s in segs], np.int64)
             data = np.frombuffer(b"".join(segs), np.uint8)
-            owner, start, length, depth, own, seg = _split(data, np.cumsum(lengths) - lengths, pos, lengths, lead, key, size)
+            owner, start, length, depth, own, seg, check = _split(data, np.cumsum(lengths) - lengths, pos, lengths, lead, key, size)
             order = np.empty(len(ids), np.int64)
             order[np.lexsort((pos, digests, ids))] = np.arange(len(ids))
-            kept = _once(order, owner, start, length, depth, own, seg)
+            kept = _once(order, owner, start, length, depth, own, seg, check)
             spread = mixed((ids[owner] ^ (digests[owner] + start)).astype(np.uint64)) >> np.uint64(1)
-            columns = [np.where(kept, own, spread).astype(np.int64), seg.view(np.int64), ids[owner], digests[owner], start, length, depth, ~kept]
-            names = ["key", "seg", "doc_id", "digest", "pos", "size", "lead", "covered"]
+            columns = [np.where(kept, own, spread).astype(np.int64), seg.view(np.int64), check.view(np.int64), ids[owner], digests[owner], start, length, depth, ~kept]
+            names = ["key", "seg", "check", "doc_id", "digest", "pos", "size", "lead", "covered"]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     return parts.mapInArrow(split, SEGMENTS)

@@ -200,6 +200,15 @@ def test_collisions_are_checked(monkeypatch):
     assert sorted(zip(owner.tolist(), place.tolist(), strict=True)) == [(1, 0), (2, 0), (2, 1)]
 
 
+def test_segments_with_one_equal_hash_differ(spark):
+    """Segments that agree in anchor and first hash but not in the second are no repeats: their windows are compared."""
+    one = np.ones(2, np.int64)
+    assert substring_dedup._once(np.arange(2), np.arange(2), one, one, one, one, one, np.array([1, 2])).tolist() == [True, True]
+    rows = [(1, 2, check, i, 0, 0, 120, 0, False) for i, check in enumerate([5, 5, 6])]
+    found = substring_dedup._judged(spark.createDataFrame(rows, substring_dedup.SEGMENTS)).collect()
+    assert {r.doc_id: r.covered for r in found} == {0: False, 1: True, 2: False}
+
+
 def test_substrings_of_equal_rows_and_null_ids(spark):
     text = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(150))
     rows = substring_dedup.query(frame(spark, [(3, text), (3, text), (4, text), (None, text)])).collect()
