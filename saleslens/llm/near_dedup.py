@@ -10,7 +10,8 @@ is proportional to the shingles and k ln k; where a coordinate stays empty the b
 Signatures are cut into bands; documents that agree in a band are candidates (at similarity 0.8 a pair
 is missed with a probability of 3e-6). Every link is verified on the shingle sets:
 
-1. texts with the same shingles are one class; its smallest id goes on alone;
+1. texts with the same words are one class, and so are texts without words that are equal byte for byte; the
+   smallest id of a class goes on alone;
 2. in each bucket of a band, every member is compared with the smallest one. Linked documents
    form components, found by passing the smallest id along and by pointer jumping;
 3. members of one bucket that are still in different components are compared too, unless a link is ruled
@@ -20,14 +21,16 @@ is missed with a probability of 3e-6). Every link is verified on the shingle set
 So no link between documents that share a band is lost, and buckets of copies cost one comparison a
 member. Buckets with very many members are met by broadcast of their smallest member, not gathered.
 
-Edge cases: a text with fewer words than a shingle, but not none, is one shingle; null texts and texts
-without words have no shingles, are alike to nothing and keep their own class; a null doc_id is the
+Edge cases: a text with fewer words than a shingle, but not none, is one shingle; texts
+without words have no shingles and are alike only to equal texts; null and empty texts are alike to nothing
+and keep their own class; a null doc_id is the
 smallest id and shown as null; rows that share a doc_id get one class, the union of their links; an
 empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -201,18 +204,23 @@ def _weights(shingles: np.ndarray, owner: np.ndarray, weighted: bool) -> np.ndar
 
 
 def sign(docs: DataFrame, weighted: bool = False) -> DataFrame:
-    """doc_id, two hashes of the words, and the band keys (empty without words), where the texts are read."""
+    """doc_id, two hashes of the words (of the bytes without words, null for an empty text), and the band keys
+    (empty without words), where the texts are read."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (part for batch in batches for part in parts_of(batch)):
-            shingles, owner, begins, whole = shingle_hashes(byte_texts(part.column("text")))
+            texts = byte_texts(part.column("text"))
+            shingles, owner, begins, whole = shingle_hashes(texts)
+            for i in np.flatnonzero(np.diff(begins) == 0):
+                whole[i] = np.frombuffer(hashlib.blake2b(texts[i], digest_size=16).digest(), np.uint64)
             names = signatures(shingles, _weights(shingles, owner, weighted), owner, part.num_rows, BANDS * ROWS)
             some = np.diff(begins) > 0
             keys = band_keys(names).view(np.int64)[some]
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum(some * BANDS)]), pa.int32()), pa.array(keys.ravel())
             )
-            words = [pa.array(whole[:, i].view(np.int64)) for i in (0, 1)]
+            empty = np.array([not t for t in texts], bool)
+            words = [pa.array(np.ascontiguousarray(whole[:, i]).view(np.int64), mask=empty) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), *words, lists], ["doc_id", "w1", "w2", "keys"])
 
     return docs.mapInArrow(work, "doc_id long, w1 long, w2 long, keys array<long>")
@@ -307,9 +315,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def _chosen(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links of copies to the first document with the same words, and the signatures of the first ones."""
+    """Links of copies to the first document with the same words (bytes without words), and the signatures of
+    the first ones."""
     words = ["w1", "w2"]
-    some = signed.where(F.size("keys") > 0)
+    some = signed.where("w1 IS NOT NULL")
     firsts = stored(some.groupBy(*words).agg(F.count("*").alias("n"), F.min("doc_id").alias("first")), "firsts")
     rows = join_hot(some.select("doc_id", *words), firsts, words, "n", signed.count())
     copies = rows.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()

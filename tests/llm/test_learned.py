@@ -77,6 +77,12 @@ def test_stage_keeps_the_first_and_all_columns(spark):
     assert {r.doc_id for r in found.collect()} == {3, 11, None, 12}
 
 
+def test_equal_texts_without_words_are_one_class(spark):
+    docs = frame(spark, [(5, "--\n**"), (3, "--\n**"), (7, "--\n* *"), (9, "?!"), (8, "?!"), (10, "one"), (None, None), (12, "")])
+    found = {r.doc_id: r.class_id for r in near_dedup.query(docs).collect()}
+    assert found == {5: 3, 3: 3, 7: 7, 9: 8, 8: 8, 10: 10, None: None, 12: 12}
+
+
 # 8
 
 

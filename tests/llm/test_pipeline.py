@@ -6,7 +6,7 @@ import pytest
 import corpus_pipeline
 from saleslens.llm import oracle_sql, queries
 from tests.llm import brute
-from tests.llm.conftest import SMALL
+from tests.llm.conftest import SMALL, frame
 from tests.oracle_check import difference
 
 
@@ -23,6 +23,13 @@ def test_pipeline_equals_plain_stages(spark, small):
     assert {(r.doc_id, r.decoded_sha256) for r in rows} == {(i, brute.sha(t)) for i, t in docs}
 
 
+def test_copies_without_words_after_line_dedup_leave_one(spark):
+    """Exact copies lose their long lines to the first one; what is left of them is equal and has no words."""
+    docs = frame(spark, [(i, "a long line that all copies hold\n--\n**") for i in range(1, 7)])
+    left = corpus_pipeline.near_dedup_stage(spark, corpus_pipeline.line_dedup_stage(spark, docs, SMALL), SMALL)
+    assert sorted(r.doc_id for r in left.collect()) == [1, 2]
+
+
 def test_stages_return_the_columns_of_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
