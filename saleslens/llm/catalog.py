@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from saleslens.llm import (
     byte_bpe,
+    collocations,
     decontamination,
     language,
     line_dedup,
@@ -62,8 +63,13 @@ def queries() -> dict[str, Query]:
         "op8_language": _on_documents(language.query),
         "op9_near_dedup": _on_documents(near_dedup.query),
         "op10_top_k": _op10,
+        "op13_collocations": _on_documents(collocations.query),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.ORACLE_SQL, "op10_top_k": top_k.ORACLE_SQL}
+    return {
+        "op2_line_dedup": line_dedup.ORACLE_SQL,
+        "op10_top_k": top_k.ORACLE_SQL,
+        "op13_collocations": collocations.ORACLE_SQL,
+    }
