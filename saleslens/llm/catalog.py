@@ -10,8 +10,10 @@ from saleslens.llm import (
     collocations,
     decontamination,
     language,
+    lexical_search,
     line_dedup,
     near_dedup,
+    pii_spans,
     sharding,
     substring_dedup,
     token_files,
@@ -51,6 +53,11 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.query(table(spark, sf_dir, "embeddings"))
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return lexical_search.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_files": _op1,
@@ -63,6 +70,8 @@ def queries() -> dict[str, Query]:
         "op8_language": _on_documents(language.query),
         "op9_near_dedup": _on_documents(near_dedup.query),
         "op10_top_k": _op10,
+        "op11_lexical_search": _op11,
+        "op12_pii_spans": _on_documents(pii_spans.query),
         "op13_collocations": _on_documents(collocations.query),
     }
 
@@ -71,5 +80,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": line_dedup.ORACLE_SQL,
         "op10_top_k": top_k.ORACLE_SQL,
+        "op11_lexical_search": _op11,
+        "op12_pii_spans": _on_documents(pii_spans.query),
+        "op11_lexical_search": lexical_search.ORACLE_SQL,
         "op13_collocations": collocations.ORACLE_SQL,
     }

@@ -148,8 +148,16 @@ def merged(owner: np.ndarray, start: np.ndarray, stop: np.ndarray):
     return owner[first], start[first], stop[np.append(first[1:], len(owner)) - 1]
 
 
+def _distinct(batch: pa.RecordBatch, *columns: str) -> pa.RecordBatch:
+    """The first of rows that agree in some whole numbers: equal rows of the input are one text."""
+    keys = np.stack([batch.column(c).to_numpy() for c in columns])
+    _, first = np.unique(keys, axis=1, return_index=True)
+    return batch if len(first) == batch.num_rows else batch.take(pa.array(np.sort(first)))
+
+
 def _each_chunk(batches: Iterator[pa.RecordBatch], crowded: np.ndarray, size: int):
     for part in (part for batch in batches for part in parts_of(batch)):
+        part = _distinct(part, "doc_id", "digest")
         ids, digests = (part.column(c).to_numpy() for c in ("doc_id", "digest"))
         order = np.empty(len(ids), np.int64)
         order[np.lexsort((digests, ids))] = np.arange(len(ids))
@@ -217,12 +225,12 @@ def _cut(docs: DataFrame, crowded: np.ndarray, size: int) -> DataFrame:
 
 def _judged(cut: DataFrame) -> DataFrame:
     """Spans that are repeats, and the segments whose windows are to be compared, with the rows of their anchor."""
-    ordered = Window.partitionBy("key").orderBy("seg", "check", "doc_id", "digest", "pos")
+    ordered = Window.partitionBy("key", "seg", "check").orderBy("doc_id", "digest", "pos")
     alone = Window.partitionBy("key")
-    same = (F.lag("seg").over(ordered) == F.col("seg")) & (F.lag("check").over(ordered) == F.col("check"))
+    same = F.dense_rank().over(ordered) > 1  # rows of equal texts share the first place
     differ = (F.max("seg").over(alone) != F.min("seg").over(alone)) | (F.max("check").over(alone) != F.min("check").over(alone))
     rows = cut.withColumns({"same": same, "differ": differ, "n": F.count("*").over(alone)})
-    again = F.col("covered") | F.coalesce("same", F.lit(False))
+    again = F.col("covered") | F.col("same")
     return rows.withColumn("covered", again).where(again | F.col("differ")).select(
         "key", "doc_id", "digest", "pos", "size", "lead", "covered", "n"
     )
@@ -233,7 +241,7 @@ def _windows(parts: DataFrame, size: int) -> DataFrame:
     and the others as spans that are repeats."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (_distinct(batch, "key", "doc_id", "digest", "pos") for batch in batches):
             ids, digests, pos, lead, key = (batch.column(c).to_numpy() for c in ("doc_id", "digest", "pos", "lead", "key"))
             segs = byte_texts(batch.column("part"))
             lengths = np.array([len(s) for s in segs], np.int64)
@@ -364,7 +372,7 @@ def _compare(rows: DataFrame, size: int) -> DataFrame:
     by anchor."""
 
     def spans(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(held)
+        table = _distinct(pa.Table.from_batches(held).combine_chunks().to_batches()[0], "key", "doc_id", "digest", "pos")
         ids, digests, pos = (table.column(c).to_numpy() for c in ("doc_id", "digest", "pos"))
         key, lead = table.column("key").to_numpy(), table.column("lead").to_numpy()
         owner, place = repeated_windows(table.column("part").to_pylist(), key, lead, size)
@@ -401,7 +409,7 @@ def _compare(rows: DataFrame, size: int) -> DataFrame:
 
 def _parts(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """Bytes of segments, from the texts they stand in."""
-    by_doc = rows.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("key", F.col("pos").alias("start"), "size", "lead")).alias("asked"))
+    by_doc = rows.groupBy("doc_id", "digest").agg(F.collect_set(F.struct("key", F.col("pos").alias("start"), "size", "lead")).alias("asked"))
     met = docs.join(by_doc.hint("shuffle_hash"), ["doc_id", "digest"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -49,6 +49,10 @@ def substrings(docs, size):
     return out
 
 
+def words_of_search(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(UPPER))
+
+
 def words(text):
     return WORD.findall((text or "").translate(UPPER))
 

@@ -215,6 +215,22 @@ def test_substrings_of_equal_rows_and_null_ids(spark):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_removed) for r in rows) == [(False, 3, 150), (False, 3, 150), (False, 4, 150), (True, 0, 0)]
 
 
+@pytest.mark.parametrize("partitions", [1, 3, 7])
+@pytest.mark.parametrize("hot, most", [(1000, 2000), (8, 3)])
+def test_substrings_of_equal_rows_alone(spark, monkeypatch, partitions, hot, most):
+    """Rows that repeat are one text: nothing starts earlier in it, so no copy of it is lost."""
+    monkeypatch.setattr(substring_dedup, "HOT", hot)
+    monkeypatch.setattr(substring_dedup, "MOST", most)
+    draw = random.Random(2)
+    a, b, c = ("".join(draw.choice("abcdefgh") for _ in range(500)) for _ in range(3))
+    docs = [(1, a + c[:150]), (2, b), (3, c + a[:120]), (4, "x" * 30 + c[50:250] + a[:110])]
+    docs += [(10 + i, f"{i:04d}" + a[200:330] + str(i % 5) * 40) for i in range(30)]
+    wanted = brute.substrings(docs, 100)
+    rows = substring_dedup.remove_repeats(frame(spark, docs * 3, partitions)).collect()
+    assert len(rows) == 3 * len(docs)
+    assert {(r.doc_id, bytes(r.kept)) for r in rows} == {(i, w[3]) for i, w in wanted.items()}
+
+
 def test_substrings_of_many_texts_with_null_ids(spark):
     """Texts under one id are told apart, and ordered by their 64-bit hash."""
     draw = random.Random(8)
