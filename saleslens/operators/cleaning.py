@@ -15,6 +15,7 @@ from saleslens.functions.dates import iso_date
 from saleslens.functions.frames import unpivot, with_row
 from saleslens.functions.numbers import double, half_even, money
 from saleslens.functions.order_stats import quantiles
+from saleslens.functions.repeats import split
 from saleslens.functions.text import strip, title_case, zero_pad
 from saleslens.schema import (
     CATEGORY_COLUMNS,
@@ -40,15 +41,18 @@ def _present(raw: DataFrame, columns) -> list[str]:
 
 
 def drop_exact_duplicates(raw: DataFrame) -> DataFrame:
-    return raw.distinct()
+    """One of equal rows. Rows that surely have no equal are not shuffled."""
+    once, again = split(raw, raw.columns)
+    return once.unionByName(again.distinct())
 
 
 def drop_key_duplicates(raw: DataFrame, keys: list[str] = LINE_KEY) -> DataFrame:
     """Keep the first row of every key; null keys are equal to each other.
 
     First means lowest row number; the other columns decide between equal ones, so the
-    choice does not depend on how the input is partitioned. Spark applies the limit of
-    one row before the shuffle too, so a key held by many rows sends one per task.
+    choice does not depend on how the input is partitioned. Rows whose key surely occurs
+    once are neither shuffled nor sorted. Of the others Spark keeps one per key in every
+    task before the shuffle, so a key held by many rows is no burden.
     """
     keys = _present(raw, keys)
     if not keys:
@@ -56,9 +60,10 @@ def drop_key_duplicates(raw: DataFrame, keys: list[str] = LINE_KEY) -> DataFrame
     first = [F.col("row_id").try_cast("bigint").asc_nulls_last()] if "row_id" in raw.columns else []
     order = first + [F.col(c).asc_nulls_last() for c in raw.columns if c not in keys]
     if not order:
-        return raw.distinct()
+        return drop_exact_duplicates(raw)
+    once, again = split(raw, keys)
     place = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    return raw.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
+    return once.unionByName(again.withColumn("_place", place).where(F.col("_place") == 1).drop("_place"))
 
 
 def remove_duplicates(raw: DataFrame) -> DataFrame:

@@ -4,13 +4,14 @@ Reports are frames; nothing is counted until the caller asks. Only `require_colu
 and `enforce` raise.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from saleslens.errors import QualityGateError, SchemaValidationError
 from saleslens.functions.dates import iso_date
 from saleslens.functions.frames import inputs, one_row, with_row
 from saleslens.functions.numbers import count_where, double, half_even, money, total_double
+from saleslens.functions.repeats import fingerprint, marked
 from saleslens.operators.cleaning import fill_values
 from saleslens.schema import (
     CRITICAL_COLUMNS,
@@ -46,44 +47,73 @@ def _percent(part: str, whole: str) -> Column:
 # Raw data
 
 
+def invalid_dates(raw: DataFrame) -> dict[str, Column]:
+    """Per date column, the number of values that are no date in the expected format."""
+    return {
+        c: count_where(F.col(c).isNotNull() & iso_date(F.col(c)).isNull())
+        for c in _present(raw, DATE_COLUMNS)
+    }
+
+
+def invalid_numbers(raw: DataFrame) -> dict[str, Column]:
+    """Per number column, the number of values that are no number."""
+    return {
+        c: count_where(F.col(c).isNotNull() & money(F.col(c)).isNull())
+        for c in _present(raw, NUMERIC_COLUMNS)
+    }
+
+
 def date_parse_report(raw: DataFrame) -> DataFrame:
     """(column, invalid): values that are no date in the expected format."""
-    columns = _present(raw, DATE_COLUMNS)
-    invalid = [
-        count_where(F.col(c).isNotNull() & iso_date(F.col(c)).isNull()).alias(c)
-        for c in columns
-    ]
-    return raw.agg(*invalid).unpivot([], columns, "column", "invalid")
+    return _unpivoted(raw, invalid_dates(raw), "invalid", "column")
 
 
 def numeric_parse_report(raw: DataFrame) -> DataFrame:
     """(column, invalid): values that are no number."""
-    columns = _present(raw, NUMERIC_COLUMNS)
-    invalid = [
-        count_where(F.col(c).isNotNull() & money(F.col(c)).isNull()).alias(c) for c in columns
-    ]
-    return raw.agg(*invalid).unpivot([], columns, "column", "invalid")
+    return _unpivoted(raw, invalid_numbers(raw), "invalid", "column")
+
+
+MASK_BITS = 62
+
+
+def _null_masks(columns: list[str]) -> dict[str, Column]:
+    """Which columns are null, as one number for every `MASK_BITS` columns."""
+    masks = {}
+    for start in range(0, len(columns), MASK_BITS):
+        part = columns[start : start + MASK_BITS]
+        bits = [F.when(F.col(c).isNull(), F.lit(1 << i).cast("bigint")).otherwise(0) for i, c in enumerate(part)]
+        masks[f"_mask{start // MASK_BITS}"] = sum(bits[1:], bits[0])
+    return masks
 
 
 def _distinct_counts(raw: DataFrame) -> DataFrame:
-    """One row: rows, duplicate rows and nulls per column, from one grouping of whole rows."""
-    grouped = raw.groupBy(*raw.columns).agg(F.count("*").alias("_n"))
-    nulls = [
-        F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("_n"))), F.lit(0)).alias(c)
-        for c in raw.columns
-    ]
-    return grouped.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_duplicates"),
-        *nulls,
-    )
+    """One row: rows, duplicate rows and nulls per column.
+
+    Rows are grouped by fingerprint and null mask, two numbers a row, from which rows and nulls follow. Only rows
+    whose fingerprint may occur again are then grouped whole, to count the duplicates among them.
+    """
+    masks = _null_masks(raw.columns)
+    prints = raw.select(fingerprint(raw.columns).alias("_print"), *[m.alias(n) for n, m in masks.items()])
+    groups = prints.groupBy("_print", *masks).agg(F.count("*").alias("_n"))
+    nulls = []
+    for i, c in enumerate(raw.columns):
+        held = F.col(f"_mask{i // MASK_BITS}").bitwiseAND(F.lit(1 << (i % MASK_BITS)).cast("bigint")) != 0
+        nulls.append(F.coalesce(F.sum(F.when(held, F.col("_n"))), F.lit(0)).alias(c))
+    sizes = groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"), *nulls)
+    again = marked(raw, raw.columns, groups.where(F.col("_n") > 1)).where("_again").drop("_again")
+    whole = again.groupBy(*raw.columns).agg((F.count("*") - 1).alias("_more"))
+    more = whole.agg(F.coalesce(F.sum("_more"), F.lit(0)).alias("_duplicates"))
+    return with_row(sizes, more)
 
 
 def quality_summary(raw: DataFrame) -> DataFrame:
     """(column, rows, columns, duplicate_rows, nulls, null_pct) for every column."""
+    return _summary_of(_distinct_counts(raw), raw)
+
+
+def _summary_of(counts: DataFrame, raw: DataFrame) -> DataFrame:
     return (
-        _distinct_counts(raw)
-        .unpivot(["_rows", "_duplicates"], raw.columns, "column", "nulls")
+        counts.unpivot(["_rows", "_duplicates"], raw.columns, "column", "nulls")
         .select(
             "column",
             F.col("_rows").alias("rows"),
@@ -151,19 +181,21 @@ def cleaning_report(raw: DataFrame, kept: DataFrame, cleaned: DataFrame) -> Data
     )
 
 
+def summary_figures() -> dict[str, Column]:
+    """Rows, loss lines, total sales and profit of cleaned lines."""
+    return {
+        "clean_rows": F.count("*"),
+        "loss_items": count_where(F.col("is_loss")),
+        "total_sales": half_even(total_double("sales"), 2),
+        "total_profit": half_even(total_double("profit"), 2),
+    }
+
+
 def run_summary(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     """One row: rows in, rows out, loss lines, total sales and profit."""
-    return cleaned.agg(
-        F.count("*").alias("clean_rows"),
-        count_where(F.col("is_loss")).alias("loss_items"),
-        half_even(total_double("sales"), 2).alias("total_sales"),
-        half_even(total_double("profit"), 2).alias("total_profit"),
-    ).select(
-        one_row(raw.agg(F.count("*").alias("n")))["n"].alias("raw_rows"),
-        "clean_rows",
-        "loss_items",
-        "total_sales",
-        "total_profit",
+    figures = summary_figures()
+    return cleaned.agg(*[c.alias(name) for name, c in figures.items()]).select(
+        one_row(raw.agg(F.count("*").alias("n")))["n"].alias("raw_rows"), *figures
     )
 
 
@@ -174,11 +206,10 @@ def _all(condition: Column) -> Column:
     return count_where(~F.coalesce(condition, F.lit(False))) == 0
 
 
-@inputs("order_id", "sales", "profit", "discount", "shipping_days", "profit_margin", "is_loss")
-def quality_gate_basic(cleaned: DataFrame) -> DataFrame:
-    """(check, passed) of the nine publishing rules."""
+def basic_rules(cleaned: DataFrame) -> dict[str, Column]:
+    """The nine publishing rules: whether each holds for all rows."""
     types = dict(cleaned.dtypes)
-    rules = {
+    return {
         "order_id has no nulls": _all(F.col("order_id").isNotNull()),
         "sales has no nulls": _all(F.col("sales").isNotNull()),
         "profit has no nulls": _all(F.col("profit").isNotNull()),
@@ -189,32 +220,45 @@ def quality_gate_basic(cleaned: DataFrame) -> DataFrame:
         "is_loss is boolean": F.lit(types.get("is_loss") == "boolean"),
         f"at least {MIN_ROWS} rows": F.count("*") >= MIN_ROWS,
     }
-    return _unpivoted(cleaned, rules, "passed")
 
 
-def _unpivoted(frame: DataFrame, rules: dict[str, Column], value: str) -> DataFrame:
+@inputs("order_id", "sales", "profit", "discount", "shipping_days", "profit_margin", "is_loss")
+def quality_gate_basic(cleaned: DataFrame) -> DataFrame:
+    """(check, passed) of the nine publishing rules."""
+    return _unpivoted(cleaned, basic_rules(cleaned), "passed")
+
+
+def _unpivoted(frame: DataFrame, rules: dict[str, Column], value: str, name: str = "check") -> DataFrame:
     """One pass over `frame`, one row per rule."""
     return frame.agg(*[r.alias(n) for n, r in rules.items()]).unpivot(
-        [], [F.col(f"`{n}`") for n in rules], "check", value
+        [], [F.col(f"`{n}`") for n in rules], name, value
     )
 
 
-@inputs(*CRITICAL_COLUMNS, "discount", "shipping_days", "profit_margin")
-def quality_gate_full(cleaned: DataFrame) -> DataFrame:
-    """(check, violations, passed) of the detailed rules."""
+def full_rules(cleaned: DataFrame) -> dict[str, Column]:
+    """The detailed rules: how many rows violate each."""
     sales, profit = double(F.col("sales")), double(F.col("profit"))
     again = half_even(F.try_divide(profit, sales) * 100, 1)
     differs = F.abs(again - half_even(F.col("profit_margin"), 1)) > 0.5
     infinite = (sales == 0) & (profit != 0)
     rules = {f"{c} has no nulls": count_where(F.col(c).isNull()) for c in CRITICAL_COLUMNS}
-    rules |= {
+    return rules | {
         "sales above 0": count_where(F.col("sales") <= 0),
         "discount within 0 and 1": count_where(~F.col("discount").between(0, 1)),
         "shipping_days not negative": count_where(F.col("shipping_days") < 0),
         "profit_margin matches": count_where(F.coalesce(differs, F.lit(False)) | infinite),
         f"at least {MIN_ROWS} rows": F.greatest(MIN_ROWS - F.count("*"), F.lit(0).cast("bigint")),
     }
-    return _unpivoted(cleaned, rules, "violations").withColumn("passed", F.col("violations") == 0)
+
+
+@inputs(*CRITICAL_COLUMNS, "discount", "shipping_days", "profit_margin")
+def quality_gate_full(cleaned: DataFrame) -> DataFrame:
+    """(check, violations, passed) of the detailed rules."""
+    return _with_verdict(_unpivoted(cleaned, full_rules(cleaned), "violations"))
+
+
+def _with_verdict(violations: DataFrame) -> DataFrame:
+    return violations.withColumn("passed", F.col("violations") == 0)
 
 
 def gate_status(gate: DataFrame, table: DataFrame) -> DataFrame:
@@ -235,3 +279,65 @@ def enforce(gate: DataFrame) -> None:
         raise QualityGateError(f"quality checks failed: {sorted(failed)}")
 
 
+
+
+# Reports measured while a table is written. The figures of all rules are gathered by the tasks that write
+# the rows, so that no report reads the table again.
+
+
+class Measured:
+    """A frame to be written, and the figures that its write gathers.
+
+    The rules are aggregates without distinct counts. Only the write itself may evaluate `frame`; it should
+    not shuffle behind it, as tasks that run again before a shuffle would count twice.
+    """
+
+    def __init__(self, frame: DataFrame, groups: dict[str, dict[str, Column]]):
+        self.spark = frame.sparkSession
+        self.names = {g: {n: f"{g}|{n}" for n in rules} for g, rules in groups.items()}
+        self.observation = Observation()
+        figures = [rule.alias(self.names[g][n]) for g, rules in groups.items() for n, rule in rules.items()]
+        self.frame = frame.observe(self.observation, *figures)
+
+    def figures(self, group: str) -> dict:
+        """Name to figure, once the frame is written."""
+        found = self.observation.get
+        return {n: found[full] for n, full in self.names[group].items()}
+
+    def report(self, group: str, value: str, kind: str, name: str = "check") -> DataFrame:
+        """(name, value) of one group of rules."""
+        return self.spark.createDataFrame(list(self.figures(group).items()), f"`{name}` string, `{value}` {kind}")
+
+
+def measured_raw(raw: DataFrame) -> Measured:
+    """Raw rows with what the validation reports need."""
+    groups = {"dates": invalid_dates(raw), "numbers": invalid_numbers(raw), "rows": {"rows": F.count("*")}}
+    return Measured(raw, groups)
+
+
+def raw_reports(measured: Measured, stored: DataFrame) -> dict[str, DataFrame]:
+    """The validation reports on raw rows; only duplicates are looked for in the table."""
+    return {
+        "dates": measured.report("dates", "invalid", "bigint", "column"),
+        "numbers": measured.report("numbers", "invalid", "bigint", "column"),
+        "quality": quality_summary(stored),
+    }
+
+
+def measured_lines(cleaned: DataFrame) -> Measured:
+    """Cleaned lines with the figures of both gates and of the run log."""
+    groups = {"basic": basic_rules(cleaned), "full": full_rules(cleaned), "summary": summary_figures()}
+    return Measured(cleaned, groups)
+
+
+def gates_of(measured: Measured) -> tuple[DataFrame, DataFrame]:
+    """Both gates, as `quality_gate_basic` and `quality_gate_full` give them."""
+    full = measured.report("full", "violations", "bigint")
+    return measured.report("basic", "passed", "boolean"), _with_verdict(full)
+
+
+def summary_of(raw: Measured, cleaned: Measured) -> DataFrame:
+    """The row of `run_summary`."""
+    row = {"raw_rows": raw.figures("rows")["rows"], **cleaned.figures("summary")}
+    kinds = "raw_rows bigint, clean_rows bigint, loss_items bigint, total_sales double, total_profit double"
+    return cleaned.spark.createDataFrame([tuple(row.values())], kinds)

@@ -17,14 +17,17 @@ from saleslens.operators.cleaning import clean
 from saleslens.operators.quality import (
     date_parse_report,
     enforce,
+    gates_of,
+    measured_lines,
+    measured_raw,
     numeric_parse_report,
-    quality_gate_basic,
-    quality_gate_full,
     quality_summary,
+    raw_reports,
     require_columns,
-    run_summary,
+    summary_of,
+    validation_summary,
 )
-from saleslens.sources.files import read_gold, read_raw, read_silver
+from saleslens.sources.files import read_raw, read_silver
 from saleslens.sources.layers import layer_paths
 from saleslens.sources.sinks import save_results, write_gold, write_silver
 
@@ -60,6 +63,7 @@ def reports_on(raw: DataFrame) -> dict[str, DataFrame]:
         "dates": date_parse_report(raw),
         "numbers": numeric_parse_report(raw),
         "quality": quality_summary(raw),
+        "summary": validation_summary(raw),
     }
 
 
@@ -80,25 +84,25 @@ def run_pipeline(
     """Build all layers below `base`; returns the run log, one row per run id.
 
     Validation reports and the outcome of both gates are stored below the gold layer, also when a gate
-    then stops the run. A run replaces the log row of an earlier one with its id.
+    then stops the run. Their figures are gathered by the tasks that write the bronze and the silver table;
+    only duplicates are looked for afterwards. A run replaces the log row of an earlier one with its id.
     """
     layers = layer_paths(base)
-    read, _ = load_validated(spark, raw_path)
-    raw = read_silver(spark, save_results(read, f"{layers['bronze']}/lines"))
-    cleaned = clean(raw, staging=f"{layers['silver']}/kept")
-    lines = read_silver(spark, write_silver(cleaned, f"{layers['silver']}/lines"))
-
-    checks = {f"validation/{name}": report for name, report in reports_on(raw).items()}
-    basic, full = quality_gate_basic(lines), quality_gate_full(lines)
-    checks |= {"gate/basic": basic, "gate/full": full}
-    _write_all(checks, layers["gold"])
+    read = measured_raw(require_columns(read_raw(spark, raw_path)))
+    raw = read_silver(spark, save_results(read.frame, f"{layers['bronze']}/lines"))
+    cleaned = measured_lines(clean(raw, staging=f"{layers['silver']}/kept"))
+    lines = read_silver(spark, write_silver(cleaned.frame, f"{layers['silver']}/lines"))
+
+    basic, full = gates_of(cleaned)
+    checks = {f"validation/{name}": report for name, report in raw_reports(read, raw).items()}
+    _write_all(checks | {"gate/basic": basic, "gate/full": full}, layers["gold"])
     if enforce_gate:
-        enforce(read_gold(spark, f"{layers['gold']}/gate/basic", basic.schema))
-        enforce(read_gold(spark, f"{layers['gold']}/gate/full", full.schema))
+        enforce(basic)
+        enforce(full)
     _write_all({name: analytic(lines.select(*analytic.inputs)) for name, analytic in gold.items()}, layers["gold"])
 
     log = f"{layers['gold']}/run_log"
-    summary = run_summary(raw, lines).withColumns(
+    summary = summary_of(read, cleaned).withColumns(
         {"finished_at": F.current_timestamp(), "run_id": F.lit(run_id)}
     )
     summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(log)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from saleslens.functions.order_stats import dense_rank_desc, quantiles, top_dense_rank_desc
+from saleslens.functions.order_stats import dense_rank_desc, first_digit, quantiles, top_dense_rank_desc
 from saleslens.operators.profiling import describe_numeric, histogram, histogram_edges
 from tests.conftest import values
 
@@ -36,6 +36,36 @@ def test_quantiles_equal_brute_force(spark, seed):
         assert got[name] == pytest.approx(list(np.quantile(known, FRACTIONS)), rel=1e-12, abs=1e-15)
 
 
+def test_first_digits_keep_the_order(spark):
+    rng = random.Random(5)
+    edges = [2.0**e for e in range(-1074, 1024, 7)]
+    numbers = [0.0, 5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, float("inf")]
+    numbers += [x for e in edges for x in (e, np.nextafter(e, 0), np.nextafter(e, np.inf))]
+    numbers += [rng.uniform(-1, 1) * 10 ** rng.randint(-300, 300) for _ in range(2000)]
+    numbers = [float(x) for x in numbers] + [-float(x) for x in numbers] + [float("nan")]
+    rows = spark.createDataFrame([(x,) for x in numbers], "v double").select("v", first_digit(F.col("v")).alias("d"))
+    digits = [r.d for r in rows.orderBy("v").collect()]
+    assert digits == sorted(digits)
+    assert {r.d for r in rows.where("v = 0").collect()} == {0} and rows.where("d = 0 and v <> 0").isEmpty()
+
+
+@pytest.mark.parametrize("parts", [1 << 22, 1000, 2, 1])
+def test_quantiles_of_close_values(spark, parts):
+    """All values within 1e-9 of each other, and some that differ in the last bit only."""
+    rng = random.Random(6)
+    close = [1.0 + rng.random() * 1e-9 for _ in range(3000)] + [1.0, float(np.nextafter(1.0, 2))] * 50
+    frame = spark.createDataFrame([("a", v) for v in close] + [("b", None)], "field string, value double").repartition(5)
+    got = {r.field: r.quantiles for r in quantiles(frame, "field", "value", FRACTIONS, parts).collect()}
+    assert list(got) == ["a"] and got["a"] == pytest.approx(list(np.quantile(close, FRACTIONS)), rel=1e-16, abs=0)
+
+
+def test_close_values_are_counted_not_sorted(spark):
+    """A third of a million values within 1e-9 of each other."""
+    rows = spark.range(300_001, numPartitions=8).select(F.lit("a").alias("field"), (1 + F.col("id") * 2.0**-50).alias("value"))
+    found = quantiles(rows, "field", "value", [0.5])
+    assert found.first().quantiles[0] == 1 + 150_000 * 2.0**-50
+
+
 def _skewed(spark):
     rng = random.Random(3)
     rows = [("hot", float(rng.randrange(4000))) for _ in range(6000)]
@@ -62,7 +92,7 @@ def test_top_ranks_equal_the_window(spark):
 def test_describe(lines):
     row = describe_numeric(lines).where("field = 'sales'").first()
     sales = np.array([float(v) for (v,) in values(lines, "sales")])
-    assert (row["count"], row["mean"], row["p50"], row["max"]) == (20, 344.0, 235.0, 1200.0)
+    assert (row["count"], row["mean"], row["p50"], row["max"]) == (10, 175.0, 90.0, 500.0)
     assert row["std"] == round(float(sales.std(ddof=1)), 2)
 
 
