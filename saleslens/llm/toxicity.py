@@ -1,24 +1,25 @@
 """Operator 6: toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on ordinary text, one on toxic text. What both kinds of text
-share tells nothing, so the toxic one is trained on the wording that sets toxic texts apart: words with
-byte grams that are much more frequent in toxic texts, in many different surroundings (copies of one text do
-not count again). A text is cut into windows of four words; each is compressed with the ordinary
-dictionary, and with the ordinary plus the toxic one. The bytes saved by the latter are the window's
-distance. How many windows save one, two, ... bytes is compared with thresholds by a logistic model
-calibrated on labelled texts the dictionaries were not trained on.
-
-Only the training is on a sample: at most `SAMPLE` labelled texts a class of at most `LONGEST` bytes, by a
-hash of their id, on the driver. All texts are scored whole, where they are read, without a shuffle.
+Two zstandard dictionaries are trained: one on windows of ordinary text, one on toxic windows. As most of a
+toxic text is ordinary wording, which tells nothing, the toxic windows are reduced before training to the parts
+that ordinary text does not explain: runs of byte grams that are several times as frequent in the toxic
+sample and stand in many different surroundings there (copies of one text do not count again). A text is cut
+into windows of four words; each is compressed with the ordinary dictionary, and with the ordinary plus the
+toxic one, behind the same short phrase, so that the format's fixed costs are paid and a single short
+match shows. The bytes saved by the latter are the window's distance. How many windows reach each of several
+thresholds is weighed by a logistic model calibrated on labelled texts the dictionaries in use were not trained on.
+
+Only the training is on a sample: at most `SAMPLE` labelled texts a class, by a hash of their id, ending where
+`SAMPLE_BYTES` are reached, on the driver. All texts are scored whole, where they are read, without a shuffle.
 
 Edge cases: null and empty texts are one empty window and get a score; null and repeated doc_ids pass
 through row by row; null labels teach nothing, of contradicting ones the toxic counts; when a class has
-no labelled text every score is 0; an empty table gives an empty result.
+no labelled text every score is 0; an empty table gives an empty result. There is no SQL for it: SQL has no
+compressor.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -32,14 +33,16 @@ from pyspark.sql import functions as F
 from saleslens.llm.shared import parts_of
 
 SAMPLE = 4000
-LONGEST = 1 << 17
+SAMPLE_BYTES = 16 << 20  # a class
 WORDS = 4
 GRAM = 6
-ORDINARY_BYTES, TOXIC_BYTES = 16 << 10, 8 << 10
+ORDINARY_BYTES, TOXIC_BYTES = 16 << 10, 6 << 10
 MOST_SAVED = 8
-LEVEL = 3
-RATIO = 20  # times as frequent in toxic texts
-SPREAD = 20  # different surroundings
+RATIO = 4  # times as frequent in toxic texts
+SPREAD = 8  # different surroundings
+FOLDS = 3
+TEXTS = 6  # toxic texts that hold a gram
+CARRIER = b" the house of many common words, again and again: "  # stands before every window, and in both dictionaries
 
 
 def words_in(text: str) -> list[bytes]:
@@ -61,17 +64,6 @@ def _grams(data: bytes) -> np.ndarray:
     return sum(raw[i : len(raw) - GRAM + 1 + i] << np.uint64(8 * i) for i in range(GRAM))
 
 
-def _frequency(texts: list[bytes], among: np.ndarray) -> np.ndarray:
-    """Texts that hold each of some sorted grams."""
-    count = np.zeros(len(among), np.int64)
-    for text in texts:
-        own = np.unique(_grams(text))
-        at = np.minimum(np.searchsorted(among, own), max(len(among) - 1, 0))
-        if len(among):
-            count[at[among[at] == own]] += 1
-    return count
-
-
 def _surroundings(texts: list[bytes], among: np.ndarray) -> np.ndarray:
     """The larger number of different grams before, or after, each of some sorted grams."""
     spread = np.zeros(len(among), np.int64)
@@ -89,35 +81,50 @@ def _surroundings(texts: list[bytes], among: np.ndarray) -> np.ndarray:
     return spread
 
 
+def _counted(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Grams in order, how often each occurs, and how many there are in all."""
+    grams = np.concatenate([_grams(t) for t in texts])
+    found, count = np.unique(grams, return_counts=True)
+    return found, count, max(len(grams), 1)
+
+
 def telling_grams(toxic: list[bytes], ordinary: list[bytes]) -> np.ndarray:
-    found, count = np.unique(np.concatenate([np.unique(_grams(t)) for t in toxic]), return_counts=True)
-    found = found[count >= 4]
-    rate = _frequency(toxic, found) / len(toxic)
-    found = found[rate >= RATIO * (_frequency(ordinary, found) + 1) / (len(ordinary) + RATIO)]
+    """Grams that set toxic texts apart, in order."""
+    found, count, total = _counted(toxic)
+    plain, often, rest = _counted(ordinary)
     if not len(found):
         return found
-    return found[_surroundings(toxic, found) >= max(4, min(SPREAD, len(toxic) // 50))]
-
-
-def telling_words(toxic: list[str], grams: np.ndarray) -> Counter:
-    """The part of words of toxic texts that such grams cover, with the number of texts holding it."""
-    parts: Counter = Counter()
-    for text in toxic:
-        own = set()
-        for word in {b" " + w + b" " for w in words_in(text)}:
-            at = np.flatnonzero(np.isin(_grams(word), grams))
-            if len(at):
-                own.add(word[at[0] : at[-1] + GRAM])
-        parts.update(own)
-    return parts
+    at = np.minimum(np.searchsorted(plain, found), max(len(plain) - 1, 0))
+    known = np.where(plain[at] == found, often[at], 0) if len(plain) else np.zeros(len(found), np.int64)
+    texts = np.unique(np.concatenate([np.unique(_grams(t)) for t in toxic]), return_counts=True)[1]
+    found = found[(texts >= min(TEXTS, max(2, len(toxic) // 10))) & (count / total >= RATIO * (known + 3) / rest)]
+    return found[_surroundings(toxic, found) >= min(SPREAD, max(2, len(toxic) // 10))] if len(found) else found
+
+
+def telling_parts(samples: list[bytes], grams: np.ndarray) -> list[bytes]:
+    """The parts of windows that such grams cover, in order."""
+    data = b"\x00".join(samples)
+    found = _grams(data)
+    if not len(grams) or not len(found):
+        return []
+    at = np.minimum(np.searchsorted(grams, found), len(grams) - 1)
+    hit = np.flatnonzero(grams[at] == found)
+    change = np.bincount(hit, minlength=len(data) + 1) - np.bincount(hit + GRAM, minlength=len(data) + 1)
+    edges = np.flatnonzero(np.diff(np.cumsum(change) > 0, prepend=False, append=False))
+    return [data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]
 
 
 def _trained(size: int, samples: list[bytes], segment: int) -> bytes:
-    """A zstandard dictionary; too few samples to train on are taken as they are."""
+    """A zstandard dictionary of a fixed size; too few samples to train on are taken as they are.
+
+    The format's tables remember some positions only, by their distance from the start: with fixed sizes these are
+    the same ones whatever was learned, and distances can be compared.
+    """
     try:
-        return zstandard.train_dictionary(size, samples, k=segment, d=GRAM).as_bytes()
+        content = zstandard.train_dictionary(size, samples, k=segment, d=GRAM).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(samples)[-size:]
+        content = b"".join(samples)
+    return content[-size:].rjust(size)
 
 
 # Model
@@ -138,31 +145,36 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(value, -500, 500))))
 
 
+_PARAMETERS = zstandard.ZstdCompressionParameters(
+    strategy=zstandard.STRATEGY_GREEDY, min_match=5, hash_log=17, chain_log=17, search_log=4, window_log=20,
+    target_length=32, write_checksum=0, write_content_size=0, write_dict_id=0,
+)
+
+
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    known.precompute_compress(level=LEVEL)
-    return zstandard.ZstdCompressor(
-        dict_data=known, level=LEVEL, write_checksum=False, write_content_size=False, write_dict_id=False
-    )
+    known.precompute_compress(compression_params=_PARAMETERS)
+    return zstandard.ZstdCompressor(dict_data=known, compression_params=_PARAMETERS)
 
 
 @lru_cache(maxsize=2)
 def _compressors(ordinary: bytes, toxic: bytes):
-    return _compressor(ordinary), _compressor(ordinary + toxic)
+    return _compressor(ordinary + CARRIER), _compressor(ordinary + toxic + CARRIER)
 
 
 def distances(compressors, text: str) -> np.ndarray:
     """Bytes saved by the toxic dictionary in each window."""
     plain, extended = compressors[0].compress, compressors[1].compress
-    return np.array([len(plain(w)) - len(extended(w)) for w in windows(text)])
+    carried = [CARRIER + w for w in windows(text)]
+    return np.array([len(plain(w)) - len(extended(w)) for w in carried])
 
 
 def features(compressors, text: str) -> np.ndarray:
+    """How many windows reach each threshold, their share, and figures of the whole text."""
     saved = distances(compressors, text)
-    count = np.bincount(np.clip(saved, 0, MOST_SAVED), minlength=MOST_SAVED + 1)[1:]
+    count = np.array([(saved >= least).sum() for least in range(1, MOST_SAVED + 1)])
     total = len(saved)
-    rest = [np.log(total), saved.max(), saved.mean(), np.maximum(saved - 2, 0).mean(), 1.0]
-    return np.concatenate([np.log1p(count), count / total, rest])
+    return np.concatenate([np.log1p(count), count / total, [np.log(total), saved.max(), saved.mean(), 1.0]])
 
 
 def _calibrated(rows: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -183,24 +195,33 @@ def _calibrated(rows: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.n
     return out
 
 
+def _dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
+    padded = [[b" " + b" ".join(words_in(x)) + b" " for x in part] for part in (toxic, ordinary)]
+    parts = telling_parts([w for x in toxic for w in windows(x)], telling_grams(*padded))
+    samples = [b"".join(parts[i : i + 8]) for i in range(0, len(parts), 8)]
+    plain = [w for x in ordinary for w in windows(x)][:: max(1, len(ordinary) // 250)]
+    return _trained(ORDINARY_BYTES, plain, 64), _trained(TOXIC_BYTES, samples, 16)
+
+
 def fit(toxic: list[str], ordinary: list[str], toxic_share: float) -> Model:
-    """From texts of both classes; the first two thirds train the dictionaries, the rest calibrates."""
+    """From texts of both classes.
+
+    The weights are calibrated on texts the dictionaries have not seen: each of `FOLDS` parts is measured with
+    dictionaries trained on the others. Those of the model are then trained on all.
+    """
     if not toxic or not ordinary:
         return Model(b"", b"", ())
-    t, o = max(1, 2 * len(toxic) // 3), max(1, 2 * len(ordinary) // 3)
-    padded = [[b" " + b" ".join(words_in(x)) + b" " for x in part] for part in (toxic[:t], ordinary[:o])]
-    parts = telling_words(toxic[:t], telling_grams(*padded))
-    often = sorted(parts.items(), key=lambda item: (item[1], item[0]))
-    repeats = [part for i in range(50) for part, n in often if n > i]
-    samples = [b"".join(repeats[i : i + 8]) for i in range(0, len(repeats), 8)]
-    plain = [w for x in ordinary[:o] for w in windows(x)][:: max(1, o // 250)]
-    dictionaries = _trained(ORDINARY_BYTES, plain, 64), _trained(TOXIC_BYTES, samples, 24) if samples else b""
-    rest = [(x, 1.0) for x in toxic[t:] or toxic] + [(x, 0.0) for x in ordinary[o:] or ordinary]
-    compressors = _compressors(*dictionaries)
-    rows = np.array([features(compressors, x) for x, _ in rest])
-    is_toxic = np.array([y for _, y in rest])
-    weight = np.where(is_toxic == 1, toxic_share / is_toxic.sum(), (1 - toxic_share) / (1 - is_toxic).sum()) * len(rest)
-    return Model(*dictionaries, tuple(_calibrated(rows, is_toxic, weight)))
+    rows, is_toxic = [], []
+    folds = FOLDS if min(len(toxic), len(ordinary)) >= FOLDS else 1
+    for fold in range(folds):
+        held = [x[fold::folds] for x in (toxic, ordinary)]
+        rest = [[x for i, x in enumerate(part) if folds == 1 or i % folds != fold] for part in (toxic, ordinary)]
+        compressors = _compressors(*_dictionaries(*rest))
+        rows += [features(compressors, x) for part in held for x in part]
+        is_toxic += [1.0] * len(held[0]) + [0.0] * len(held[1])
+    rows, is_toxic = np.array(rows), np.array(is_toxic)
+    weight = np.where(is_toxic == 1, toxic_share / is_toxic.sum(), (1 - toxic_share) / (1 - is_toxic).sum()) * len(rows)
+    return Model(*_dictionaries(toxic, ordinary), tuple(_calibrated(rows, is_toxic, weight)))
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -210,8 +231,13 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     texts = {}
     for kind in (1, 0):
         picked = known.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id")
-        rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").where(F.octet_length("text") <= LONGEST)
-        texts[kind] = [r.text for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).collect()]
+        rows = docs.select("doc_id", "text").where(F.octet_length("text") > 0).join(F.broadcast(picked), "doc_id")
+        texts[kind], held = [], 0
+        for row in rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).toLocalIterator():
+            held += len(row.text)
+            if held > SAMPLE_BYTES:
+                break
+            texts[kind].append(row.text)
     total = sizes.get(1, 0) + sizes.get(0, 0)
     return fit(texts[1], texts[0], sizes.get(1, 0) / total if total else 0.0)
 
