@@ -508,7 +508,7 @@ def _sample_words(texts: DataFrame) -> list[str]:
     draws = [r.draw for r in texts.select("draw").distinct().orderBy("draw").limit(SAMPLE).collect()]
     part = F.slice(F.split(F.substring("text", 1, 4000), r"\s+"), 1, 200)
     rows = texts.where(F.col("draw").isin(draws)).groupBy("draw").agg(F.min(part).alias("words")).collect() if draws else []
-    words = sorted({w.strip(".,;:!?") for row in drawn for w in row.words if not any(c.isdigit() or c == "@" for c in w)} - {""})
+    words = sorted({w.strip(".,;:!?") for row in rows for w in row.words if not any(c.isdigit() or c == "@" for c in w)} - {""})
     return [w for w in words if w.isalpha() and len(w) < 20] or ["a", "word"]
 
 
