@@ -36,23 +36,36 @@ def margin_pct() -> Column:
     return half_up(ratio * 100, 2).alias("profit_margin_pct")
 
 
+def top_months_of(months: DataFrame, n: int = 5) -> DataFrame:
+    """The months of a monthly rollup with the highest sales."""
+    shown = months.select("year_month", "sales", "profit", margin_pct())
+    return shown.orderBy(F.desc("sales"), "year_month").limit(n)
+
+
 @inputs(*monthly_trend.inputs)
 def top_months_by_sales(lines: DataFrame, n: int = 5) -> DataFrame:
-    months = monthly_trend(lines).select("year_month", "sales", "profit", margin_pct())
-    return months.orderBy(F.desc("sales"), "year_month").limit(n)
+    return top_months_of(monthly_trend(lines), n)
+
+
+def category_margins_of(categories: DataFrame) -> DataFrame:
+    """The categories of a rollup with their margins."""
+    shown = categories.select("category", "sales", "profit", margin_pct(), "avg_discount_pct")
+    return shown.orderBy(F.desc("sales"), "category")
 
 
 @inputs(*category_rollup.inputs)
 def category_margin_report(lines: DataFrame) -> DataFrame:
-    rollup = category_rollup(lines)
-    return rollup.select("category", "sales", "profit", margin_pct(), "avg_discount_pct").orderBy(
-        F.desc("sales"), "category"
-    )
+    return category_margins_of(category_rollup(lines))
+
+
+def regions_of(regions: DataFrame) -> DataFrame:
+    """The regions of a rollup, highest sales first."""
+    return regions.orderBy(F.desc("sales"), "region")
 
 
 @inputs(*regional_rollup.inputs)
 def regional_report(lines: DataFrame) -> DataFrame:
-    return regional_rollup(lines).orderBy(F.desc("sales"), "region")
+    return regions_of(regional_rollup(lines))
 
 
 @inputs("row_id", "product_name", "category", "sub_category", "sales", "profit", "discount", "profit_margin")

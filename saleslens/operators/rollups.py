@@ -77,34 +77,27 @@ def regional_rollup(lines: DataFrame) -> DataFrame:
 def order_product_summary(lines: DataFrame) -> DataFrame:
     """Totals, customer, region, distinct products and quantity per order.
 
-    Order totals, left-joined with the order's distinct products. Both sides are one
-    row per order and are brought together by it already when they meet; each reduces an
-    order within every task, or spreads it by product, so a large one is no burden. A
-    null order finds no partner and has no counts. Customer and region are those of the
-    order's first line: lowest row number, then smallest product, quantity and amounts.
+    One scan and one grouping: an order is reduced within every task and spread by product, so a large one is
+    no burden. A null order has no counts. Customer and region are those of the order's first line: lowest row
+    number, then smallest product, quantity and amounts.
     """
     place = F.struct("row_id", "product_id", "quantity", "sales", "profit", "customer_id", "region")
-    totals = lines.groupBy("order_id").agg(
+    totals = [
         amount("sales").alias("order_total_sales"),
         amount("profit").alias("order_total_profit"),
         F.min(place).alias("first"),
         F.sum("quantity").alias("quantity"),
-    )
-    products = (
-        lines.select("order_id", "product_id")
-        .where(F.col("order_id").isNotNull())
-        .distinct()
-        .groupBy("order_id")
-        .agg(F.count("product_id").alias("distinct_products"))
-    )
-    return totals.join(products, "order_id", "left").select(
+    ]
+    orders = with_distinct_counts(lines, ["order_id"], totals, {"products": "product_id"})
+    known = F.col("order_id").isNotNull()
+    return orders.select(
         "order_id",
         "order_total_sales",
         "order_total_profit",
         F.col("first.customer_id").alias("customer_id"),
         F.col("first.region").alias("region"),
-        "distinct_products",
-        F.when(F.col("order_id").isNotNull(), F.col("quantity")).alias("total_quantity"),
+        F.when(known, F.col("products")).alias("distinct_products"),
+        F.when(known, F.col("quantity")).alias("total_quantity"),
     )
 
 

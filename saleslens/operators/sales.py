@@ -21,6 +21,7 @@ from saleslens.functions.numbers import (
     total_double,
 )
 from saleslens.schema import DISCOUNT_BANDS, PRODUCT_KEY, TOP_N
+from saleslens.sources.layers import kept
 
 MEASURES = {
     "sales": lambda: total("sales"),
@@ -151,11 +152,14 @@ def regional_performance(lines: DataFrame) -> DataFrame:
 def region_by_category(lines: DataFrame, amount: str, categories: list[str] | None = None) -> DataFrame:
     """Regions as rows, one column per category, two places; null where there are no lines.
 
-    Without `categories` Spark looks them up first (one more pass over that column).
+    Without `categories` the cells, one row per region and category, are written to the shared folder first: the
+    lines are read once, and the columns are looked up in that small table.
     """
     cells = without_null_keys(lines, ["region", "category"]).groupBy("region", "category").agg(
         half_even(total_double(amount), 2).alias("cell")
     )
+    if categories is None:
+        cells = kept(cells, "cells")
     pivot = cells.groupBy("region").pivot("category", categories)
     return pivot.agg(F.first("cell", ignorenulls=True)).orderBy("region")
 

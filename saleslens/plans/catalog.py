@@ -16,11 +16,12 @@ from saleslens.operators import (
     rollups,
     sales,
 )
+from saleslens.plans import gold
 from saleslens.plans.pipeline import GOLD, load_validated, run_pipeline
 from saleslens.schema import NUMERIC_COLUMNS, RAW_COLUMNS, SILVER_COLUMNS
 from saleslens.sources import files, sinks
 from saleslens.sources.dirt import dirty_raw
-from saleslens.sources.layers import layer_inventory, layer_paths, scratch_folder
+from saleslens.sources.layers import layer_inventory, layer_paths, layer_rows, scratch_folder
 from saleslens.sources.star import sales_wide, silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +97,15 @@ def _read_silver(spark, sf_dir):
     return _shown(files.read_silver(spark, _silver_file(spark, sf_dir)))
 
 
+def _write_silver(spark, sf_dir):
+    """Columns of the written table with their types, and its rows."""
+    stored = files.read_silver(spark, _silver_file(spark, sf_dir))
+    counts = stored.agg(*[F.count(F.when(F.col(c).isNotNull(), 1)).alias(c) for c in stored.columns], F.count("*").alias("_rows"))
+    kinds = F.create_map(*[F.lit(x) for pair in stored.dtypes for x in pair])
+    shown = counts.unpivot(["_rows"], stored.columns, "column", "known")
+    return shown.select("column", kinds[F.col("column")].alias("type"), F.col("_rows").alias("rows"), "known")
+
+
 def _gold(name: str, fmt: str = "csv") -> Query:
     """Write one analytic as a gold table and read it back with its types."""
 
@@ -110,6 +120,24 @@ def _gold(name: str, fmt: str = "csv") -> Query:
     return query
 
 
+def _gold_report(name: str) -> Query:
+    """Publish the rollup that a report needs, and report on the stored table."""
+
+    def query(spark, sf_dir):
+        rollup, _ = gold.REPORTS[name]
+        folder = scratch_folder(spark, "rollups")
+        gold.publish(silver(spark, sf_dir, gold.ROLLUPS[rollup].inputs), folder, 1, [rollup])
+        return gold.report(spark, folder, name, 1)
+
+    return query
+
+
+def _cardinality_by_period(spark, sf_dir):
+    folder = scratch_folder(spark, "bitmaps")
+    gold.publish_bitmaps(silver(spark, sf_dir, ["order_date", "order_id", "customer_id"]), folder, 1)
+    return gold.cardinality_by_period(spark, folder, 1)
+
+
 def _write_partitioned(spark, sf_dir):
     path = scratch_folder(spark, "table")
     name = "lines_" + path.rsplit("-", 1)[-1]
@@ -131,8 +159,8 @@ def _layer_inventory(spark, sf_dir):
     sinks.write_silver(lines, f"{layers['silver']}/lines")
     sinks.write_gold("monthly_trend", sales.monthly_sales_trend(lines), layers["gold"])
     # Numbers of files and bytes depend on the writer; whether there are any does not.
-    inventory = layer_inventory(spark, base)
-    return inventory.select("layer", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+    inventory = layer_inventory(spark, base).join(layer_rows(spark, base), "layer")
+    return inventory.select("layer", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"), "rows")
 
 
 def _verify_roundtrip(spark, sf_dir):
@@ -165,8 +193,15 @@ def _history(spark, sf_dir):
 
 
 def _load_validated(spark, sf_dir):
+    """All reports as (report, column, figure): invalid dates and numbers, nulls per column, rows and duplicates."""
     _, reports_on_raw = load_validated(spark, _raw_file(spark, sf_dir))
-    return reports_on_raw["dates"].unionByName(reports_on_raw["numbers"])
+    parts = [
+        reports_on_raw[name].select(F.lit(name).alias("report"), "column", F.col(value).alias("figure"))
+        for name, value in (("dates", "invalid"), ("numbers", "invalid"), ("quality", "nulls"))
+    ]
+    totals = reports_on_raw["summary"].unpivot([], ["rows", "nulls", "duplicates"], "column", "figure")
+    parts.append(totals.select(F.lit("summary").alias("report"), "column", "figure"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
 def _run_pipeline(spark, sf_dir):
@@ -261,7 +296,7 @@ def queries() -> dict[str, Query]:
         "read_raw": _read_raw,
         "read_table": _read_table,
         "read_silver": _read_silver,
-        "write_silver": _read_silver,
+        "write_silver": _write_silver,
         "read_gold": _gold("category_performance"),
         "write_gold": _gold("monthly_trend"),
         "save_results": _gold("subcategory_performance", "parquet"),
@@ -368,6 +403,10 @@ def queries() -> dict[str, Query]:
         "top_preview_months": _first(sales.monthly_sales_trend, 12),
         "top_preview_losses": _first(sales.loss_making_products, 10),
         "top_preview_return_on_sales": _first(profitability.subcategory_return_on_sales, 10),
+        "gold_top_months": _gold_report("top_months_by_sales"),
+        "gold_category_margins": _gold_report("category_margin_report"),
+        "gold_regions": _gold_report("regional_report"),
+        "cardinality_by_period": _cardinality_by_period,
         # Chart feeds
         "feed_kpi_card": _on_lines(feeds.feed_kpi_card),
         "feed_subcategory_top20": _on_lines(feeds.feed_subcategory_top20),

@@ -4,6 +4,7 @@ from saleslens.schema import (
     CATEGORY_COLUMNS,
     CRITICAL_COLUMNS,
     DISCOUNT_BANDS,
+    MONEY,
     NUMERIC_COLUMNS,
     PRODUCT_KEY,
     RAW_COLUMNS,
@@ -393,6 +394,16 @@ def _line(derived: list[str]) -> str:
     return over(SILVER, f"SELECT {', '.join(LINE + derived)} FROM silver")
 
 
+_SILVER_TYPES = {
+    **dict.fromkeys(("sales", "discount", "profit"), MONEY.simpleString()),
+    **dict.fromkeys(("row_id", "quantity"), "bigint"),
+    **dict.fromkeys(("order_date", "ship_date"), "date"),
+    **dict.fromkeys(("profit_margin", "discount_amount"), "double"),
+    **dict.fromkeys(("shipping_days", "order_year", "order_month", "order_quarter"), "int"),
+    "is_loss": "boolean",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     sub_measures = [SALES, PROFIT, QUANTITY, f"{AVG_DISCOUNT} AS avg_discount"]
     sql: dict[str, str] = {}
@@ -406,15 +417,24 @@ def oracle_sql() -> dict[str, str]:
     sql["sales_wide"] = over(WIDE, f"SELECT {_as_output(RAW_COLUMNS)} FROM wide")
     sql["inject_dirt"] = sql["read_raw"] = raw_rows
     sql["read_table"] = over(WIDE, "SELECT row_id, product_id, CAST(sales AS DOUBLE) AS sales FROM wide")
-    sql["write_silver"] = sql["read_silver"] = over(SILVER, f"SELECT {_as_output(SILVER_COLUMNS)} FROM silver")
+    sql["read_silver"] = over(SILVER, f"SELECT {_as_output(SILVER_COLUMNS)} FROM silver")
+    sql["write_silver"] = over(
+        SILVER,
+        "\nUNION ALL\n".join(
+            f"SELECT '{c}' AS \"column\", '{_SILVER_TYPES.get(c, 'string')}' AS type, count(*) AS rows, count({c}) AS known FROM silver"
+            for c in SILVER_COLUMNS
+        ),
+    )
     sql["sanitize_columns"] = over(
         WIDE, "SELECT row_id, sub_category, CAST(sales AS DOUBLE) AS sales, quantity FROM wide"
     )
     sql["write_partitioned"] = sql["compact"] = sql["read_version"] = by_category
     sql["write_snapshot"] = by_category.replace("FROM silver", "FROM silver WHERE NOT is_loss")
-    sql["layer_inventory"] = (
-        "SELECT layer, written AS has_files, written AS has_bytes FROM (VALUES ('bronze', true), ('silver', true), "
-        "('gold', true), ('dashboard', false)) AS layers(layer, written)"
+    sql["layer_inventory"] = over(
+        f"{RAW}, silver AS (SELECT *, {DERIVE} FROM wide)",
+        "SELECT layer, rows > 0 AS has_files, rows > 0 AS has_bytes, CAST(rows AS BIGINT) AS rows FROM ("
+        "SELECT 'bronze' AS layer, count(*) AS rows FROM raw UNION ALL SELECT 'silver', count(*) FROM silver UNION ALL "
+        f"SELECT 'gold', count(DISTINCT {_YEAR_MONTH.split(' AS ')[0]}) FROM silver UNION ALL SELECT 'dashboard', 0)",
     )
     sql["history"] = over(
         SILVER,
@@ -437,21 +457,13 @@ def oracle_sql() -> dict[str, str]:
             "raw", "column", "invalid",
         ),
     )
-    sql["numeric_parse_report"] = sql["load_validated"] = over(
+    sql["numeric_parse_report"] = over(
         RAW,
         _rows(
             {c: _counted(f"{c} IS NOT NULL AND {number(c)} IS NULL") for c in NUMERIC_COLUMNS},
             "raw", "column", "invalid",
         ),
     )
-    sql["load_validated"] = over(
-        RAW,
-        _rows(
-            {c: _counted(f"{c} IS NOT NULL AND {day(c)} IS NULL") for c in ("order_date", "ship_date")}
-            | {c: _counted(f"{c} IS NOT NULL AND {number(c)} IS NULL") for c in NUMERIC_COLUMNS},
-            "raw", "column", "invalid",
-        ),
-    )
     nulls = _rows({c: _counted(f"{c} IS NULL") for c in RAW_COLUMNS}, "raw", "column", "nulls")
     rows = "(SELECT count(*) FROM raw)"
     null_pct = half_even(f"{ratio('nulls', rows)} * 100", 2)
@@ -465,6 +477,17 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {rows} AS rows, '{','.join(RAW_COLUMNS)}' AS columns, "
         f"(SELECT CAST(sum(nulls) AS BIGINT) FROM ({nulls})) AS nulls, {_DUPLICATES} AS duplicates",
     )
+    invalid_dates = {c: _counted(f"{c} IS NOT NULL AND {day(c)} IS NULL") for c in ("order_date", "ship_date")}
+    invalid_numbers = {c: _counted(f"{c} IS NOT NULL AND {number(c)} IS NULL") for c in NUMERIC_COLUMNS}
+    loaded = [
+        f"SELECT 'dates' AS report, * FROM ({_rows(invalid_dates, 'raw', 'column', 'figure')})",
+        f"SELECT 'numbers', * FROM ({_rows(invalid_numbers, 'raw', 'column', 'figure')})",
+        f"SELECT 'quality', * FROM ({nulls})",
+        f"SELECT 'summary', 'rows', {rows}",
+        f"SELECT 'summary', 'nulls', (SELECT CAST(sum(nulls) AS BIGINT) FROM ({nulls}))",
+        f"SELECT 'summary', 'duplicates', {_DUPLICATES}",
+    ]
+    sql["load_validated"] = over(RAW, "\nUNION ALL\n".join(loaded))
     sql["null_pct_by_column"] = over(
         RAW, f"SELECT \"column\", {null_pct} AS null_pct FROM ({nulls}) WHERE nulls > 0"
     )
@@ -786,6 +809,22 @@ FROM (SELECT order_year AS year, order_month AS month, round(sum(sales), 2) AS m
         "ORDER BY profit_margin NULLS LAST, state, region LIMIT 15"
     )
     sql["feed_ros_flagged"] = f"SELECT *, return_on_sales < 0 AS is_negative FROM ({sql['subcategory_return_on_sales']})"
+    sql["gold_top_months"] = sql["top_months_by_sales"]
+    sql["gold_category_margins"] = sql["category_margin_report"]
+    sql["gold_regions"] = sql["regional_report"]
+    periods = {
+        "month": _YEAR_MONTH.split(" AS ")[0],
+        "quarter": "order_year || '-Q' || order_quarter",
+        "year": "CAST(order_year AS VARCHAR)",
+    }
+    sql["cardinality_by_period"] = over(
+        SILVER,
+        "\nUNION ALL\n".join(
+            f"SELECT '{level}' AS level, {label} AS period, {ORDERS} AS orders, {CUSTOMERS} AS customers "
+            "FROM silver WHERE order_date IS NOT NULL GROUP BY 2"
+            for level, label in periods.items()
+        ),
+    )
     return sql
 
 

@@ -1,5 +1,7 @@
 """Readers. Raw and gold files are read with known types; nothing is inferred."""
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,14 +50,48 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, **options
         raise
 
 
-def read_raw(spark: SparkSession, path: str, encoding: str = "utf-8", multi_line: bool = True) -> DataFrame:
+def files_with_line_breaks(spark: SparkSession, path: str) -> list[str]:
+    """Files below `path` that may hold a value with a line break, from one pass over their lines.
+
+    A line break inside a value stands between quotes, so the line before it has an odd number of them, doubled
+    ones included. Files whose lines all have an even number hold none.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    return [unquote(r.file) for r in lines.where(quotes % 2 == 1).select("file").distinct().collect()]
+
+
+def _read_by_need(spark: SparkSession, path: str, fmt: str | None, encoding: str) -> DataFrame:
+    """CSV files that hold line breaks in values are read whole, all others are split among tasks."""
+    if encoding.lower().replace("-", "").startswith(("utf16", "utf32")):  # lines cannot be told byte by byte
+        return read_table(spark, path, fmt, encoding=encoding, multiLine=True)
+    split = read_table(spark, path, fmt, encoding=encoding, multiLine=False)
+    whole = set(files_with_line_breaks(spark, path))
+    if not whole:
+        return split
+    rest = [f for f in map(unquote, split.inputFiles()) if f not in whole]
+    if not rest:
+        return read_table(spark, path, fmt, encoding=encoding, multiLine=True)
+    options = {**CSV_OPTIONS, **CSV_CHECKS, "encoding": encoding, "basePath": path}
+    parts = [spark.read.options(**options, multiLine=m).csv(sorted(f)) for m, f in ((False, rest), (True, whole))]
+    if parts[0].columns != parts[1].columns:
+        raise SourceError(f"files with different columns at {path}")
+    return parts[0].union(parts[1])
+
+
+def read_raw(spark: SparkSession, path: str, encoding: str = "utf-8", multi_line: bool | None = None) -> DataFrame:
     """Raw order lines as text, by header name, missing-value texts as null.
 
-    Values may hold line breaks, for which every file is read by one task. State `multi_line=False` to have large
-    files split among tasks; a value with a line break then stops the read.
+    Values may hold line breaks. A CSV file with such values is read by one task; others, as a first pass over
+    the lines finds out, are split among tasks. `multi_line` saves that pass: True has every file read by one task,
+    False has all split, and a value with a line break then stops the read.
     """
     fmt = None if path.rstrip("/").lower().endswith(tuple(FORMATS)) else "csv"
-    frame = sanitize_columns(read_table(spark, path, fmt, encoding=encoding, multiLine=multi_line))
+    if multi_line is None and not path.rstrip("/").lower().endswith((".parquet", ".pq")):
+        read = _read_by_need(spark, path, fmt, encoding)
+    else:
+        read = read_table(spark, path, fmt, encoding=encoding, multiLine=bool(multi_line))
+    frame = sanitize_columns(read)
     texts = [F.col(c).cast("string") for c in frame.columns]
     missing = [F.lit(text) for text in MISSING_TEXTS]
     return frame.select(

@@ -49,6 +49,24 @@ def layer_inventory(
     )
 
 
+def layer_rows(spark: SparkSession, base: str, layers: list[str] | dict[str, str] = LAYERS) -> DataFrame:
+    """(layer, rows) of the Parquet and CSV files of every layer below `base`, 0 where there is none.
+
+    Parquet rows are counted from the files' footers, CSV rows while parsing no column.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base.rstrip("/"))
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = layer_paths(base, layers)
+    every = spark.createDataFrame([(name, 0) for name in folders], "layer string, rows bigint")
+    for name, folder in folders.items():
+        if not system.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)):
+            continue
+        for kind, options in {"parquet": {}, "csv": {"header": True, "multiLine": True, "escape": '"'}}.items():
+            read = spark.read.options(recursiveFileLookup=True, pathGlobFilter=f"*.{kind}", **options).schema("_row string")
+            every = every.unionByName(read.format(kind).load(folder).select(F.lit(name).alias("layer"), F.lit(1).cast("bigint").alias("rows")))
+    return every.groupBy("layer").agg(F.sum("rows").alias("rows")).orderBy("layer")
+
+
 def _scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
@@ -63,6 +81,13 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def kept(frame: DataFrame, name: str) -> DataFrame:
+    """`frame` written to a fresh shared folder and read back."""
+    path = scratch_folder(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the scratch folders of this application, once its results are no longer read."""
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))

@@ -5,6 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslens.errors import SinkError, SourceError
+from saleslens.functions.frames import with_row
+from saleslens.functions.repeats import fingerprint
 from saleslens.sources.files import CSV_OPTIONS
 
 SINK_FORMATS = ["parquet", "csv", "delta"]
@@ -61,32 +63,85 @@ def list_tables(spark: SparkSession) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables())
 
 
+BUCKETS = 1 << 16
+
+
+def _bucket_sums(frame: DataFrame, columns: list[str]) -> DataFrame:
+    """Per bucket of rows: how many, and two sums of their fingerprints, whatever the order of the rows."""
+    halves = [F.shiftrightunsigned("_print", 32), F.col("_print").bitwiseAND(F.lit(0xFFFFFFFF))]
+    sums = [F.sum(h).alias(n) for h, n in zip(halves, ("_high", "_low"), strict=True)]
+    return with_bucket(frame, columns).groupBy("_bucket").agg(F.count("*").alias("_n"), *sums)
+
+
+def with_bucket(frame: DataFrame, columns: list[str]) -> DataFrame:
+    rows = frame.select("*", fingerprint(columns).alias("_print"))
+    return rows.withColumn("_bucket", F.col("_print").bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
+
+
+def unequal_buckets(frame: DataFrame, other: DataFrame, columns: list[str]) -> DataFrame:
+    """(_bucket, rows, stored_rows): every bucket, and whether its rows may `differ`."""
+    mine = _bucket_sums(frame, columns)
+    theirs = _bucket_sums(other, columns).toDF("_other", "_m", "_h", "_l")
+    met = mine.join(theirs, F.col("_bucket") == F.col("_other"), "full")
+    same = (F.col("_n") == F.col("_m")) & (F.col("_high") == F.col("_h")) & (F.col("_low") == F.col("_l"))
+    return met.select(
+        F.coalesce("_bucket", "_other").alias("_bucket"),
+        F.coalesce("_n", F.lit(0)).alias("rows"),
+        F.coalesce("_m", F.lit(0)).alias("stored_rows"),
+        (~F.coalesce(same, F.lit(False))).alias("differ"),
+    )
+
+
+def differing_rows(frame: DataFrame, other: DataFrame) -> DataFrame:
+    """Rows that one of two tables with the same columns holds more often, with the `surplus` of the first.
+
+    Rows are summed up by bucket; only rows of buckets whose sums differ are shuffled and compared whole.
+    """
+    columns = frame.columns
+    buckets = unequal_buckets(frame, other.select(*columns), columns).where("differ").select("_bucket")
+    suspects = F.broadcast(buckets)  # at most `BUCKETS` numbers
+
+    def rows(side: DataFrame, sign: int) -> DataFrame:
+        return with_bucket(side.select(*columns), columns).join(suspects, "_bucket").select(*columns, F.lit(sign).alias("_here"))
+
+    both = rows(frame, 1).unionByName(rows(other, -1))
+    return both.groupBy(*columns).agg(F.sum("_here").alias("surplus")).where(F.col("surplus") != 0)
+
+
 def verify_roundtrip(frame: DataFrame, path: str) -> DataFrame:
-    """Compare `frame` with the Parquet table at `path`: shape, and rows on either side only."""
+    """Compare `frame` with the Parquet table at `path`: shape, and rows on either side only.
+
+    Equal tables are told by sums of row fingerprints, of which only one row a bucket is shuffled; where sums
+    differ, the rows of these buckets are compared whole. Tables with different columns have no equal rows, but
+    for those whose missing values are null.
+    """
     stored = frame.sparkSession.read.parquet(path)
-    same_columns = frame.columns == stored.columns
-    both = frame.select(*frame.columns, F.lit(1).alias("_here")).unionByName(
-        stored.select(*stored.columns, F.lit(-1).alias("_here")), allowMissingColumns=True
+    every = [*frame.columns, *[c for c in stored.columns if c not in frame.columns]]
+    left, right = _widened(frame, stored, every), _widened(stored, frame, every)
+    sums = unequal_buckets(left, right, every).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("stored_rows"), F.lit(0)).alias("stored_rows")
     )
-    keys = [c for c in both.columns if c != "_here"]
-    surplus = both.groupBy(*keys).agg(
-        F.sum("_here").alias("surplus"),
-        F.count_if(F.col("_here") == 1).alias("n"),
-        F.count_if(F.col("_here") == -1).alias("m"),
+    surplus = differing_rows(left, right).agg(
+        F.coalesce(F.sum(F.greatest("surplus", F.lit(0))), F.lit(0)).alias("rows_lost"),
+        F.coalesce(F.sum(F.greatest(-F.col("surplus"), F.lit(0))), F.lit(0)).alias("rows_added"),
     )
-    return surplus.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum("m"), F.lit(0)).alias("stored_rows"),
+    return with_row(sums, surplus).select(
+        "rows",
+        "stored_rows",
         F.lit(len(frame.columns)).cast("bigint").alias("columns"),
         F.lit(len(stored.columns)).cast("bigint").alias("stored_columns"),
-        F.coalesce(F.sum(F.greatest("surplus", F.lit(0))), F.lit(0)).alias("rows_lost"),
-        F.coalesce(F.sum(F.greatest(-F.col("surplus"), F.lit(0))), F.lit(0)).alias("rows_added"),
-    ).withColumn(
-        "matches",
-        (F.col("rows_lost") == 0) & (F.col("rows_added") == 0) & F.lit(same_columns),
+        "rows_lost",
+        "rows_added",
+        ((F.col("rows_lost") == 0) & (F.col("rows_added") == 0) & F.lit(frame.columns == stored.columns)).alias("matches"),
     )
 
 
+def _widened(frame: DataFrame, other: DataFrame, columns: list[str]) -> DataFrame:
+    """`frame` with all of `columns`; those that only `other` has are null."""
+    kinds = {f.name: f.dataType for f in other.schema}
+    return frame.select(*[F.col(c) if c in frame.columns else F.lit(None).cast(kinds[c]).alias(c) for c in columns])
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Size of all files below `path`, from the file listing."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

@@ -108,6 +108,8 @@ def test_layers(spark, lines, tmp_path):
     assert layers.layer_paths(layers.azure_base("acct", "box"))["silver"] == "abfss://box@acct.dfs.core.windows.net/silver"
     sinks.write_silver(lines.coalesce(1), f"{paths['silver']}/lines")
     sinks.write_gold("kpi", category_rollup(lines).coalesce(1), paths["gold"])
+    rows = layers.layer_rows(spark, f"file:{tmp_path}/lake")
+    assert values(rows, "layer", "rows") == [("bronze", 0), ("dashboard", 0), ("gold", 3), ("silver", 10)]
     inventory = layers.layer_inventory(spark, f"file:{tmp_path}/lake")
     assert values(inventory, "layer", "files") == [("bronze", 0), ("dashboard", 0), ("gold", 1), ("silver", 1)]
     assert all((r.bytes > 0) == (r.files > 0) for r in inventory.collect())
@@ -141,6 +143,27 @@ def test_files_with_other_column_orders_stop_the_read(spark, tmp_path):
         files.read_raw(spark, str(folder)).select("sales").collect()
 
 
+def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
+    """Values stay the same, and the other files are split among tasks."""
+    folder = tmp_path / "raw x.csv"
+    folder.mkdir()
+    plain = "".join(f'{i},"a ""b"" {i}",{i}\n' for i in range(400))
+    (folder / "a b.csv").write_text("Row ID,Product Name,Sales\n" + plain)
+    (folder / "c.csv").write_text('Row ID,Product Name,Sales\n900,"two\nlines",1\n901,"three\r\n\nlines",2\n')
+    assert [f.rsplit("/", 1)[-1] for f in files.files_with_line_breaks(spark, str(folder))] == ["c.csv"]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        frame = files.read_raw(spark, str(folder))
+        assert frame.rdd.getNumPartitions() > 3
+        whole = files.read_raw(spark, str(folder), multi_line=True)
+        assert whole.rdd.getNumPartitions() <= 2
+        rows = {r.row_id: r.product_name for r in frame.collect()}
+        assert rows == {r.row_id: r.product_name for r in whole.collect()} and len(rows) == 402
+        assert rows["7"] == 'a "b" 7' and rows["900"] == "two\nlines"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_line_breaks_survive(spark, tmp_path):
     frame = spark.createDataFrame([("a\nb", 1), ("c", 2)], "product_name string, quantity int")
     gold = files.read_gold(spark, sinks.write_gold("x", frame, str(tmp_path)), frame.schema)
