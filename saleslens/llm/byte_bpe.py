@@ -285,9 +285,11 @@ def _encoded(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[tuple[pa
         yield part.column("doc_id"), vocabulary.encode([t or "" for t in part.column("text").to_pylist()])
 
 
-def digests(decoded: DataFrame) -> DataFrame:
+def digests(decoded: DataFrame, *also: str) -> DataFrame:
+    """doc_id, columns of `decoded` that are wanted too, number of ids, digests of ids and bytes."""
     return decoded.select(
         "doc_id",
+        *also,
         (F.octet_length("ids") / F.lit(4)).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
