@@ -80,8 +80,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": line_dedup.ORACLE_SQL,
         "op10_top_k": top_k.ORACLE_SQL,
-        "op11_lexical_search": _op11,
-        "op12_pii_spans": _on_documents(pii_spans.query),
         "op11_lexical_search": lexical_search.ORACLE_SQL,
         "op13_collocations": collocations.ORACLE_SQL,
     }
