@@ -58,7 +58,13 @@ def files_with_line_breaks(spark: SparkSession, path: str) -> list[str]:
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
-    return [unquote(r.file) for r in lines.where(quotes % 2 == 1).select("file").distinct().collect()]
+    return [_plain_path(r.file) for r in lines.where(quotes % 2 == 1).select("file").distinct().collect()]
+
+
+def _plain_path(uri: str) -> str:
+    """A file's URI, which Spark gives in two spellings, as a path to read from."""
+    scheme, _, path = unquote(uri).partition(":")
+    return f"file:/{path.lstrip('/')}" if scheme == "file" else f"{scheme}:{path}"
 
 
 def _read_by_need(spark: SparkSession, path: str, fmt: str | None, encoding: str) -> DataFrame:
@@ -69,11 +75,12 @@ def _read_by_need(spark: SparkSession, path: str, fmt: str | None, encoding: str
     whole = set(files_with_line_breaks(spark, path))
     if not whole:
         return split
-    rest = [f for f in map(unquote, split.inputFiles()) if f not in whole]
+    rest = [f for f in map(_plain_path, split.inputFiles()) if f not in whole]
     if not rest:
         return read_table(spark, path, fmt, encoding=encoding, multiLine=True)
     options = {**CSV_OPTIONS, **CSV_CHECKS, "encoding": encoding, "basePath": path}
-    parts = [spark.read.options(**options, multiLine=m).csv(sorted(f)) for m, f in ((False, rest), (True, whole))]
+    # Whole files come first, as theirs are the longest tasks.
+    parts = [spark.read.options(**options, multiLine=m).csv(sorted(f)) for m, f in ((True, whole), (False, rest))]
     if parts[0].columns != parts[1].columns:
         raise SourceError(f"files with different columns at {path}")
     return parts[0].union(parts[1])
