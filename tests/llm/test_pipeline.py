@@ -83,4 +83,5 @@ def test_query_equals_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
+    assert all(isinstance(sql, str) for sql in oracle_sql().values())
     assert sorted(int(name[2:].split("_")[0]) for name in queries()) == list(range(1, 14))
