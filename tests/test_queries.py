@@ -8,6 +8,7 @@ import __spark_entry__ as contract
 from saleslens.functions.numbers import total_double
 from saleslens.operators import cleaning, rollups, sales
 from saleslens.plans import catalog, oracle
+from saleslens.schema import SILVER_COLUMNS
 from saleslens.sources.star import silver
 from tests.conftest import TESTDATA
 from tests.oracle_check import TABLES, difference, duck
@@ -127,6 +128,11 @@ def test_totals_are_conserved_on_tables(spark, keys):
     assert (whole.s, whole.p) == (parts.s, parts.p)
 
 
+def test_write_silver_returns_every_row_it_wrote(spark):
+    written = QUERIES["write_silver"](spark, SMALL)
+    assert written.columns == SILVER_COLUMNS and written.count() == silver(spark, SMALL, ["row_id"]).count()
+
+
 def test_known_figures(spark):
     """Figures of the sf0.01 tables computed independently beforehand."""
     row = QUERIES["spark_kpi_summary"](spark, f"{TESTDATA}/sf0.01").first()
