@@ -91,6 +91,14 @@ def test_compaction_keeps_rows_and_splits_hot_keys(spark, lines, tmp_path):
     assert len(spark.read.parquet(target).inputFiles()) >= 3
 
 
+def test_compaction_bounds_what_a_task_sorts(spark, tmp_path):
+    rows = spark.range(100_000).selectExpr("'c' AS category", "'r' AS region", "concat('o', id % 7919) AS order_id")
+    source = sinks.write_silver(rows, str(tmp_path / "even"))
+    compacted = spark.read.parquet(sinks.compact(spark, source, str(tmp_path / "bounded"), sort_bytes=2 * 2**20))
+    held = [r["count"] for r in compacted.groupBy(F.input_file_name()).count().collect()]
+    assert sum(held) == 100_000 and max(held) < 100_000 // 2
+
+
 def test_snapshots(spark, lines, tmp_path):
     path = str(tmp_path / "versions")
     sinks.write_snapshot(lines, path, 0)
