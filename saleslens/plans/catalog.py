@@ -74,9 +74,9 @@ def _by_year_and_category(lines: DataFrame) -> DataFrame:
 # Storage queries write the whole table below the session's shared folder and read it back.
 
 
-def _raw_file(spark: SparkSession, sf_dir: str) -> str:
+def _raw_file(spark: SparkSession, sf_dir: str, compression: str | None = None) -> str:
     path = scratch_folder(spark, "raw") + ".csv"
-    return sinks.save_results(files.source_columns(dirty_raw(spark, sf_dir)), path, "csv")
+    return sinks.save_results(files.source_columns(dirty_raw(spark, sf_dir)), path, "csv", compression)
 
 
 def _silver_file(spark: SparkSession, sf_dir: str) -> str:
@@ -84,7 +84,7 @@ def _silver_file(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _read_raw(spark, sf_dir):
-    return files.read_raw(spark, _raw_file(spark, sf_dir)).select(*RAW_COLUMNS)
+    return files.read_raw(spark, _raw_file(spark, sf_dir, "lz4")).select(*RAW_COLUMNS)
 
 
 def _read_table(spark, sf_dir):

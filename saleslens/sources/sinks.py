@@ -17,11 +17,22 @@ SNAPSHOT = "snapshot_id"
 WIDTHS = {"string": 24, "decimal": 24, "binary": 100, "array": 100, "map": 100, "struct": 100}
 
 
-def save_results(frame: DataFrame, path: str, format: str = "parquet") -> str:
-    """Replace `path` by `frame`. Delta needs its library on the class path."""
+# A compressed text file is read by one task, so it holds at most so many rows.
+ROWS_OF_COMPRESSED = 1_000_000
+
+
+def save_results(frame: DataFrame, path: str, format: str = "parquet", compression: str | None = None) -> str:
+    """Replace `path` by `frame`. Delta needs its library on the class path.
+
+    With `compression` (as `lz4`), CSV files are stored compressed, each with at most `ROWS_OF_COMPRESSED` rows.
+    """
     if format not in SINK_FORMATS:
         raise SinkError(f"no writer for {format!r}, use one of {SINK_FORMATS}")
     options = CSV_OPTIONS if format == "csv" else {}
+    if compression:
+        options = {**options, "compression": compression}
+        if format == "csv":
+            options["maxRecordsPerFile"] = ROWS_OF_COMPRESSED
     try:
         frame.write.format(format).mode("overwrite").options(**options).save(path)
     except AnalysisException as error:

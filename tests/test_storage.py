@@ -151,6 +151,17 @@ def test_files_with_other_column_orders_stop_the_read(spark, tmp_path):
         files.read_raw(spark, str(folder)).select("sales").collect()
 
 
+def test_compressed_files_are_read_whole(spark, raw, tmp_path, monkeypatch):
+    """Texts with line breaks and quotes come back, and no compressed file holds more rows than one task should read."""
+    monkeypatch.setattr(sinks, "ROWS_OF_COMPRESSED", 4)
+    odd = raw.withColumn("city", F.concat(F.lit('a "b",\n'), "city"))
+    path = sinks.save_results(files.source_columns(odd.coalesce(1)), f"{tmp_path}/lake/bronze/lines", "csv", "lz4")
+    held = [line.count() for line in (files.read_table(spark, f, "csv", multiLine=True) for f in spark.read.text(path).inputFiles())]
+    assert sorted(held) == [3, 4, 4]
+    back = files.read_raw(spark, path)
+    assert back.exceptAll(odd).isEmpty() and odd.exceptAll(back).isEmpty()
+
+
 def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
     """Values stay the same, and the other files are split among tasks."""
     folder = tmp_path / "raw x.csv"
