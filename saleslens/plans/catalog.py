@@ -145,7 +145,7 @@ def _layer_inventory(spark, sf_dir):
     base = scratch_folder(spark, "layers")
     layers = layer_paths(base)
     raw = files.source_columns(dirty_raw(spark, sf_dir))
-    sinks.save_results(raw, f"{layers['bronze']}/lines", "csv")
+    sinks.save_results(raw, f"{layers['bronze']}/lines", "csv", "lz4")
     lines = silver(spark, sf_dir)
     sinks.write_silver(lines, f"{layers['silver']}/lines")
     sinks.write_gold("monthly_trend", sales.monthly_sales_trend(lines), layers["gold"])

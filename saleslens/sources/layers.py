@@ -52,7 +52,7 @@ def layer_inventory(
 def layer_rows(spark: SparkSession, base: str, layers: list[str] | dict[str, str] = LAYERS) -> DataFrame:
     """(layer, rows) of the Parquet and CSV files of every layer below `base`, 0 where there is none.
 
-    Parquet rows are counted from the files' footers, CSV rows while parsing no column.
+    Parquet rows are counted from the files' footers, CSV rows (of compressed files, too) while parsing no column.
     """
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base.rstrip("/"))
     system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -62,7 +62,7 @@ def layer_rows(spark: SparkSession, base: str, layers: list[str] | dict[str, str
         if not system.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)):
             continue
         for kind, options in {"parquet": {}, "csv": {"header": True, "multiLine": True, "escape": '"'}}.items():
-            read = spark.read.options(recursiveFileLookup=True, pathGlobFilter=f"*.{kind}", **options).schema("_row string")
+            read = spark.read.options(recursiveFileLookup=True, pathGlobFilter=f"*.{kind}*", **options).schema("_row string")
             every = every.unionByName(read.format(kind).load(folder).select(F.lit(name).alias("layer"), F.lit(1).cast("bigint").alias("rows")))
     return every.groupBy("layer").agg(F.sum("rows").alias("rows")).orderBy("layer")
 

@@ -151,7 +151,7 @@ def test_files_with_other_column_orders_stop_the_read(spark, tmp_path):
         files.read_raw(spark, str(folder)).select("sales").collect()
 
 
-def test_compressed_files_are_read_whole(spark, raw, tmp_path, monkeypatch):
+def test_compressed_files_are_counted_and_read_whole(spark, raw, tmp_path, monkeypatch):
     """Texts with line breaks and quotes come back, and no compressed file holds more rows than one task should read."""
     monkeypatch.setattr(sinks, "ROWS_OF_COMPRESSED", 4)
     odd = raw.withColumn("city", F.concat(F.lit('a "b",\n'), "city"))
@@ -160,6 +160,8 @@ def test_compressed_files_are_read_whole(spark, raw, tmp_path, monkeypatch):
     assert sorted(held) == [3, 4, 4]
     back = files.read_raw(spark, path)
     assert back.exceptAll(odd).isEmpty() and odd.exceptAll(back).isEmpty()
+    rows = {r.layer: r.rows for r in layers.layer_rows(spark, f"file:{tmp_path}/lake").collect()}
+    assert rows["bronze"] == 11
 
 
 def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
