@@ -11,7 +11,7 @@ from saleslens.errors import QualityGateError, SchemaValidationError
 from saleslens.functions.dates import iso_date
 from saleslens.functions.frames import inputs, one_row, with_row
 from saleslens.functions.numbers import count_where, double, half_even, money, total_double
-from saleslens.functions.repeats import fingerprint, marked
+from saleslens.functions.repeats import fingerprint, marked, repeated
 from saleslens.operators.cleaning import fill_values
 from saleslens.schema import (
     CRITICAL_COLUMNS,
@@ -136,6 +136,26 @@ def validation_summary(raw: DataFrame) -> DataFrame:
     )
 
 
+def validation_figures(raw: DataFrame) -> DataFrame:
+    """(report, column, figure): invalid dates and numbers, nulls per column, rows, null cells and duplicate rows.
+
+    All reports come from one row, which reads `raw` three times: for all counts, for fingerprints that occur again, and
+    for the rows that have them.
+    """
+    invalid = {"dates": invalid_dates(raw), "numbers": invalid_numbers(raw)}
+    rules = [rule.alias(f"_{name}_{c}") for name, found in invalid.items() for c, rule in found.items()]
+    again = marked(raw, raw.columns, repeated(raw, raw.columns)).where("_again").drop("_again")
+    more = again.groupBy(*raw.columns).agg((F.count("*") - 1).alias("_more"))
+    counts = raw.agg(F.count("*").alias("_rows"), *[_null_count(c) for c in raw.columns], *rules)
+    row = with_row(counts, more.agg(F.coalesce(F.sum("_more"), F.lit(0)).alias("_duplicates")))
+    cells = sum((F.col(c) for c in raw.columns), F.lit(0).cast("bigint"))
+    figures = [(name, c, F.col(f"_{name}_{c}")) for name, found in invalid.items() for c in found]
+    figures += [("quality", c, F.col(c)) for c in raw.columns]
+    figures += [("summary", "rows", F.col("_rows")), ("summary", "nulls", cells), ("summary", "duplicates", F.col("_duplicates"))]
+    shown = [F.struct(F.lit(r).alias("report"), F.lit(c).alias("column"), f.alias("figure")) for r, c, f in figures]
+    return row.select(F.inline(F.array(*shown)))
+
+
 def null_pct_by_column(frame: DataFrame) -> DataFrame:
     """(column, null_pct) of the columns that have nulls."""
     counts = frame.agg(F.count("*").alias("_rows"), *[_null_count(c) for c in frame.columns])

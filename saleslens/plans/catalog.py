@@ -186,13 +186,7 @@ def _history(spark, sf_dir):
 def _load_validated(spark, sf_dir):
     """All reports as (report, column, figure): invalid dates and numbers, nulls per column, rows and duplicates."""
     _, reports_on_raw = load_validated(spark, _raw_file(spark, sf_dir))
-    parts = [
-        reports_on_raw[name].select(F.lit(name).alias("report"), "column", F.col(value).alias("figure"))
-        for name, value in (("dates", "invalid"), ("numbers", "invalid"), ("quality", "nulls"))
-    ]
-    totals = reports_on_raw["summary"].unpivot([], ["rows", "nulls", "duplicates"], "column", "figure")
-    parts.append(totals.select(F.lit("summary").alias("report"), "column", "figure"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return reports_on_raw["figures"]
 
 
 def _run_pipeline(spark, sf_dir):

@@ -25,6 +25,7 @@ from saleslens.operators.quality import (
     raw_reports,
     require_columns,
     summary_of,
+    validation_figures,
     validation_summary,
 )
 from saleslens.sources.files import read_raw, read_silver
@@ -64,6 +65,7 @@ def reports_on(raw: DataFrame) -> dict[str, DataFrame]:
         "numbers": numeric_parse_report(raw),
         "quality": quality_summary(raw),
         "summary": validation_summary(raw),
+        "figures": validation_figures(raw),
     }
 
 

@@ -72,3 +72,13 @@ def test_missing_values_fail_the_basic_gate(lines):
 
 def test_run_summary(raw, lines):
     assert tuple(q.run_summary(raw, lines).first()) == (11, 10, 2, 1750.0, 250.0)
+
+
+def test_all_validation_figures_from_one_row(raw):
+    found = {(r.report, r.column): r.figure for r in q.validation_figures(raw).collect()}
+    single = {("dates", r.column): r.invalid for r in q.date_parse_report(raw).collect()}
+    single |= {("numbers", r.column): r.invalid for r in q.numeric_parse_report(raw).collect()}
+    single |= {("quality", r.column): r.nulls for r in q.quality_summary(raw).collect()}
+    summary = q.validation_summary(raw).first()
+    single |= {("summary", c): summary[c] for c in ("rows", "nulls", "duplicates")}
+    assert found == single and found["summary", "duplicates"] == 1
