@@ -19,6 +19,7 @@ doc_id are separate documents, ordered by a hash of the text; an empty table giv
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
@@ -37,7 +38,8 @@ from saleslens.llm.shared import documents_of, partitions, parts_of, shown_id
 from saleslens.sources.layers import scratch_folder
 
 BLOCK_IDS = 1 << 16
-CACHE_WORDS = 1_500_000  # words whose ids a worker keeps, about 300 MB; then it starts anew
+CACHE_WORDS = 250_000  # words in each of the two parts of a worker's cache, about 60 MB; then the older part goes
+MARKERS = "~^|=_"  # one that is in none of the words stands between them while they are encoded together
 END_ID = 1
 BLOCKS = (
     "shard int, block int, first long, n_ids int, bits int, payload binary, open_from long, "
@@ -91,31 +93,53 @@ class WordEncoder:
     of a text are those of its words in order. Texts with control characters that Python, but not the
     tokenizer, takes as white space are encoded whole. If the tokenizer lower-cases, so are ASCII texts
     beforehand, unless they may hold a special token: fewer words are then different.
-        """
+
+    Known words are kept in two parts. When the newer one is full it becomes the older one, and words met
+    again move back: frequent words stay, and the cache has a bound.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # other tasks use the other cores
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         normalizer = self.tokenizer.normalizer
         self.lowers = normalizer is not None and normalizer.normalize_str("A") == "a"
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.markers = [(m, ids[0]) for m in MARKERS if len(ids := np.frombuffer(self._encode([m])[0], np.uint32)) == 1]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
     def _learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), 4096):
-            self.known.update(zip(words[i : i + 4096], self._encode(words[i : i + 4096]), strict=True))
+        for i in range(0, len(words), 512):
+            self.known.update(zip(words[i : i + 512], self._encode_words(words[i : i + 512]), strict=True))
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """As `_encode`, but as one text, cut at the ids of a marker between the words: one that gives a single id each time,
+        so that there is one fewer than words only if no word gives that id."""
+        for marker, marked in self.markers:
+            text = f" {marker} ".join(words)
+            if text.count(marker) == len(words) - 1:
+                found = self._encode([text])[0]
+                ends = np.flatnonzero(np.frombuffer(found, np.uint32) == marked).tolist()
+                if len(ends) == len(words) - 1:
+                    stops = [*(4 * e for e in ends), len(found)]
+                    return [found[a:b] for a, b in zip([0, *(4 * e + 4 for e in ends)], stops, strict=True)]
+        return self._encode(words)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         whole = {i for i, t in enumerate(texts) if _odd_space(t)}
         words = [[] if i in whole else self._plain(t).split() for i, t in enumerate(texts)]
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        self._learn(list(set().union(*words).difference(self.known)))
+            self.older, self.known = self.known, {}
+        new = set().union(*words).difference(self.known)
+        again = {word: self.older[word] for word in new if word in self.older}
+        self._learn(list(new.difference(again)))
+        self.known.update(again)
         known = self.known.__getitem__
         return [
             np.frombuffer(self._encode([text])[0] if i in whole else b"".join(map(known, own)), np.uint32)
@@ -123,7 +147,7 @@ class WordEncoder:
         ]
 
     def _plain(self, text: str) -> str:
-        return text if not self.lowers or "<|" in text or _NOT_PLAIN.search(text) else text.lower()
+        return text if not self.lowers or "<|" in text or not text.isascii() and _NOT_PLAIN.search(text) else text.lower()
 
 
 def _odd_space(text: str) -> bool:

@@ -53,6 +53,18 @@ def test_token_files(spark, docs, tmp_path):
     assert {r.bits for r in token_files.read_blocks(spark, folder).collect()} == {16}
 
 
+def test_cache_of_words_has_a_bound_and_frequent_words_stay():
+    tokenizer, words = Tokenizer.from_file(WORDS), token_files.WordEncoder(WORDS)
+    for i in range(0, 600_000, 20_000):
+        words.encode(["often " + " ".join(f"w{n}" for n in range(i, i + 20_000))])
+        assert "often" in words.known
+    assert len(words.known) + len(getattr(words, "older", {})) < 550_000
+    texts = ["often w1 w599999", "a ~ b~c ^ | = _ ~^|=_", "~", "é\u0301 \u0301x <|endoftext|> ~", ""]
+    wanted = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [found.tolist() for found in words.encode(texts)] == wanted
+    assert [found.tolist() for text in texts for found in words.encode([text])] == wanted
+
+
 def test_random_access(spark, tmp_path):
     folder = token_files.write_token_files(frame(spark, awkward()), str(tmp_path / "t"), WORDS, block_ids=64)
     blocks = token_files.read_blocks(spark, folder)
