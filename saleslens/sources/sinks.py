@@ -8,6 +8,7 @@ from saleslens.errors import SinkError, SourceError
 from saleslens.functions.frames import with_row
 from saleslens.functions.repeats import fingerprint
 from saleslens.sources.files import CSV_OPTIONS
+from saleslens.sources.layers import kept
 
 SINK_FORMATS = ["parquet", "csv", "delta"]
 PARTITION_COLUMNS = ["order_year", "category"]
@@ -105,14 +106,16 @@ def unequal_buckets(frame: DataFrame, other: DataFrame, columns: list[str]) -> D
     )
 
 
-def differing_rows(frame: DataFrame, other: DataFrame) -> DataFrame:
+def differing_rows(frame: DataFrame, other: DataFrame, buckets: DataFrame | None = None) -> DataFrame:
     """Rows that one of two tables with the same columns holds more often, with the `surplus` of the first.
 
     Rows are summed up by bucket; only rows of buckets whose sums differ are shuffled and compared whole.
+    `buckets` are those of `unequal_buckets`, if they are known already.
     """
     columns = frame.columns
-    buckets = unequal_buckets(frame, other.select(*columns), columns).where("differ").select("_bucket")
-    suspects = F.broadcast(buckets)  # at most `BUCKETS` numbers
+    if buckets is None:
+        buckets = unequal_buckets(frame, other.select(*columns), columns)
+    suspects = F.broadcast(buckets.where("differ").select("_bucket"))  # at most `BUCKETS` numbers
 
     def rows(side: DataFrame, sign: int) -> DataFrame:
         return with_bucket(side.select(*columns), columns).join(suspects, "_bucket").select(*columns, F.lit(sign).alias("_here"))
@@ -131,10 +134,15 @@ def verify_roundtrip(frame: DataFrame, path: str) -> DataFrame:
     stored = frame.sparkSession.read.parquet(path)
     every = [*frame.columns, *[c for c in stored.columns if c not in frame.columns]]
     left, right = _widened(frame, stored, every), _widened(stored, frame, every)
-    sums = unequal_buckets(left, right, every).agg(
+    buckets = kept(unequal_buckets(left, right, every), "buckets")
+    sums = buckets.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("stored_rows"), F.lit(0)).alias("stored_rows")
     )
-    surplus = differing_rows(left, right).agg(
+    # Nothing of the rows is read again where all sums agree.
+    found = left.select(F.lit(0).cast("bigint").alias("surplus")).limit(0)
+    if not buckets.where("differ").isEmpty():
+        found = differing_rows(left, right, buckets)
+    surplus = found.agg(
         F.coalesce(F.sum(F.greatest("surplus", F.lit(0))), F.lit(0)).alias("rows_lost"),
         F.coalesce(F.sum(F.greatest(-F.col("surplus"), F.lit(0))), F.lit(0)).alias("rows_added"),
     )

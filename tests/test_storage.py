@@ -185,6 +185,13 @@ def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_rows_of_equal_tables_are_read_once(spark, lines, tmp_path):
+    path = sinks.write_silver(lines, str(tmp_path / "t"))
+    compared = sinks.verify_roundtrip(lines, path)
+    assert str(tmp_path) not in compared._jdf.queryExecution().toString()
+    assert tuple(compared.first()) == (10, 10, len(lines.columns), len(lines.columns), 0, 0, True)
+
+
 def test_line_breaks_survive(spark, tmp_path):
     frame = spark.createDataFrame([("a\nb", 1), ("c", 2)], "product_name string, quantity int")
     gold = files.read_gold(spark, sinks.write_gold("x", frame, str(tmp_path)), frame.schema)
