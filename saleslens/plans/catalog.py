@@ -164,11 +164,10 @@ def _compact(spark, sf_dir):
 
 
 def _snapshots(spark: SparkSession, sf_dir: str) -> str:
-    """Two versions: all lines, then those without a loss."""
+    """Two versions: all lines, then those without a loss, made from the first."""
     path = scratch_folder(spark, "snapshots")
-    lines = silver(spark, sf_dir)
-    sinks.write_snapshot(lines, path, 0)
-    return sinks.write_snapshot(lines.where(~F.col("is_loss")), path, 1)
+    sinks.write_snapshot(silver(spark, sf_dir), path, 0)
+    return sinks.write_snapshot(sinks.read_version(spark, path, 0).where(~F.col("is_loss")), path, 1)
 
 
 def _read_version(spark, sf_dir):

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from saleslens.errors import QualityGateError, SchemaValidationError, SinkError, SourceError
 from saleslens.operators.rollups import category_rollup
+from saleslens.plans import catalog
 from saleslens.plans.pipeline import GOLD, load_validated, run_pipeline
 from saleslens.schema import SOURCE_COLUMNS
 from saleslens.sources import files, layers, sinks
@@ -192,6 +193,17 @@ def test_rows_of_equal_tables_are_read_once(spark, lines, tmp_path):
     assert tuple(compared.first()) == (10, 10, len(lines.columns), len(lines.columns), 0, 0, True)
 
 
+def test_a_version_is_made_from_the_one_before(spark, monkeypatch):
+    written = []
+    write = sinks.write_snapshot
+    monkeypatch.setattr(sinks, "write_snapshot", lambda frame, path, version: written.append(frame) or write(frame, path, version))
+    path = catalog._snapshots(spark, f"{TESTDATA}/sf0.001")
+    assert "lineitem" not in written[1]._jdf.queryExecution().toString()
+    first, second = (sinks.read_version(spark, path, v) for v in (0, 1))
+    assert first.count() == silver(spark, f"{TESTDATA}/sf0.001").count()
+    assert first.where("not is_loss").exceptAll(second).isEmpty() and second.where("is_loss").isEmpty()
+
+
 def test_line_breaks_survive(spark, tmp_path):
     frame = spark.createDataFrame([("a\nb", 1), ("c", 2)], "product_name string, quantity int")
     gold = files.read_gold(spark, sinks.write_gold("x", frame, str(tmp_path)), frame.schema)
