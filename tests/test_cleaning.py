@@ -145,3 +145,10 @@ def test_large_numbers_are_kept(spark):
     assert sorted(values(cleaned, "quantity")) == [(4,), (3000000000,), (9223372036854775807,)]
     total = cleaned.agg(F.sum("sales").cast("string").alias("t")).first().t
     assert total == "12345681135802458013.750000"
+
+
+def test_each_text_is_stripped_once_and_generated_methods_are_short(spark, raw):
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    plan = c.clean(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("p{Z}]+$") == 5
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
