@@ -132,7 +132,8 @@ def _cardinality_by_period(spark, sf_dir):
 def _write_partitioned(spark, sf_dir):
     path = scratch_folder(spark, "table")
     name = "lines_" + path.rsplit("-", 1)[-1]
-    table = sinks.write_partitioned(silver(spark, sf_dir), name, path)
+    lines = silver(spark, sf_dir, [*RAW_COLUMNS, "order_year"])
+    table = sinks.write_partitioned(lines, name, path, finish=lambda rows: cleaning.derive(rows).select(*SILVER_COLUMNS))
     return _by_year_and_category(table.withColumn("order_year", F.col("order_year").cast("int")))
 
 

@@ -1,5 +1,7 @@
 """Writers. Every write is one Spark job that replaces its target, so it can be repeated."""
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,16 +57,19 @@ def write_gold(name: str, frame: DataFrame, folder: str) -> str:
 
 
 def write_partitioned(
-    frame: DataFrame, table: str, path: str, by: list[str] = PARTITION_COLUMNS
+    frame: DataFrame, table: str, path: str, by: list[str] = PARTITION_COLUMNS,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Replace a registered Parquet table, one folder per value of `by`.
 
     Rows of a folder are brought together before the write, so tasks do not each write
     a small file to every folder; folders that hold a large part of the rows are split
-    into several tasks by the adaptive rebalance.
+    into several tasks by the adaptive rebalance. `finish` adds columns that follow from the
+    others, behind the shuffle, which then moves less.
     """
+    rows = frame.hint("rebalance", *by)
     (
-        frame.hint("rebalance", *by)
+        (finish(rows) if finish else rows)
         .write.mode("overwrite")
         .partitionBy(*by)
         .option("path", path)

@@ -204,6 +204,15 @@ def test_a_version_is_made_from_the_one_before(spark, monkeypatch):
     assert first.where("not is_loss").exceptAll(second).isEmpty() and second.where("is_loss").isEmpty()
 
 
+def test_derived_columns_of_a_partitioned_table_are_added_behind_the_shuffle(spark, monkeypatch):
+    moved, write = [], sinks.write_partitioned
+    monkeypatch.setattr(sinks, "write_partitioned", lambda frame, *a, **k: moved.append(frame.columns) or write(frame, *a, **k))
+    found = catalog.queries()["write_partitioned"](spark, f"{TESTDATA}/sf0.001")
+    assert "profit_margin" not in moved[0] and "order_year" in moved[0]
+    lines = silver(spark, f"{TESTDATA}/sf0.001")
+    assert found.agg(F.sum("lines")).first()[0] == lines.count()
+
+
 def test_line_breaks_survive(spark, tmp_path):
     frame = spark.createDataFrame([("a\nb", 1), ("c", 2)], "product_name string, quantity int")
     gold = files.read_gold(spark, sinks.write_gold("x", frame, str(tmp_path)), frame.schema)
