@@ -152,3 +152,9 @@ def test_each_text_is_stripped_once_and_generated_methods_are_short(spark, raw):
     plan = c.clean(raw)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("p{Z}]+$") == 5
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_a_line_without_a_date_has_no_week_day(spark, tmp_path):
+    rows = make_raw(spark, {"order_date": "not-a-date"}, {"order_date": "2021-03-06"})
+    cleaned = c.clean(rows, str(tmp_path / "kept")).orderBy("row_id")
+    assert values(cleaned, "order_date", "order_day_of_week") == [(None, None), (datetime.date(2021, 3, 6), "Saturday")]
