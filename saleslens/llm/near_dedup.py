@@ -12,11 +12,12 @@ is missed with a probability of 3e-6). Every link is verified on the shingle set
 
 1. texts with the same words are one class, and so are texts without words that are equal byte for byte; the
    smallest id of a class goes on alone;
-2. in each bucket of a band, every member is compared with the smallest one. Linked documents
-   form components, found by passing the smallest id along and by pointer jumping;
+2. in each bucket of a band, every member is compared with the smallest one. Linked documents and
+   copies form components, found by passing the smallest id along and by pointer jumping;
 3. members of one bucket that are still in different components are compared too, unless a link is ruled
    out: by the distances to the bucket's smallest member (Jaccard distance is a metric), or by the
-   number of shingles that only one of all these documents has, or by counts of shingles in groups.
+   number of shingles that only one of all these documents has, or by counts of shingles in groups. What
+   is found joins whole components, so that their smallest ids are linked once more.
 
 So no link between documents that share a band is lost, and buckets of copies cost one comparison a
 member. Buckets with very many members are met by broadcast of their smallest member, not gathered.
@@ -62,7 +63,8 @@ BANDS, ROWS = 24, 4
 LOWEST_RANK = -8  # darts below rank 2^LOWEST_RANK are thrown together
 CELL_AREA = 8.0
 BROADCAST_IDS = 1_000_000
-OUTLINE = 256
+BROADCAST_ROOTS = 250_000
+OUTLINE, PLANES = 256, 4
 _CELL = 0x9E3779B97F4A7C15
 
 
@@ -276,39 +278,54 @@ def verified(pairs: DataFrame, docs: DataFrame, weighted: bool = False) -> DataF
 def components(links: DataFrame) -> DataFrame:
     """(doc_id, root) for all ids in links (a, b): root is the smallest id of the component.
 
-    Alternates two steps until nothing changes: each id hands its smallest neighbour to its larger ones,
-    then to its smaller ones. Every id ends as a neighbour of its root. The smallest neighbour is a
-    combined minimum, and ids with very many neighbours are met by broadcast.
+    Alternates two steps: ids between smaller and larger neighbours hand their smallest one to the larger ones,
+    then ids with several smaller neighbours hand the smallest to the others. Once no id is of either kind, every
+    id is a neighbour of its root. The smallest neighbour is a combined minimum, and what is handed on meets the
+    links by broadcast, or by a join for hot keys if it is much.
     """
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    state = _state(edges)
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
     while True:
-        edges = stored(_small_star(stored(_large_star(edges), "edges")), "edges")
-        before, state = state, _state(edges)
-        if state == before:
-            roots = edges.select(F.col("v").alias("doc_id"), F.col("v").alias("root")).distinct()
-            return edges.select(F.col("u").alias("doc_id"), F.col("v").alias("root")).unionByName(roots)
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        smaller = F.max(F.when(F.col("v") < F.col("u"), F.col("v")))
+        roles = stored(
+            both.groupBy("u").agg(
+                F.count("*").alias("n"),
+                F.min("v").alias("m"),
+                ((F.min("v") < F.col("u")) & (F.max("v") > F.col("u"))).alias("between"),
+                F.coalesce(smaller != F.min("v"), F.lit(False)).alias("forked"),
+            ),
+            "roles",
+        )
+        if roles.where("between OR forked").isEmpty():
+            return roles.select(F.col("u").alias("doc_id"), F.least("u", "m").alias("root"))
+        edges = stored(_small_star(_large_star(edges, roles.where("between"))), "edges")
+
+
+def _met(edges: DataFrame, by: DataFrame, how: str) -> DataFrame:
+    """Links with the smallest neighbour m of their id u, for the ids of `by`."""
+    by = by.select("u", "n", "m")
+    if by.count() <= BROADCAST_ROOTS:
+        return edges.join(F.broadcast(by), "u", how)
+    return join_hot(edges, by, ["u"], "n", edges.count(), how)
+
+
+def _large_star(edges: DataFrame, between: DataFrame) -> DataFrame:
+    larger = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
+    return _met(larger, between, "left").select(F.col("v").alias("u"), F.coalesce("m", "u").alias("v"))
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
-
-
-def _met(pairs: DataFrame, smallest: DataFrame) -> DataFrame:
-    return join_hot(pairs, stored(smallest, "smallest"), ["u"], "n", pairs.count())
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    smallest = both.groupBy("u").agg(F.count("*").alias("n"), F.least(F.min("v"), F.col("u")).alias("m"))
-    larger = both.where("v > u")
-    return _met(larger, smallest).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+def _small_star(edges: DataFrame) -> DataFrame:
+    smaller = edges.groupBy("u").agg(F.count("*").alias("n"), F.min("v").alias("m"), F.max("v").alias("last"))
+    smaller = stored(smaller, "smaller")
+    handed = _met(edges, smaller.where("m <> last"), "inner").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return smaller.select("u", F.col("m").alias("v")).unionByName(handed.where("u <> v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    smallest = edges.groupBy("u").agg(F.count("*").alias("n"), F.min("v").alias("m"))
-    handed = _met(edges, smallest).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return handed.unionByName(smallest.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+def _rooted(rows: DataFrame, column: str, roots: DataFrame) -> DataFrame:
+    """`rows` with the root of the ids in `column`; an id without links is its own."""
+    found = roots.select(F.col("doc_id").alias(column), F.col("root").alias(f"{column}_root"))
+    found = F.broadcast(found) if roots.count() <= BROADCAST_ROOTS else found
+    return rows.join(found, column, "left").withColumn(f"{column}_root", F.coalesce(f"{column}_root", column))
 
 
 # Classes
@@ -319,11 +336,12 @@ def _chosen(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     the first ones."""
     words = ["w1", "w2"]
     some = signed.where("w1 IS NOT NULL")
-    firsts = stored(some.groupBy(*words).agg(F.count("*").alias("n"), F.min("doc_id").alias("first")), "firsts")
-    rows = join_hot(some.select("doc_id", *words), firsts, words, "n", signed.count())
+    # Texts with the same words have the same signature.
+    firsts = some.groupBy(*words).agg(F.count("*").alias("n"), F.min("doc_id").alias("first"), F.first("keys").alias("keys"))
+    firsts = stored(firsts, "firsts")
+    rows = join_hot(some.select("doc_id", *words), firsts.drop("keys"), words, "n", signed.count())
     copies = rows.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
-    heads = firsts.select(*words, F.col("first").alias("doc_id"))
-    return copies, some.join(heads, [*words, "doc_id"], "left_semi").dropDuplicates([*words, "doc_id"]).select("doc_id", "keys")
+    return copies, firsts.select(F.col("first").alias("doc_id"), "keys")
 
 
 def _members(heads: DataFrame) -> DataFrame:
@@ -336,7 +354,7 @@ def _members(heads: DataFrame) -> DataFrame:
 
 
 def _own_shingles(docs: DataFrame, weighted: bool) -> DataFrame:
-    """(doc_id, size, own): the weight of a document's shingles, and of those no other document here has."""
+    """(doc_id, own): the weight of a document's shingles that no other document here has, if there are any."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (part for batch in batches for part in parts_of(batch)):
@@ -354,71 +372,77 @@ def _own_shingles(docs: DataFrame, weighted: bool) -> DataFrame:
     rows = docs.select("doc_id", "text").mapInArrow(work, "doc_id long, shingle long, weight double")
     # One row a shingle and task before the shuffle; the weights of shingles held twice go to no owner.
     held = rows.groupBy("shingle").agg(F.min("doc_id").alias("one"), F.max("doc_id").alias("other"), F.max("weight").alias("weight"))
-    own = held.where("one = other").groupBy(F.col("one").alias("doc_id")).agg(F.sum("weight").alias("own"))
-    sizes = rows.groupBy("doc_id").agg(F.sum("weight").alias("size"))
-    return sizes.join(own, "doc_id", "left").select("doc_id", "size", F.coalesce("own", F.lit(0.0)).alias("own"))
+    return held.where("one = other").groupBy(F.col("one").alias("doc_id")).agg(F.sum("weight").alias("own"))
+
+
+def outline(shingles: np.ndarray, weighted: bool) -> tuple[float, np.ndarray, int]:
+    """Weight of a text's shingles; bits that tell in which of OUTLINE groups of hashes they weigh 1 at least, 2 at
+    least and so on up to PLANES; and the weight beyond that in all groups together."""
+    known, count = np.unique(shingles, return_counts=True)
+    count = count if weighted else np.ones(len(known), np.int64)
+    weight = np.bincount((known % np.uint64(OUTLINE)).astype(np.int64), count, minlength=OUTLINE).astype(np.int64)
+    bits = np.packbits(weight[None, :] > np.arange(PLANES)[:, None], bitorder="little").view(np.int64)
+    return float(weight.sum()), bits, int(np.maximum(weight - PLANES, 0).sum())
 
 
 def _outlines(docs: DataFrame, weighted: bool) -> DataFrame:
-    """(doc_id, outline): the weight of a document's shingles in each of OUTLINE groups of hashes."""
+    """(doc_id, size, bits, rest) of each text: its `outline`."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (part for batch in batches for part in parts_of(batch)):
             shingles, _, begins, _ = shingle_hashes(byte_texts(part.column("text")))
-            outlines = []
-            for a, b in zip(begins[:-1], begins[1:], strict=True):
-                known, count = np.unique(shingles[a:b], return_counts=True)
-                group = (known % np.uint64(OUTLINE)).astype(np.int64)
-                outlines.append(np.bincount(group, count if weighted else None, minlength=OUTLINE).astype(np.int32))
+            found = [outline(shingles[a:b], weighted) for a, b in zip(begins[:-1], begins[1:], strict=True)]
+            sizes, bits, rests = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([x.tolist() for x in outlines], pa.list_(pa.int32()))], ["doc_id", "outline"]
+                [part.column("doc_id"), pa.array(sizes, pa.float64()), pa.array([b.tolist() for b in bits], pa.list_(pa.int64())), pa.array(rests, pa.int64())],
+                ["doc_id", "size", "bits", "rest"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, outline array<int>")
+    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, size double, bits array<long>, rest long")
 
 
 def _left_open(
-    members: DataFrame, compared: DataFrame, links: DataFrame, docs: DataFrame, similar: float, weighted: bool
+    members: DataFrame, compared: DataFrame, roots: DataFrame, docs: DataFrame, similar: float, weighted: bool
 ) -> DataFrame:
-    """Pairs (a, b) of one bucket, in different components, that may still be links.
+    """Pairs (a, b) of one bucket, in different components (a_root < b_root, in any order), that may still be links.
 
     A pair is ruled out by the distances of both to the bucket's smallest member; by the shingles that only
     one document of all these buckets has, which are outside the intersection and inside the union; or by
-    the outlines: the intersection is at most the sum over groups of the smaller weight.
+    the outlines: the intersection is at most the sum over groups of the smaller weight, of which the bits
+    give the first PLANES of each group. The buckets are joined on few bytes a row, as each row meets many.
     """
-    roots = stored(components(links), "roots")
-
-    def with_root(frame: DataFrame, column: str) -> DataFrame:
-        found = roots.select(F.col("doc_id").alias(column), F.col("root").alias(f"{column}_root"))
-        return frame.join(found, column, "left").withColumn(f"{column}_root", F.coalesce(f"{column}_root", column))
-
-    pairs = with_root(with_root(compared, "a"), "b").select("a", "b", "a_root", "b_root", (1 - F.col("similar")).alias("far"))
-    pairs = stored(pairs, "pairs")
-    sides = members.select("key", F.col("first").alias("a"), F.col("doc_id").alias("b")).join(
-        pairs.select("a", "b", "b_root", "far", (F.col("a_root") != F.col("b_root")).alias("astray")), ["a", "b"]
+    far = (1 - F.col("similar")).alias("far")
+    pairs = _rooted(_rooted(compared, "a", roots), "b", roots).select("a", "b", "b_root", far, (F.col("a_root") != F.col("b_root")).alias("astray"))
+    sides = members.select("key", F.col("first").alias("a"), F.col("doc_id").alias("b")).join(pairs, ["a", "b"])
+    sides = stored(sides.drop("a"), "sides")
+    asked = sides.join(sides.where("astray").select("key").distinct(), "key", "left_semi")
+    texts = _texts_of(docs, asked.select(F.col("b").alias("doc_id")).distinct())
+    outlines = _outlines(texts, weighted).groupBy("doc_id").agg(
+        F.sum("size").alias("size"), F.first("bits").alias("bits"), F.first("rest").alias("rest")
     )
-    keys = sides.where("astray").select("key").distinct()
-    sides = stored(sides.join(keys, "key", "left_semi"), "sides")
-    asked = sides.select(F.col("b").alias("doc_id")).distinct()
-    texts = _texts_of(docs, asked)
-    own = _own_shingles(texts, weighted).where(F.col("size") - F.col("own") >= similar * F.col("size") - 1e-6)
-    own = sides.groupBy(F.col("b").alias("doc_id")).agg(F.collect_set("key").alias("keys")).join(own, "doc_id")
-    own = own.join(_outlines(texts, weighted).dropDuplicates(["doc_id"]), "doc_id")
-    sides = stored(sides.join(stored(own, "own").withColumnRenamed("doc_id", "b"), "b"), "sides")
-    rest = sides.select("key", *(F.col(c).alias(f"r_{c}") for c in ("b", "b_root", "far", "size", "own", "keys", "outline")))
-    common = F.aggregate(F.zip_with("outline", "r_outline", lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x)
+    own = outlines.join(_own_shingles(texts, weighted), "doc_id", "left").withColumn("own", F.coalesce("own", F.lit(0.0)))
+    own = stored(own.where(F.col("size") - F.col("own") >= similar * F.col("size") - 1e-6).withColumnRenamed("doc_id", "b"), "own")
+    sides = stored(sides.join(own, "b"), "sides")
+    columns = ["b", "b_root", "far", "astray", "size", "own", "bits", "rest"]
+    others = sides.select("key", *(F.col(c).alias(f"r_{c}") for c in columns))
+    common = F.least("rest", "r_rest")
+    for i in range(OUTLINE * PLANES // 64):
+        common = common + F.bit_count(F.col("bits")[i].bitwiseAND(F.col("r_bits")[i]))
     shared = F.least(F.col("size") - F.col("own"), F.col("r_size") - F.col("r_own"))
     union = F.greatest(F.col("size") + F.col("r_own"), F.col("r_size") + F.col("own"))
     lost = sides.where("astray")
     possible = (
         (F.col("b_root") != F.col("r_b_root"))
+        & (~F.col("r_astray") | (F.col("b") < F.col("r_b")))
         & (F.abs(F.col("far") - F.col("r_far")) <= 1 - similar + 1e-9)
         & (shared >= similar * union - 1e-6)
-        & (F.array_min(F.array_intersect("keys", "r_keys")) == lost["key"])  # a pair comes up in one bucket only
         & (common >= similar * (F.col("size") + F.col("r_size") - common) - 1e-6)
     )
-    return lost.join(rest, (lost["key"] == rest["key"]) & possible).select(
-        F.least("b", "r_b").alias("a"), F.greatest("b", "r_b").alias("b")
+    return lost.join(others, (lost["key"] == others["key"]) & possible).select(
+        F.least("b", "r_b").alias("a"),
+        F.greatest("b", "r_b").alias("b"),
+        F.least("b_root", "r_b_root").alias("a_root"),
+        F.greatest("b_root", "r_b_root").alias("b_root"),
     ).distinct()
 
 
@@ -431,14 +455,16 @@ def classes(
     copies, heads = _chosen(signed)
     copies, heads = stored(copies, "copies"), stored(heads, "heads")
     members = stored(_members(heads), "members")
-    firsts = members.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
+    firsts = stored(members.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct(), "firsts")
     compared = stored(verified(firsts, docs, weighted).groupBy("a", "b").agg(F.max("similar").alias("similar")), "compared")
     linked = compared.where(F.col("similar") >= similar).select("a", "b")
-    open_ = stored(_left_open(members, compared, linked, docs, similar, weighted), "open")
-    more = stored(verified(open_, docs, weighted).where(F.col("similar") >= similar).select("a", "b"), "more")
-    found = stored(components(copies.unionByName(linked).unionByName(more)), "classes")
+    roots = components(copies.unionByName(linked))
+    open_ = stored(_left_open(members, compared, roots, docs, similar, weighted), "open")
+    near = verified(open_.select("a", "b"), docs, weighted).where(F.col("similar") >= similar).select("a", "b").distinct()
+    more = stored(open_.join(near, ["a", "b"], "left_semi").select(F.col("a_root").alias("a"), F.col("b_root").alias("b")), "more")
     ids = signed.select("doc_id").distinct()
-    return ids.join(found, "doc_id", "left").select("doc_id", F.coalesce("root", "doc_id").alias("class_id"))
+    found = _rooted(_rooted(ids, "doc_id", roots), "doc_id_root", components(more))
+    return found.select("doc_id", F.col("doc_id_root_root").alias("class_id"))
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -59,8 +59,8 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def join_hot(rows: DataFrame, keyed: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:
-    """Inner join of many rows with one row per key, where `weight` of a key is its number of rows.
+def join_hot(rows: DataFrame, keyed: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
+    """Join (inner or left) of many rows with one row per key, where `weight` of a key is its number of rows.
 
     Keys with more than total / 1000 rows, of which there are under 1000, meet the rows by broadcast;
     the others by a shuffle, in which no key is larger than that share.
@@ -70,7 +70,7 @@ def join_hot(rows: DataFrame, keyed: DataFrame, keys: list[str], weight: str, to
     cold = keyed.where(F.col(weight) <= least)
     hot_keys = F.broadcast(hot.select(*keys))
     return rows.join(F.broadcast(hot), keys).unionByName(
-        rows.join(hot_keys, keys, "left_anti").join(cold, keys)
+        rows.join(hot_keys, keys, "left_anti").join(cold, keys, how)
     )
 
 

@@ -70,6 +70,41 @@ def test_components(spark):
     assert {r.doc_id: r.root for r in found.collect()} == wanted
 
 
+def test_components_without_broadcasts(spark, monkeypatch):
+    """Ids with very many neighbours on both sides, and chains from one to the next."""
+    monkeypatch.setattr(near_dedup, "BROADCAST_ROOTS", 0)
+    links = [(5000, j) for j in range(1, 1500)] + [(5000, j) for j in range(6000, 7500)] + [(7000 + i, 9000 + i) for i in range(5)]
+    links += [(20000 + i, 20001 + i) for i in range(9)] + [(20009, 20000), (30001, 30000), (30000, 30001)]
+    found = near_dedup.components(spark.createDataFrame(links, "a long, b long"))
+    ids = {i for link in links for i in link}
+    assert {r.doc_id: r.root for r in found.collect()} == {i: 1 if i < 10000 else i // 10000 * 10000 for i in ids}
+
+
+def test_stars_take_no_second_round(spark):
+    links = spark.createDataFrame([(i % 7, i) for i in range(7, 200)], "a long, b long")
+    spark.sparkContext.setJobGroup("stars", "components")
+    try:
+        found = near_dedup.components(links)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("stars")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r.doc_id: r.root for r in found.collect()} == {i: i % 7 for i in range(200)}
+    assert 0 < len(jobs) <= 5
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_outlines_bound_the_intersection(weighted):
+    draw = np.random.default_rng(8)
+    for n in (1, 40, 300, 3000):
+        pool = draw.integers(0, 2**63, n, dtype=np.uint64)
+        one, two = (draw.choice(pool, n) for _ in range(2))
+        (size, bits, rest), (size2, bits2, rest2) = (near_dedup.outline(x, weighted) for x in (one, two))
+        both = Counter(one.tolist()) & Counter(two.tolist())
+        bound = min(rest, rest2) + int(np.bitwise_count((bits & bits2).view(np.uint64)).sum())
+        assert len(bits) == near_dedup.OUTLINE * near_dedup.PLANES // 64
+        assert (both.total() if weighted else len(both)) <= bound <= min(size, size2)
+
+
 def test_stage_keeps_the_first_and_all_columns(spark):
     text = " ".join(f"w{i}" for i in range(40))
     docs = frame(spark, [(5, text), (3, text), (9, text + " more"), (11, "other words"), (None, None), (12, "")])
