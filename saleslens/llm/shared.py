@@ -92,10 +92,10 @@ def chunks(sizes: Iterable[int], most: int = CHUNK_BYTES) -> Iterator[tuple[int,
         yield start, stop
 
 
-def parts_of(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
+def parts_of(batch: pa.RecordBatch, text: str = "text", most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """A batch in slices of a bounded number of text bytes."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0)
-    for start, stop in chunks(sizes.to_pylist()):
+    for start, stop in chunks(sizes.to_pylist(), most):
         yield batch.slice(start, stop - start)
 
 

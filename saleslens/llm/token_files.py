@@ -19,8 +19,10 @@ doc_id are separate documents, ordered by a hash of the text; an empty table giv
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -29,16 +31,18 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from saleslens.llm.shared import documents_of, partitions, parts_of, shown_id
+from saleslens.llm.shared import documents_of, partitions, parts_of, shown_id, stored
 from saleslens.sources.layers import scratch_folder
 
 BLOCK_IDS = 1 << 16
-CACHE_WORDS = 250_000  # words in each of the two parts of a worker's cache, about 60 MB; then the older part goes
+CACHE_WORDS = 500_000  # words in a worker's cache, about 20 MB; if there are more, three quarters as many stay
+CHUNK_BYTES = 2 << 20  # so that each word is looked up seldom
 MARKERS = "~^|=_"  # one that is in none of the words stands between them while they are encoded together
 END_ID = 1
 BLOCKS = (
@@ -49,7 +53,7 @@ _SCHEMA = pa.schema(
     [("shard", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int32()), ("bits", pa.int32()),
      ("payload", pa.binary()), ("open_from", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lens", pa.list_(pa.int32()))]
 )
-PIECES = "shard int, start long, doc_id long, block int, n int, crc long"
+PIECES = "shard int, start long, doc_id long, block int, n int, crc long, edge boolean"
 
 
 def id_bits(vocabulary: int) -> int:
@@ -84,6 +88,10 @@ def unpack(payload: bytes, bits: int, start: int, stop: int) -> np.ndarray:
 
 # What could be composed, or lower-cased by context: all but letters whose lower case stands alone.
 _NOT_PLAIN = re.compile("[^\x00-\u02ff]|\u0130")
+# Steps of a normalizer that leave plain lower-case words as they are, and a split that takes a run of letters, and the
+# punctuation behind it, each as one piece.
+_NO_EFFECT = [{"type": "NFC"}, {"type": "Lowercase"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}]
+_LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class WordEncoder:
@@ -94,8 +102,12 @@ class WordEncoder:
     tokenizer, takes as white space are encoded whole. If the tokenizer lower-cases, so are ASCII texts
     beforehand, unless they may hold a special token: fewer words are then different.
 
-    Known words are kept in two parts. When the newer one is full it becomes the older one, and words met
-    again move back: frequent words stay, and the cache has a bound.
+    Words of such texts skip the normalizer if it has no effect on them. If the tokenizer splits at the ends of runs
+    of letters and marks the last id of each piece, runs of letters are encoded together and cut at these
+    ids, and so is punctuation behind them.
+
+    Words and their ids are Arrow arrays: each different word of a batch is looked up once, and the ids of all words
+    are taken in a row. When there are too many known words, those that were met last stay.
     """
 
     def __init__(self, path: str):
@@ -106,48 +118,120 @@ class WordEncoder:
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         normalizer = self.tokenizer.normalizer
         self.lowers = normalizer is not None and normalizer.normalize_str("A") == "a"
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.markers = [(m, ids[0]) for m in MARKERS if len(ids := np.frombuffer(self._encode([m])[0], np.uint32)) == 1]
+        self.bare, self.ends = self._without_normalizer(path)
+        self.batch = 0
+        self.words, self.ids, self.met = pa.array([], pa.string()), pa.array([], pa.binary()), np.zeros(0, np.int64)
+        self.markers = [
+            (m, ids[0]) for m in MARKERS if len(ids := np.frombuffer(self._encode([m], self.tokenizer)[0], np.uint32)) == 1
+        ]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+    def _without_normalizer(self, path: str):
+        """The tokenizer for words that need no normalizer, and which ids end a piece (None if that is not known)."""
+        from tokenizers import Tokenizer
 
-    def _learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), 512):
-            self.known.update(zip(words[i : i + 512], self._encode_words(words[i : i + 512]), strict=True))
+        parts = json.loads(self.tokenizer.to_str())
+        steps = parts["normalizer"] or {"type": "Sequence", "normalizers": []}
+        if any(step not in _NO_EFFECT for step in steps.get("normalizers", [steps])):
+            return self.tokenizer, None
+        bare = Tokenizer.from_file(path)
+        bare.normalizer = None
+        splits = (parts["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        suffix = parts["model"].get("end_of_word_suffix")
+        if splits[0].get("pattern") != {"Regex": _LETTER_RUNS} or [x["type"] for x in splits] != ["Split", "ByteLevel"] or not suffix:
+            return bare, None
+        ends = np.zeros(self.vocabulary, bool)
+        ends[[i for token, i in parts["model"]["vocab"].items() if token.endswith(suffix)]] = True
+        return bare, ends
+
+    @property
+    def known(self) -> set[str]:
+        return set(self.words.to_pylist())
+
+    def _encode(self, texts: list[str], tokenizer) -> list[bytes]:
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
+    def _learn(self, words: list[str], tokenizer) -> dict[str, bytes]:
+        cuts = [words[i : i + 512] for i in range(0, len(words), 512)]
+        return {word: ids for cut in cuts for word, ids in zip(cut, self._encode_words(cut, tokenizer), strict=True)}
+
+    def _learn_plain(self, words: list[str]) -> dict[str, bytes]:
+        """As `_learn`, for words that need no normalizer."""
+        if self.ends is None:
+            return self._learn(words, self.bare)
+        stems = {word: stem for word in words if (stem := word.rstrip(string.punctuation)).isalpha()}
+        tails = {word: word[len(stem) :] for word, stem in stems.items() if len(stem) < len(word)}
+        known = self._learn(list({word for word in words if word not in stems}.union(tails.values())), self.bare)
+        runs = list(set(stems.values()))
+        for i in range(0, len(runs), 256):
+            known.update(zip(runs[i : i + 256], self._encode_runs(runs[i : i + 256]), strict=True))
+        known.update([(word, known[stems[word]] + known[tail]) for word, tail in tails.items()])
+        return known
+
+    def _encode_runs(self, runs: list[str]) -> list[bytes]:
+        """As `_encode`, but as one text, cut where pieces end, if there are as many as runs: each gives one at least."""
+        found = self._encode([" ".join(runs)], self.bare)[0]
+        stops = (4 * np.flatnonzero(self.ends[np.frombuffer(found, np.uint32)]) + 4).tolist()
+        if len(stops) == len(runs) and stops[-1] == len(found):
+            return [found[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+        return self._encode(runs, self.bare)
+
+    def _encode_words(self, words: list[str], tokenizer) -> list[bytes]:
         """As `_encode`, but as one text, cut at the ids of a marker between the words: one that gives a single id each time,
         so that there is one fewer than words only if no word gives that id."""
         for marker, marked in self.markers:
             text = f" {marker} ".join(words)
             if text.count(marker) == len(words) - 1:
-                found = self._encode([text])[0]
+                found = self._encode([text], tokenizer)[0]
                 ends = np.flatnonzero(np.frombuffer(found, np.uint32) == marked).tolist()
                 if len(ends) == len(words) - 1:
                     stops = [*(4 * e for e in ends), len(found)]
                     return [found[a:b] for a, b in zip([0, *(4 * e + 4 for e in ends)], stops, strict=True)]
-        return self._encode(words)
+        return self._encode(words, tokenizer)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        whole = {i for i, t in enumerate(texts) if _odd_space(t)}
-        words = [[] if i in whole else self._plain(t).split() for i, t in enumerate(texts)]
-        if len(self.known) > CACHE_WORDS:
-            self.older, self.known = self.known, {}
-        new = set().union(*words).difference(self.known)
-        again = {word: self.older[word] for word in new if word in self.older}
-        self._learn(list(new.difference(again)))
-        self.known.update(again)
-        known = self.known.__getitem__
+        whole = [_odd_space(t) for t in texts]
+        plain = [_is_plain(t) for t in texts]
+        cut = ["" if w else t.lower() if self.lowers and p else t for t, w, p in zip(texts, whole, plain, strict=True)]
+        lists = pc.utf8_split_whitespace(pa.array(cut, pa.string()))
+        begins, coded = lists.offsets.to_numpy(), lists.values.dictionary_encode()
+        raw = np.zeros(len(coded.dictionary), bool)
+        for i in (i for i, p in enumerate(plain) if not p):
+            raw[coded.indices[begins[i] : begins[i + 1]].to_numpy()] = True
+        ids = self._ids_of(coded.dictionary, raw).take(coded.indices)
+        stops = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset :][begins] // 4 if len(ids) else begins
+        found = np.frombuffer(ids.buffers()[2] or b"", np.uint32) if len(ids) else np.zeros(0, np.uint32)
         return [
-            np.frombuffer(self._encode([text])[0] if i in whole else b"".join(map(known, own)), np.uint32)
-            for i, (text, own) in enumerate(zip(texts, words, strict=True))
+            np.frombuffer(self._encode([text], self.tokenizer)[0], np.uint32) if w else found[a:b]
+            for text, w, a, b in zip(texts, whole, stops[:-1], stops[1:], strict=True)
         ]
 
-    def _plain(self, text: str) -> str:
-        return text if not self.lowers or "<|" in text or not text.isascii() and _NOT_PLAIN.search(text) else text.lower()
+    def _ids_of(self, words: pa.Array, raw: np.ndarray) -> pa.Array:
+        """Ids of different words; the raw ones are of texts that are not plain."""
+        at = pc.index_in(words, value_set=self.words)
+        old = at.is_valid().to_numpy(zero_copy_only=False)
+        new = np.flatnonzero(~old)
+        added = words.take(pa.array(new))
+        texts = added.to_pylist()
+        learnt = self._learn_plain([t for t, r in zip(texts, raw[new], strict=True) if not r])
+        learnt |= self._learn([t for t, r in zip(texts, raw[new], strict=True) if r], self.tokenizer)
+        at = at.fill_null(0).to_numpy().astype(np.int64)
+        at[new] = len(self.words) + np.arange(len(new))
+        self.words = pa.concat_arrays([self.words, added])
+        self.ids = pa.concat_arrays([self.ids, pa.array([learnt[t] for t in texts], pa.binary())])
+        self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
+        self.batch += 1
+        self.met[at] = self.batch
+        found = self.ids.take(pa.array(at))
+        if len(self.words) > CACHE_WORDS:
+            kept = pa.array(np.argsort(-self.met, kind="stable")[: CACHE_WORDS * 3 // 4])
+            self.words, self.ids, self.met = self.words.take(kept), self.ids.take(kept), self.met[kept.to_numpy()]
+        return found
+
+
+def _is_plain(text: str) -> bool:
+    """Whether lower-casing here gives what the tokenizer would make of the text, and no special token is in it."""
+    return "<|" not in text and (text.isascii() or not _NOT_PLAIN.search(text))
 
 
 def _odd_space(text: str) -> bool:
@@ -214,7 +298,7 @@ def write_token_files(
         words = encoder(tokenizer)
         shard = _Shard(TaskContext.get().partitionId(), id_bits(max(words.vocabulary, end_id + 1)), block_ids)
         end = np.array([end_id], np.uint32)
-        for part in (part for batch in batches for part in parts_of(batch)):
+        for part in (part for batch in batches for part in parts_of(batch, most=CHUNK_BYTES)):
             ids, texts = part.column("doc_id").to_pylist(), part.column("text").to_pylist()
             for doc_id, found in zip(ids, words.encode(texts), strict=True):
                 for row in shard.add(doc_id, np.concatenate([found, end])):
@@ -259,11 +343,12 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k, (doc_id, n) in enumerate(zip(row["doc_ids"], row["lens"], strict=True)):
                 goes_on = k == 0 and row["open_from"] is not None
                 start = row["open_from"] if goes_on else row["first"] + at
-                out.append((row["shard"], start, doc_id, row["block"], n, zlib.crc32(ids[at : at + n].tobytes())))
+                edge = goes_on or k == len(row["lens"]) - 1  # only there may documents go on
+                out.append((row["shard"], start, doc_id, row["block"], n, zlib.crc32(ids[at : at + n].tobytes()), edge))
                 at += n
         if out:
             yield pa.RecordBatch.from_pandas(
-                pd.DataFrame(out, columns=["shard", "start", "doc_id", "block", "n", "crc"]).astype(
+                pd.DataFrame(out, columns=["shard", "start", "doc_id", "block", "n", "crc", "edge"]).astype(
                     {"shard": "int32", "block": "int32", "n": "int32"}
                 ),
                 preserve_index=False,
@@ -280,16 +365,20 @@ def _times(matrix: list[int], vector: int) -> int:
     return total
 
 
+@lru_cache(maxsize=None)
+def _zero_bytes(power: int) -> list[int]:
+    """The effect of 2^power zero bytes."""
+    step = _zero_bytes(power - 1) if power else [0xEDB88320] + [1 << i for i in range(31)]  # one zero bit
+    for _ in range(1 if power else 3):
+        step = [_times(step, v) for v in step]
+    return step
+
+
 def joined_crc(first: int, second: int, size: int) -> int:
     """crc32 of two byte strings in a row, from their own crc32 and the size of the second."""
-    step = [0xEDB88320] + [1 << i for i in range(31)]  # the effect of one zero bit
-    for _ in range(3):
-        step = [_times(step, v) for v in step]
-    while size:
-        if size & 1:
-            first = _times(step, first)
-        step = [_times(step, v) for v in step]
-        size >>= 1
+    for power in range(size.bit_length()):
+        if size >> power & 1:
+            first = _times(_zero_bytes(power), first)
     return first ^ second
 
 
@@ -307,22 +396,26 @@ def _whole_crc(sizes: pd.Series, crcs: pd.Series) -> pd.Series:
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Per document, from the files: doc_id, start (ids of all documents before), n_tokens, ids_crc32, shard.
 
-    Documents that span blocks are put together from their pieces' sums. The shards' sizes are one
-    small row per file.
+    Documents that span blocks are put together from their pieces' sums; only the pieces at the edges of blocks are
+    grouped for that. The shards' sizes are one small row per file.
     """
     blocks = read_blocks(spark, folder)
     sizes = blocks.groupBy("shard").agg(F.sum("n_ids").alias("ids"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = sizes.select("shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
-    parts = blocks.mapInArrow(_pieces, PIECES).groupBy("shard", "start", "doc_id").agg(
+    pieces = stored(blocks.mapInArrow(_pieces, PIECES), "pieces")
+    place = ["shard", "start", "doc_id"]
+    inside = pieces.where("NOT edge").select(*place, F.col("n").cast("long").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
+    parts = pieces.where("edge").groupBy(*place).agg(
         F.array_sort(F.collect_list(F.struct("block", "n", "crc"))).alias("parts")
     )
-    return parts.join(F.broadcast(shards), "shard").select(
-        shown_id(),
-        (F.col("base") + F.col("start")).alias("start"),
+    joined = parts.select(
+        *place,
         F.aggregate("parts.n", F.lit(0).cast("long"), lambda a, n: a + n).alias("n_tokens"),
         _whole_crc("parts.n", "parts.crc").alias("ids_crc32"),
-        "shard",
+    )
+    return inside.unionByName(joined).join(F.broadcast(shards), "shard").select(
+        shown_id(), (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids_crc32", "shard"
     )
 
 

@@ -65,6 +65,29 @@ def test_cache_of_words_has_a_bound_and_frequent_words_stay():
     assert [found.tolist() for text in texts for found in words.encode([text])] == wanted
 
 
+def test_words_are_encoded_as_the_tokenizer_does():
+    """Odd white space, special tokens, punctuation between and behind letters, with words forgotten in between."""
+    tokenizer, words = Tokenizer.from_file(WORDS), token_files.WordEncoder(WORDS)
+    draw = random.Random(3)
+    some = [*"aAbz09.,!?'$%-<|>~^_ \n\t\x0b\x1c\x1f\x85\xa0\u2003\u3000éÉßİıª²ʰ漢한🙂\u0301\u200d\x00", "<|endoftext|>", "<|STARTOFTEXT|>", "it's ", " Word, ", "..."]
+    texts = ["", " ", " a "] + ["".join(draw.choice(some) for _ in range(draw.randint(0, 40))) for _ in range(3000)]
+    for i in range(0, len(texts), 400):
+        wanted = [e.ids for e in tokenizer.encode_batch_fast(texts[i : i + 400], add_special_tokens=False)]
+        assert [found.tolist() for found in words.encode(texts[i : i + 400])] == wanted
+
+
+def test_unknown_words_cost_no_normalizing():
+    """Plain words that are runs of letters, with punctuation behind them or not, are cut at the ids that end a piece."""
+    words = token_files.WordEncoder(WORDS)
+    asked = []
+    encode = words._encode
+    words._encode = lambda texts, *tokenizer: asked.append((texts, *tokenizer)) or encode(texts, *tokenizer)
+    (found,) = words.encode(["Unheard of, unheard of. words; unheard words;"])
+    assert found.tolist() == Tokenizer.from_file(WORDS).encode("Unheard of, unheard of. words; unheard words;", add_special_tokens=False).ids
+    assert all(tokenizer.normalizer is None for _, tokenizer in asked)
+    assert sum(text.count("unheard") + text.count("words") + text.split().count("of") for texts, _ in asked for text in texts) == 3
+
+
 def test_random_access(spark, tmp_path):
     folder = token_files.write_token_files(frame(spark, awkward()), str(tmp_path / "t"), WORDS, block_ids=64)
     blocks = token_files.read_blocks(spark, folder)
