@@ -1,13 +1,18 @@
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from saleslens.errors import QualityGateError, SchemaValidationError, SinkError, SourceError
+from saleslens.operators.quality import quality_summary
 from saleslens.operators.rollups import category_rollup
 from saleslens.plans import catalog
 from saleslens.plans.pipeline import GOLD, load_validated, run_pipeline
 from saleslens.schema import SOURCE_COLUMNS
+from saleslens.session import FREE_SHUFFLES, freed_shuffles
 from saleslens.sources import files, layers, sinks
-from saleslens.sources.star import sales_wide, silver
+from saleslens.sources.star import TABLES, sales_wide, silver
 from tests.conftest import TESTDATA, values
 
 
@@ -269,3 +274,63 @@ def test_leaving_out_joins_changes_no_value(spark):
     columns = ["row_id", "product_id", "sales", "profit", "is_loss"]
     few, all_columns = silver(spark, folder, columns), silver(spark, folder).select(*columns)
     assert few.exceptAll(all_columns).count() == 0
+
+
+@pytest.fixture
+def star(spark, tmp_path):
+    """Tables of 40 lines in 11 orders; an order, a part and a customer are missing, one part comes twice, one key is null."""
+    day = "timestamp_ntz '2021-03-04 00:00:00'"
+    values_of = {
+        "lineitem": (40, ["id % 11", "if(id = 7, null, id % 6)", "int(id)", "double(id % 5)", "id * 10.25d", "0.05d", day]),
+        "orders": (10, ["id", "id % 4", day, "'1-URGENT'"]),
+        "customer": (3, ["id", "'Name ' || id", "int(id)", "'HOME'"]),
+        "nation": (3, ["int(id)", "'N' || id", "0"]),
+        "region": (1, ["int(id)", "'R' || id"]),
+        "part": (6, ["greatest(id, 1)", "'P' || id", "'B'", "'T' || id % 2", "id * 1.5d"]),
+    }
+    for name, (rows, columns) in values_of.items():
+        names = [c.split()[0] for c in TABLES[name].split(", ")]
+        spark.range(rows).selectExpr(*columns).toDF(*names).write.parquet(f"{tmp_path}/star/{name}.parquet")
+    return f"{tmp_path}/star"
+
+
+def test_orders_are_joined_last(spark, star):
+    """Every line once per part row with its key, and the wide columns of orders go through no second shuffle."""
+    wide = sales_wide(spark, star)
+    assert wide.count() == 40 + spark.read.parquet(f"{star}/lineitem.parquet").where("l_partkey = 1").count()
+    assert wide.where("customer_id is null").count() == 3 and wide.where("product_name is null").count() == 7 + 1
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("= o_orderkey") < plan.index("= p_partkey")
+
+
+def _local_bytes(spark) -> int:
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return sum(f.stat().st_size for folder in folders for f in Path(folder).rglob("shuffle_*"))
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    before, setting = _local_bytes(spark), spark.conf.get(FREE_SHUFFLES, None)
+    rows = spark.range(200_000).selectExpr("uuid() AS order_id", "'c' AS category", "'r' AS region")
+    path = sinks.save_results(rows.repartition(8, "order_id"), str(tmp_path / "t"))
+    sinks.compact(spark, path, str(tmp_path / "c"), sort_bytes=2**22)
+    for _ in range(40):  # they are deleted in the background
+        if _local_bytes(spark) < before + 2**20:
+            break
+        time.sleep(0.25)
+    assert _local_bytes(spark) < before + 2**20
+    with freed_shuffles(spark), freed_shuffles(spark):
+        assert spark.conf.get(FREE_SHUFFLES) == "true"
+    assert spark.conf.get(FREE_SHUFFLES, None) == setting
+    assert spark.read.parquet(str(tmp_path / "c")).count() == 200_000
+
+
+def test_stored_files_are_small(spark, star, raw_csv, tmp_path):
+    base = str(tmp_path / "lake")
+    run_pipeline(spark, raw_csv, base, {}, enforce_gate=False)
+    stored = [f.name for table in ("bronze/lines", "silver/kept", "silver/lines") for f in Path(base, table).glob("*.parquet")]
+    assert stored and all(f.endswith(".zstd.parquet") for f in stored)
+
+
+def test_quality_summary_shuffles_one_fingerprint_a_row(raw):
+    plan = quality_summary(raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(_print") == 1
