@@ -334,3 +334,13 @@ def test_stored_files_are_small(spark, star, raw_csv, tmp_path):
 def test_quality_summary_shuffles_one_fingerprint_a_row(raw):
     plan = quality_summary(raw)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(_print") == 1
+
+
+def test_compaction_sorts_what_fits_a_task(spark, tmp_path):
+    """A task of an executor with 10 GB and 4 cores has about 0.85 GB; rows that take 0.6 GB are not sorted by one."""
+    texts = [f"'x' AS t{i}" for i in range(19)]
+    rows = spark.range(1_200_000).selectExpr("'c' AS category", "'r' AS region", "string(id) AS order_id", *texts)
+    source = sinks.write_silver(rows, str(tmp_path / "wide"))
+    compacted = spark.read.parquet(sinks.compact(spark, source, str(tmp_path / "sorted")))
+    held = [r["count"] for r in compacted.groupBy(F.input_file_name()).count().collect()]
+    assert sum(held) == 1_200_000 and max(held) < 1_000_000
