@@ -12,6 +12,7 @@ from saleslens.plans.pipeline import GOLD, load_validated, run_pipeline
 from saleslens.schema import SOURCE_COLUMNS
 from saleslens.session import FREE_SHUFFLES, freed_shuffles
 from saleslens.sources import files, layers, sinks
+from saleslens.sources.dirt import dirty_raw
 from saleslens.sources.star import TABLES, sales_wide, silver
 from tests.conftest import TESTDATA, values
 
@@ -344,3 +345,15 @@ def test_compaction_sorts_what_fits_a_task(spark, tmp_path):
     compacted = spark.read.parquet(sinks.compact(spark, source, str(tmp_path / "sorted")))
     held = [r["count"] for r in compacted.groupBy(F.input_file_name()).count().collect()]
     assert sum(held) == 1_200_000 and max(held) < 1_000_000
+
+
+def test_layers_are_made_from_one_star_join(spark, star, monkeypatch):
+    written, write = {}, sinks.save_results
+    monkeypatch.setattr(sinks, "save_results", lambda frame, path, *a, **k: written.update({path: frame}) or write(frame, path, *a, **k))
+    rows = {r.layer: r.rows for r in catalog.queries()["layer_inventory"](spark, star).collect()}
+    joined = {path.split("/")[-2] for path, frame in written.items() if "l_orderkey" in frame._jdf.queryExecution().toString()}
+    assert len(written) == 3 and joined == {"silver"}
+    assert (rows["silver"], rows["bronze"]) == (silver(spark, star).count(), dirty_raw(spark, star).count())
+    bronze = files.read_raw(spark, next(path for path in written if "/bronze/" in path))
+    wanted = dirty_raw(spark, star)
+    assert bronze.exceptAll(wanted).isEmpty() and wanted.exceptAll(bronze).isEmpty()
