@@ -332,6 +332,15 @@ def test_stored_files_are_small(spark, star, raw_csv, tmp_path):
     assert stored and all(f.endswith(".zstd.parquet") for f in stored)
 
 
+def test_raw_files_of_the_queries_are_compressed(spark, star):
+    """`load_validated` and `run_pipeline` read the same rows as before from files of a fifth of the size."""
+    path = catalog._raw_file(spark, star)
+    assert all(f.endswith(".csv.gz") for f in spark.read.text(path).inputFiles())
+    back, rows = files.read_raw(spark, path), dirty_raw(spark, star)
+    assert back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty()
+    assert load_validated(spark, path)[1]["figures"].where("column = 'rows'").first().figure == rows.count()
+
+
 def test_quality_summary_shuffles_one_fingerprint_a_row(raw):
     plan = quality_summary(raw)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(_print") == 1
